@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.llm.fingerprints import fingerprints, fingerprints_sql
+from lexmill.llm.langid import identify
+from lexmill.llm.licenses import scan_licenses
 from lexmill.llm.line_dedup import dedup_lines, dedup_lines_sql
+from lexmill.llm.mixing import mix, mix_sql
+from lexmill.llm.packing import pack_documents
+from lexmill.llm.quality import quality_filter, quality_sql
+from lexmill.llm.revisits import records_of_pages, resolve_revisits, revisits_sql
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,16 +24,50 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = identify(_table(spark, sf_dir, "documents"))
+    return d.where("accepted").select("doc_id", "lang", "predicted", "confidence")
+
+
+def op4_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve_revisits(records_of_pages(_table(spark, sf_dir, "pages")))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_filter(_table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_language_id": op3_language_id,
+    "op4_revisits": op4_revisits,
     "op5_fingerprints": op5_fingerprints,
+    "op7_mixing": op7_mixing,
+    "op8_license_scan": op8_license_scan,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": dedup_lines_sql(),
+    "op4_revisits": revisits_sql(),
     "op5_fingerprints": fingerprints_sql(),
+    "op7_mixing": mix_sql(),
+    "op9_quality_rules": quality_sql(),
 }
