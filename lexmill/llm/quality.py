@@ -3,7 +3,8 @@
 The sketch of a metric is a log-linear histogram: integers under 64 exactly, 32 cells an octave beyond, so a
 quantile is at most 1/32 too low. Cells are counts, so sketches merge by adding: partial
 aggregation merges those of tasks, and one more aggregate merges those of a language's sources, which stand in
-for groups too small to have thresholds of their own. All metrics are integers (shares in per mille).
+for groups too small to have thresholds of their own. All metrics are integers: shares in per mille, of a whole that counts 100 letters (2 lines, 10 words) more than there are, so
+that a single capital or number says little in a short text.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from lexmill.llm._common import checkpoint
 
 UPPER, DIGITS, SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "#$%&*|!@^~<>=+_{}[]"
 #: metric -> least spread (in its own units) that a fence allows beyond the quartiles
-METRICS = {"symbol_permille": 20, "upper_permille": 50, "digit_permille": 50, "repeat_permille": 200, "word_length_x10": 20}
+METRICS = {"symbol_permille": 20, "upper_permille": 50, "digit_permille": 150, "repeat_permille": 300, "stutter_permille": 50, "word_length_x10": 25}
 FENCE = 4
 
 
@@ -28,16 +29,17 @@ def metrics(docs: DataFrame) -> DataFrame:
     """(doc_id, lang, source, n_words and METRICS) of each whole text; a null text counts as empty."""
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
     d = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["lang"].alias("lang"), docs["source"].alias("source"), text.alias("text"))
-    lines = F.split("text", "\n")
+    lines, tokens = F.split("text", "\n"), F.split("text", "[ \\t\\n\\r\\x0B\\f]+")
+    d = d.select("doc_id", "lang", "source", "text", tokens.alias("w"), lines.alias("l"))
     d = d.select(
-        "doc_id", "lang", "source", F.length("text").cast("bigint").alias("n"), F.regexp_count("text", F.lit("[^ \\t\\n\\r\\x0B\\f]+")).cast("bigint").alias("n_words"),
+        "doc_id", "lang", "source", F.length("text").cast("bigint").alias("n"), F.expr("bigint(size(filter(w, x -> x != '')))").alias("n_words"), F.expr("bigint(size(filter(w, (x, i) -> x = get(w, i + 1))))").alias("stutters"),
         _count(F.col("text"), SYMBOLS).cast("bigint").alias("sym"), _count(F.col("text"), UPPER).cast("bigint").alias("up"), _count(F.col("text"), DIGITS).cast("bigint").alias("dig"),
-        _count(F.col("text"), " \n\t\r").cast("bigint").alias("space"), F.size(lines).cast("bigint").alias("lines"), F.size(F.array_distinct(lines)).cast("bigint").alias("kinds"),
+        _count(F.col("text"), " \n\t\r").cast("bigint").alias("space"), F.size("l").cast("bigint").alias("lines"), F.size(F.array_distinct("l")).cast("bigint").alias("kinds"),
     )
-    share = lambda part, whole: F.expr(f"coalesce({part} * 1000 div nullif({whole}, 0), 0)")
+    share = lambda part, whole: F.expr(f"{part} * 1000 div ({whole})")
     return d.select(
-        "doc_id", "lang", "source", "n_words", share("sym", "n - space").alias("symbol_permille"), share("up", "n - space").alias("upper_permille"), share("dig", "n - space").alias("digit_permille"),
-        share("(lines - kinds)", "lines").alias("repeat_permille"), F.expr("coalesce((n - space) * 10 div nullif(n_words, 0), 0)").alias("word_length_x10"),
+        "doc_id", "lang", "source", "n_words", share("sym", "n - space + 100").alias("symbol_permille"), share("up", "n - space + 100").alias("upper_permille"), share("dig", "n - space + 100").alias("digit_permille"),
+        share("(lines - kinds)", "lines + 2").alias("repeat_permille"), share("stutters", "n_words + 10").alias("stutter_permille"), F.expr("coalesce((n - space) * 10 div nullif(n_words, 0), 0)").alias("word_length_x10"),
     )
 
 
@@ -106,12 +108,13 @@ def quality_sql(min_docs: int = 30) -> str:
     fences = " AND ".join(f"EXISTS (SELECT 1 FROM th WHERE th.lang IS NOT DISTINCT FROM m.lang AND th.source IS NOT DISTINCT FROM m.source AND metric = '{k}' AND {k} BETWEEN low AND high)" for k in METRICS)
     return f"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
-c AS (SELECT doc_id, lang, source, length(text) AS n, len(regexp_extract_all(text, '[^ \\t\\n\\r\\x0B\\f]+'))::BIGINT AS n_words, {count(SYMBOLS)} AS sym, {count(UPPER)} AS up, {count(DIGITS)} AS dig,
+c AS (SELECT doc_id, lang, source, length(text) AS n, regexp_extract_all(text, '[^ \\t\\n\\r\\x0B\\f]+') AS w, {count(SYMBOLS)} AS sym, {count(UPPER)} AS up, {count(DIGITS)} AS dig,
   length(text) - length(replace(replace(replace(replace(text, ' ', ''), chr(10), ''), chr(9), ''), chr(13), '')) AS space,
   len(string_split(text, chr(10))) AS lines, len(list_distinct(string_split(text, chr(10)))) AS kinds FROM d),
-m AS (SELECT doc_id, lang, source, n_words, coalesce(sym * 1000 // nullif(n - space, 0), 0)::BIGINT AS symbol_permille, coalesce(up * 1000 // nullif(n - space, 0), 0)::BIGINT AS upper_permille,
-  coalesce(dig * 1000 // nullif(n - space, 0), 0)::BIGINT AS digit_permille, coalesce((lines - kinds) * 1000 // nullif(lines, 0), 0)::BIGINT AS repeat_permille,
-  coalesce((n - space) * 10 // nullif(n_words, 0), 0)::BIGINT AS word_length_x10 FROM c),
+m AS (SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, (sym * 1000 // (n - space + 100))::BIGINT AS symbol_permille, (up * 1000 // (n - space + 100))::BIGINT AS upper_permille,
+  (dig * 1000 // (n - space + 100))::BIGINT AS digit_permille, ((lines - kinds) * 1000 // (lines + 2))::BIGINT AS repeat_permille,
+  (len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) * 1000 // (len(w) + 10))::BIGINT AS stutter_permille,
+  coalesce((n - space) * 10 // nullif(len(w), 0), 0)::BIGINT AS word_length_x10 FROM c),
 x AS ({union}),
 sk AS (SELECT lang, source, metric, CASE WHEN x < 64 THEN x ELSE (x // (1::BIGINT << (length(bin(x)) - 6))) * (1::BIGINT << (length(bin(x)) - 6)) END AS cell, count(*) AS n FROM x GROUP BY ALL),
 own AS ({q("lang, source")}), lg AS ({q("lang")}),
