@@ -12,6 +12,7 @@ from lexmill.llm.licenses import scan_licenses
 from lexmill.llm.line_dedup import dedup_lines, dedup_lines_sql
 from lexmill.llm.mixing import mix, mix_sql
 from lexmill.llm.packing import pack_documents
+from lexmill.llm.pii import surrogate_pii
 from lexmill.llm.quality import quality_filter, quality_sql
 from lexmill.llm.revisits import records_of_pages, resolve_revisits, revisits_sql
 
@@ -24,6 +25,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogate_pii(_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = identify(_table(spark, sf_dir, "documents"))
     return d.where("accepted").select("doc_id", "lang", "predicted", "confidence")
@@ -55,6 +60,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_language_id": op3_language_id,
     "op4_revisits": op4_revisits,
     "op5_fingerprints": op5_fingerprints,
