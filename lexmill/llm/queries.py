@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexmill.llm.fingerprints import fingerprints, fingerprints_sql
+from lexmill.llm.jaccard import jaccard_groups, jaccard_sql
 from lexmill.llm.langid import identify
 from lexmill.llm.licenses import scan_licenses
 from lexmill.llm.line_dedup import dedup_lines, dedup_lines_sql
@@ -42,6 +43,10 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_revisits": op4_revisits,
     "op5_fingerprints": op5_fingerprints,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_mixing": op7_mixing,
     "op8_license_scan": op8_license_scan,
     "op9_quality_rules": op9_quality_rules,
@@ -74,6 +80,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": dedup_lines_sql(),
     "op4_revisits": revisits_sql(),
     "op5_fingerprints": fingerprints_sql(),
+    "op6_ngram_jaccard_join": jaccard_sql(),
     "op7_mixing": mix_sql(),
     "op9_quality_rules": quality_sql(),
 }
