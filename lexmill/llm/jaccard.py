@@ -7,10 +7,11 @@ therefore only looked at through shared n-grams:
 1. *Peeling.* A document of n n-grams of which fewer than s * n occur elsewhere has no neighbour and leaves.
 2. *Regions.* In the block of each n-gram the least member is the pivot; a document belongs to the region of every
    pivot of its n-grams (so boundary documents are replicated), and the number of its n-grams is kept for each pivot.
-3. *Windows.* A neighbour of x shares s * n of its n-grams, so it must share one of any (1 - s) * n + 1. Each document
-   asks only in regions that cover so many, cheapest first (members of the region per n-gram covered); it can be found in all of its regions.
+3. *Windows.* Regions have one order for all documents: cheapest first, by members over the n-grams that a member has in
+   them on average. Neighbours share s * n of their n-grams, so the first one in that order that they share lies among the
+   first (1 - s) * n + 1 of either; a document is only replicated to the regions that cover so many of its own.
    Inside a region d(x, y) >= |d(x, p) - d(y, p)| rules out all y outside the window of x.
-4. *Recursion.* A region is joined from its pivot; whoever asks and isn't joined with the rest yet is the next pivot
+4. *Recursion.* A region is joined from its first member; whoever isn't joined with the rest yet is the next pivot
    among those of other components, till none is left. All distances are exact counts of common n-grams.
 
 Equal sets are one point from the start. Groups are the connected components of the neighbour graph, which a spanning
@@ -188,11 +189,11 @@ def _pivots(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"pivot": every[code // max(len(every), 1)], "point": every[code % max(len(every), 1)], "n": n.astype(np.int32)})
 
 
-def region_edges(grams: list[np.ndarray], asks: np.ndarray, similarity: float) -> list[tuple[int, int]]:
-    """Edges that join, among all neighbours x, y of the region of which one asks, those in different components so far.
+def region_edges(grams: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Edges that join, among all neighbours x, y of the region, those in different components so far.
 
-    Pivots come in order: the first member, then every asking one. Of each only members of other
-    components inside its triangle window around the first pivot are looked at, and their common n-grams counted exactly.
+    Pivots come in order. Of each only members of other components inside its triangle window around the first
+    pivot are looked at, and their common n-grams counted exactly.
     """
     m = len(grams)
     size = np.array([len(g) for g in grams])
@@ -212,15 +213,13 @@ def region_edges(grams: list[np.ndarray], asks: np.ndarray, similarity: float) -
 
     far = 1 - similarity + 1e-9
     to_pivot = distances(0)
-    for k, x in enumerate(dict.fromkeys([0, *np.flatnonzero(asks).tolist()])):
+    for x in range(m):
         other = comp != comp[x]
-        if k:
+        if x:
             other &= np.abs(to_pivot - to_pivot[x]) <= far
         if not other.any():
             continue
-        near = np.flatnonzero(other & ((distances(x) if k else to_pivot) <= far))
-        if k == 0 and not asks[0]:
-            near = near[asks[near]]
+        near = np.flatnonzero(other & ((distances(x) if x else to_pivot) <= far))
         for y in near.tolist():
             if comp[y] != comp[x]:
                 edges.append((x, y))
@@ -230,9 +229,9 @@ def region_edges(grams: list[np.ndarray], asks: np.ndarray, similarity: float) -
 
 def _region(similarity: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("point", kind="stable")  # the pivot, the least of its blocks, comes first
+        pdf = pdf.sort_values("point", kind="stable")
         point = pdf["point"].to_numpy()
-        found = region_edges([np.asarray(g) for g in pdf["grams"]], pdf["asks"].to_numpy(bool), similarity)
+        found = region_edges([np.asarray(g) for g in pdf["grams"]], similarity)
         return pd.DataFrame({"a": [point[x] for x, _ in found], "b": [point[y] for _, y in found]}, dtype="int64")
 
     return run
@@ -274,16 +273,14 @@ def jaccard_groups(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadca
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = points.select("point", "grams").mapInArrow(_by_bucket(buckets), "bucket int, tokens binary, rows binary, points binary").groupBy("bucket").applyInPandas(_pivots, "pivot bigint, point bigint, n int")
     near = checkpoint(near.groupBy("pivot", "point").agg(F.sum("n").alias("n")))
-    # where each point asks: uncovered n-grams that no other point has count as covered
-    members_of = near.groupBy("pivot").agg(F.count("*").alias("members"))
-    cost = near.join(members_of, "pivot").join(points.select("point", "size"), "point")
+    # the regions of each point: n-grams that no other point has come first, at no cost
+    members_of = near.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("all")).where("members > 1")
+    ranked = members_of.select("pivot", (F.col("members") * F.col("members") / F.col("all")).alias("cost"))
+    cost = near.join(ranked, "pivot").join(points.select("point", "size"), "point")
     total = F.sum("n").over(_window())
-    before = F.coalesce(F.sum("n").over(_window("members / n", "pivot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    asks = cost.withColumn("total", total).withColumn("before", before).where((F.col("size") - F.col("total") + F.col("before") < F.floor((1 - F.lit(similarity)) * F.col("size") + 1e-9) + 1) & (F.col("total") >= similarity * F.col("size") - 1e-9))
-    asks = asks.where("members > 1").select("pivot", "point", F.lit(True).alias("asks"))
-    used = asks.select("pivot").distinct()
-    place = near.join(used, "pivot", "left_semi").join(asks, ["pivot", "point"], "left").select("pivot", "point", F.coalesce("asks", F.lit(False)).alias("asks"))
-    edges = place.join(points.select("point", "grams"), "point").groupBy("pivot").applyInPandas(_region(similarity), "a bigint, b bigint")
+    before = F.coalesce(F.sum("n").over(_window("cost", "pivot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = cost.withColumn("total", total).withColumn("before", before).where((F.col("size") - F.col("total") + F.col("before") < F.floor((1 - F.lit(similarity)) * F.col("size") + 1e-9) + 1) & (F.col("total") >= similarity * F.col("size") - 1e-9))
+    edges = place.select("pivot", "point").join(points.select("point", "grams"), "point").groupBy("pivot").applyInPandas(_region(similarity), "a bigint, b bigint")
     label = components(edges)
     named = members.join(label, "point", "left").select("doc_id", F.coalesce("label", "point").alias("label"))
     # an id with several texts ties their groups together
