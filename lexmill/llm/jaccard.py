@@ -34,6 +34,7 @@ from lexmill.llm._common import buffers, checkpoint, mix, spans, words
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _DOCS = 1 << 15  # of one blob, so that two bytes number them
+_ROW = 1000  # comparisons that cost as much as a copy of a document
 
 
 def ngram_hashes(b: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,8 +126,18 @@ def peel(docs: DataFrame, n: int, similarity: float) -> DataFrame:
     return shared.groupBy("batch").applyInPandas(_alive(similarity), "doc_id bigint").distinct()
 
 
-def _sets(n: int):
-    """(doc_id, point, size, grams): the sorted n-grams of each text; point is the hash of the set."""
+def _packed(g: np.ndarray) -> bytes:
+    """48 bits of each hash: its lower 32, and then the 16 above them."""
+    return g.astype(np.uint32).tobytes() + (g >> np.uint64(32)).astype(np.uint16).tobytes()
+
+
+def _unpacked(b: bytes) -> np.ndarray:
+    n = len(b) // 6
+    return np.frombuffer(b, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32) | np.frombuffer(b, np.uint32, n)
+
+
+def _sets(n: int, grams: bool):
+    """(doc_id, point) of each text, or (doc_id, point, size, grams); point is the hash of the set of n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,32 +154,34 @@ def _sets(n: int):
                 if not len(some):
                     continue
                 point = mix(np.add.reduceat(mix(g), at[some]) + size[some].astype(np.uint64))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(some + i)), pa.array(point.view(np.int64)), pa.array(size[some].astype(np.int32)), pa.ListArray.from_arrays(pa.array(np.r_[at[some], at[-1]].astype(np.int32)), pa.array(g.view(np.int64)))],
-                    ["doc_id", "point", "size", "grams"],
-                )
+                cols = [batch.column(0).take(pa.array(some + i)), pa.array(point.view(np.int64))]
+                if grams:
+                    cols += [pa.array(size[some].astype(np.int32)), pa.array([_packed(g[at[k] : at[k + 1]]) for k in some.tolist()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "point", "size", "grams"][: len(cols)])
 
     return run
 
 
 def _by_bucket(buckets: int):
-    """The n-grams of the points by bucket, eight bytes each, with the points."""
+    """The n-grams of the points by bucket, four bytes each and two that number the points. N-grams of a bucket with
+    the same four bytes share a block; that can make it larger, but neighbours still share all the blocks of their common n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            g = np.asarray(lists.flatten()).view(np.uint64)
-            row = np.repeat(np.arange(batch.num_rows, dtype=np.int32), np.diff(np.asarray(lists.offsets)))
-            point = np.asarray(batch.column(0))
-            bucket = (g % np.uint64(buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            g, row = g[order], row[order]
-            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            out = []
-            for k in np.flatnonzero(np.diff(cut)):
-                some, number = np.unique(row[cut[k] : cut[k + 1]], return_inverse=True)
-                out.append((int(k), g[cut[k] : cut[k + 1]].tobytes(), number.astype(np.int32).tobytes(), point[some].tobytes()))
-            if out:
+        for whole in batches:
+            for start in range(0, whole.num_rows, _DOCS):
+                batch = whole.slice(start, _DOCS)
+                lists = [_unpacked(x) for x in batch.column(1).to_pylist()]
+                g = np.concatenate(lists)
+                row = np.repeat(np.arange(batch.num_rows, dtype=np.int32), [len(x) for x in lists])
+                point = np.asarray(batch.column(0))
+                bucket = (g % np.uint64(buckets)).astype(np.int32)
+                order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
+                g, row = (g[order] // np.uint64(buckets)).astype(np.uint32), row[order]
+                cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+                out = []
+                for k in np.flatnonzero(np.diff(cut)):
+                    some, number = np.unique(row[cut[k] : cut[k + 1]], return_inverse=True)
+                    out.append((int(k), g[cut[k] : cut[k + 1]].tobytes(), number.astype(np.uint16).tobytes(), point[some].tobytes()))
                 kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["bucket", "tokens", "rows", "points"])
 
@@ -176,16 +189,17 @@ def _by_bucket(buckets: int):
 
 
 def _pivots(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(pivot, point, n): how many n-grams of the bucket each point shares in blocks of each pivot."""
-    g = np.concatenate([np.frombuffer(t, np.uint64) for t in pdf["tokens"]])
-    p = np.concatenate([np.frombuffer(x, np.int64)[np.frombuffer(r, np.int32)] for r, x in zip(pdf["rows"], pdf["points"])])
+    """(pivot, point, n): how many n-grams of the bucket each point has in blocks of each pivot."""
+    g = np.concatenate([np.frombuffer(t, np.uint32) for t in pdf["tokens"]])
+    p = np.concatenate([np.frombuffer(x, np.int64)[np.frombuffer(r, np.uint16)] for r, x in zip(pdf["rows"], pdf["points"])])
     every, p = np.unique(p, return_inverse=True)
-    order = np.lexsort((p, g))
-    g, p = g[order], p[order]
+    key = g.astype(np.uint64) << np.uint64(32) | p.astype(np.uint64)
+    key.sort()
+    g, p = key >> np.uint64(32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
     start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
     size = np.diff(np.r_[start, len(g)])
     pivot, many = np.repeat(p[start], size), np.repeat(size > 1, size)
-    code, n = np.unique(pivot[many].astype(np.int64) * len(every) + p[many], return_counts=True)
+    code, n = np.unique(pivot[many] * len(every) + p[many], return_counts=True)
     return pd.DataFrame({"pivot": every[code // max(len(every), 1)], "point": every[code % max(len(every), 1)], "n": n.astype(np.int32)})
 
 
@@ -231,7 +245,7 @@ def _region(similarity: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("point", kind="stable")
         point = pdf["point"].to_numpy()
-        found = region_edges([np.asarray(g) for g in pdf["grams"]], similarity)
+        found = region_edges([_unpacked(g) for g in pdf["grams"]], similarity)
         return pd.DataFrame({"a": [point[x] for x, _ in found], "b": [point[y] for _, y in found]}, dtype="int64")
 
     return run
@@ -239,7 +253,8 @@ def _region(similarity: float):
 
 def components(edges: DataFrame) -> DataFrame:
     """(point, label): the least point of its component, for every point of an edge."""
-    both = checkpoint(edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("u"))).distinct())
+    ways = F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u"))))
+    both = checkpoint(edges.select(ways.alias("e")).select("e.v", "e.u").distinct())
     label = checkpoint(both.groupBy("v").agg(F.least(F.min("u"), F.first("v")).alias("label")))
     while True:
         near = both.join(label.select(F.col("v").alias("u"), "label"), "u").groupBy("v").agg(F.min("label").alias("near"))
@@ -258,29 +273,39 @@ def jaccard_groups(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadca
     Words are split at white space; a text of fewer than ``n`` words has one n-gram, of all of them. Null, empty and blank texts and
     null ids are in no group. Two rows with one id (repeated rows, ties) are one document; if their texts differ, the document joins the groups
     of both, which then have the least id of either. Extra columns are ignored, whatever their names. An empty table gives an
-    empty result. Ids of the documents left by peeling go along by broadcast up to ``broadcast_limit`` of them, beyond it by a shuffled join.
+    empty result. N-grams are compared by 48 bits of a hash.
+    Ids of the documents left by peeling, and places in regions, go along by broadcast up to ``broadcast_limit`` of them, beyond it by a shuffled join.
     One region (the documents that share an n-gram with one pivot) has to fit into a Python worker.
     """
     d = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")).where("doc_id is not null and text is not null")
     alive = checkpoint(peel(d, n, similarity))
     small = alive.count() <= broadcast_limit
     kept = d.join(F.broadcast(alive) if small else alive, "doc_id", "left_semi")
-    sets = checkpoint(kept.mapInArrow(_sets(n), "doc_id bigint, point bigint, size int, grams array<bigint>"))
-    members = sets.select("doc_id", "point").distinct()
-    first = sets.groupBy("point").agg(F.min("doc_id").alias("doc_id"))
-    points = sets.join(first, ["point", "doc_id"], "left_semi").dropDuplicates(["point"]).select("point", "size", "grams")
-    points = checkpoint(points)
+    members = checkpoint(kept.mapInArrow(_sets(n, False), "doc_id bigint, point bigint").distinct())
+    first = checkpoint(members.groupBy("point").agg(F.min("doc_id").alias("doc_id")))
+    # n-grams of one document of each point, made anew, which is less than keeping those of all
+    kept = d.join(F.broadcast(first) if small else first, "doc_id", "left_semi")
+    sets = kept.mapInArrow(_sets(n, True), "doc_id bigint, point bigint, size int, grams binary")
+    points = checkpoint(sets.join(F.broadcast(first) if small else first, ["point", "doc_id"], "left_semi").select("point", "size", "grams"))
+    if points.count() > first.count():  # of repeated rows one
+        points = checkpoint(points.dropDuplicates(["point"]))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = points.select("point", "grams").mapInArrow(_by_bucket(buckets), "bucket int, tokens binary, rows binary, points binary").groupBy("bucket").applyInPandas(_pivots, "pivot bigint, point bigint, n int")
     near = checkpoint(near.groupBy("pivot", "point").agg(F.sum("n").alias("n")))
     # the regions of each point: n-grams that no other point has come first, at no cost
     members_of = near.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("all")).where("members > 1")
-    ranked = members_of.select("pivot", (F.col("members") * F.col("members") / F.col("all")).alias("cost"))
+    ranked = members_of.select("pivot", (F.col("members") * (F.col("members") + _ROW) / F.col("all")).alias("cost"))
     cost = near.join(ranked, "pivot").join(points.select("point", "size"), "point")
     total = F.sum("n").over(_window())
     before = F.coalesce(F.sum("n").over(_window("cost", "pivot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     place = cost.withColumn("total", total).withColumn("before", before).where((F.col("size") - F.col("total") + F.col("before") < F.floor((1 - F.lit(similarity)) * F.col("size") + 1e-9) + 1) & (F.col("total") >= similarity * F.col("size") - 1e-9))
-    edges = place.select("pivot", "point").join(points.select("point", "grams"), "point").groupBy("pivot").applyInPandas(_region(similarity), "a bigint, b bigint")
+    # who has no other member of a like size in a region has no neighbour there
+    by_size = Window.partitionBy("pivot").orderBy("size")
+    alike = (F.col("size") >= similarity * F.lead("size").over(by_size) - 1e-9) | (F.lag("size").over(by_size) >= similarity * F.col("size") - 1e-9)
+    place = place.withColumn("alike", alike).where("alike")
+    place = checkpoint(place.select("pivot", "point"))
+    few = place.count() <= broadcast_limit
+    edges = points.select("point", "grams").join(F.broadcast(place) if few else place, "point").groupBy("pivot").applyInPandas(_region(similarity), "a bigint, b bigint")
     label = components(edges)
     named = members.join(label, "point", "left").select("doc_id", F.coalesce("label", "point").alias("label"))
     # an id with several texts ties their groups together
