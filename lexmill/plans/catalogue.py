@@ -1,4 +1,275 @@
-"""Registered queries over the driver's tables, with their SQL."""
+"""Registered queries over the driver's tables, with their SQL for DuckDB."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexmill.functions import classify, wikitext
+from lexmill.operators import graph, prose, reports, spelling, style
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _read(spark: SparkSession, d: str, table: str, *columns: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{table}.parquet").select(*columns)
+
+
+def _docs(spark: SparkSession, d: str) -> DataFrame:
+    return _read(spark, d, "documents", "doc_id", "text", "lang")
+
+
+def _counts(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.tally(spelling.tokens(_docs(spark, d)))
+
+
+def _known_unknown(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    counts = _counts(spark, d)
+    known = spelling.dictionary(counts)
+    return known, spelling.unknown_words(counts, known)
+
+
+_TALLY = r"""
+t AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS word FROM documents),
+c AS (SELECT lang, word, count(*) AS freq, count(DISTINCT doc_id) AS docs FROM t GROUP BY lang, word),
+known AS (SELECT lang, word FROM c WHERE docs >= 3), unk AS (SELECT * FROM c WHERE docs < 3 AND lang IS NOT NULL)"""
+_LINES = r"l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, (generate_subscripts(string_split(text, chr(10)), 1) - 1)::INT AS line_no FROM documents)"
+_EDGES = r"""e AS (SELECT DISTINCT src, dst FROM (SELECT l[i] AS src, l[i + 1] AS dst FROM (SELECT l, unnest(range(1, len(l))) AS i FROM (SELECT regexp_extract_all(html, '<a href="([^"]+)"', 1) AS l FROM pages))) WHERE src <> dst)"""
+_SEED = "/the"
+
+
+@_query(f"WITH {_TALLY} SELECT word, lang, freq, docs FROM unk ORDER BY freq DESC, word, lang LIMIT 50")
+def oov_top_words(spark: SparkSession, d: str) -> DataFrame:
+    """The 50 most frequent words outside the dictionary (a top-k report)."""
+    return _known_unknown(spark, d)[1].select("word", "lang", "freq", "docs").orderBy(F.desc("freq"), "word", "lang").limit(50)
+
+
+@_query(f"WITH {_TALLY} SELECT * FROM c")
+def token_frequencies(spark: SparkSession, d: str) -> DataFrame:
+    return _counts(spark, d)
+
+
+@_query(f"WITH {_TALLY} SELECT * FROM known")
+def dictionary_words(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.dictionary(_counts(spark, d))
+
+
+@_query(f"WITH {_TALLY}, s AS (SELECT lang, word, unnest(range(1, length(word))) AS i FROM unk WHERE length(word) > 1) SELECT s.lang, s.word, count(*) AS splits FROM s JOIN known a ON a.lang = s.lang AND a.word = s.word[:i] JOIN known b ON b.lang = s.lang AND b.word = s.word[i + 1:] GROUP BY ALL")
+def compound_words(spark: SparkSession, d: str) -> DataFrame:
+    known, unknown = _known_unknown(spark, d)
+    return spelling.compounds(unknown, known)
+
+
+_DELETED = "SELECT DISTINCT lang, word, unnest(list_concat([word], list_transform(range(1, length(word) + 1), lambda i: word[:i - 1] || word[i + 1:]))) AS key"
+
+
+_WITHOUT = lambda w: f"list_transform(range(1, length({w}) + 1), lambda i: {w}[:i - 1] || {w}[i + 1:])"
+_ONE_EDIT = f"""SELECT * FROM p WHERE list_contains({_WITHOUT("suggestion")}, word) OR list_contains({_WITHOUT("word")}, suggestion)
+ OR (length(word) = length(suggestion) AND (len(list_filter(range(1, length(word) + 1), lambda i: word[:i - 1] || word[i + 1:] = suggestion[:i - 1] || suggestion[i + 1:])) > 0
+ OR list_contains(list_transform(range(1, length(word)), lambda i: word[:i - 1] || word[i + 1] || word[i] || word[i + 2:]), suggestion)))"""
+
+
+@_query(f"WITH {_TALLY}, a AS ({_DELETED} FROM unk), b AS ({_DELETED} FROM known), p AS (SELECT DISTINCT a.lang, a.word, b.word AS suggestion FROM a JOIN b ON a.lang = b.lang AND a.key = b.key) {_ONE_EDIT}")
+def near_words(spark: SparkSession, d: str) -> DataFrame:
+    known, unknown = _known_unknown(spark, d)
+    return spelling.near_words(unknown, known)
+
+
+@_query(rf"""WITH {_TALLY}, raw AS (SELECT trim(unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}’''$€£&;<>./-]+')), '.,;') AS token FROM documents),
+tok AS (SELECT token, count(*) AS freq FROM raw WHERE token <> '' GROUP BY token), p AS (SELECT token, freq, unnest(regexp_split_to_array(token, '[-–—/]')) AS part FROM tok),
+k AS (SELECT DISTINCT word FROM known)
+SELECT token, max(CASE WHEN part = '' THEN 0 WHEN lower(part) IN ('alot', 'teh', 'recieve') THEN 2 WHEN k.word IS NOT NULL THEN 0 WHEN regexp_matches(part, '^(?:[$€£¥±+~−#-])?[0-9]') THEN 0 WHEN regexp_matches(part, '^</?[a-z]+>?$') THEN 2
+ WHEN regexp_matches(part, '^&[A-Za-z]+;') THEN 0 WHEN upper(part[1]) = part[1] THEN 1 WHEN NOT regexp_matches(part, '^\p{{L}}+$') THEN 1 ELSE 2 END) AS verdict, any_value(freq) AS freq
+FROM p LEFT JOIN k ON k.word = lower(part) GROUP BY token""")
+def spelling_verdicts(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.judge(_docs(spark, d), spelling.dictionary(_counts(spark, d)))
+
+
+@_query(f"WITH t AS (SELECT unnest(regexp_extract_all(text, '[^ \\t\\n\\r]+')) AS token FROM documents), n AS (SELECT token, count(*) AS n FROM t GROUP BY token) SELECT {classify.shape_sql('token')} AS category, sum(n) AS tokens, count(*) AS kinds FROM n GROUP BY 1")
+def word_categories(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.categories(_docs(spark, d))
+
+
+@_query(f"WITH {_TALLY}, w AS (SELECT DISTINCT word FROM c) SELECT word, array_to_string(list_sort(list_distinct(string_split(word, ''))), '') AS key FROM w")
+def lowfi_keys(spark: SparkSession, d: str) -> DataFrame:
+    return _counts(spark, d).select("word").distinct().select("word", classify.lowfi_key(F.col("word")).alias("key"))
+
+
+@_query(style.check_lines_sql())
+def style_findings(spark: SparkSession, d: str) -> DataFrame:
+    return style.check_lines(_docs(spark, d))
+
+
+@_query(f"WITH f AS ({style.check_lines_sql()}), s AS (SELECT code, doc_id, count(*) AS n FROM f GROUP BY ALL) SELECT coalesce(code, 'TOTAL') AS code, count(*) AS uniques, coalesce(sum(n), 0) AS instances FROM s GROUP BY ROLLUP (code)")
+def style_by_rating(spark: SparkSession, d: str) -> DataFrame:
+    return reports.by_rating(style.check_lines(_docs(spark, d)).select("code", F.col("doc_id").alias("word")))
+
+
+_ORDER = ("QUOTE", "COMMA_SPACE", "DECIMAL_COMMA", "TIMES")
+
+
+@_query(f"WITH f AS ({style.check_lines_sql()}) SELECT doc_id, arg_min(code, lpad(coalesce(nullif(list_position({list(_ORDER)}, code), 0), 5)::VARCHAR, 2, '0') || code) AS best FROM f GROUP BY doc_id")
+def best_finding(spark: SparkSession, d: str) -> DataFrame:
+    return reports.best_type(style.check_lines(_docs(spark, d)), _ORDER)
+
+
+_BRACES = "len(regexp_extract_all(text, '\\{\\{')) <> len(regexp_extract_all(text, '\\}\\}'))"
+
+
+@_query(f"WITH c AS (SELECT doc_id, text, CASE WHEN {_BRACES} THEN 'BRACES' WHEN contains(text, '<ref') THEN 'REF' WHEN contains(text, 'colspan') THEN 'TABLE' WHEN len(regexp_extract_all(text, '\"')) % 2 = 1 THEN 'QUOTES' END AS code FROM documents) SELECT doc_id, code, CASE code WHEN 'QUOTES' THEN regexp_extract(text, '[^\"]{{0,20}}\"[^\"]{{0,20}}') ELSE '' END AS around FROM c WHERE code IS NOT NULL")
+def parse_failures(spark: SparkSession, d: str) -> DataFrame:
+    return style.failures(_docs(spark, d))
+
+
+#: name, pattern, replacement
+_B, _Z = "(^|[^\\p{L}])", "($|[^\\p{L}])"
+TYPOS = [("Doubled the", f"{_B}the the{_Z}", "$1the$2"), ("An before consonant", f"{_B}an ([bcdfgjklmnpqrstvwxyz])", "$1a $2"), ("Doubled is", f"{_B}is is{_Z}", "$1is$2"), ("Doubled la", f"{_B}la la{_Z}", "$1la$2"), ("Comma gap", " ,", ","), ("Version", f"{_B}version ([0-9])", "$1v$2")]
+
+
+@_query("WITH r AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{p}', '{t.replace('$', chr(92))}')" for n, p, t in TYPOS) + ") x(rule, p, t)), m AS (SELECT doc_id, rule, regexp_extract(text, p) AS before, p, t FROM documents, r WHERE regexp_matches(text, p)) SELECT doc_id, rule, before, regexp_replace(before, p, t) AS after FROM m WHERE before <> regexp_replace(before, p, t)")
+def typo_rules(spark: SparkSession, d: str) -> DataFrame:
+    return style.typo_scan(_docs(spark, d), TYPOS)
+
+
+_VOWELS = "[aeiouyáéíóúàèìòùâêîôûäëïöüAEIOUYÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÄËÏÖÜ]+"
+
+
+@_query(rf"""WITH s AS (SELECT doc_id, greatest(len(regexp_extract_all(text, '[.!?]+')), 1)::BIGINT AS sentences, greatest(len(regexp_extract_all(text, '\p{{L}}+')), 1)::BIGINT AS words,
+ len(regexp_extract_all(text, '{_VOWELS}'))::BIGINT AS syllables, len(regexp_extract_all(text, '\p{{L}}'))::BIGINT AS letters FROM documents WHERE length(text) >= 1000)
+SELECT *, 206.835::DOUBLE - 1.015::DOUBLE * (words / sentences) - 84.6::DOUBLE * (syllables / words) AS flesch, 5.89::DOUBLE * (letters / words) - 29.5::DOUBLE * (sentences / words) - 15.8::DOUBLE AS coleman_liau FROM s""")
+def readability(spark: SparkSession, d: str) -> DataFrame:
+    return prose.readability(_docs(spark, d))
+
+
+@_query(f"""WITH {_LINES}, p AS (SELECT doc_id, line_no AS paragraph, line AS p FROM l WHERE length(line) >= 100 AND regexp_matches(line, '[.!?''"]$')),
+q AS (SELECT *, list_filter(regexp_split_to_array(p, '[.!?]+'), lambda x: trim(x) <> '') AS parts FROM p)
+SELECT doc_id, paragraph, len(regexp_extract_all(p, '[^ ]+'))::BIGINT AS words, len(parts)::BIGINT AS sentences, coalesce(list_max(list_transform(parts, lambda x: len(regexp_extract_all(x, '[^ ]+')))), 0)::BIGINT AS longest FROM q""")
+def paragraph_stats(spark: SparkSession, d: str) -> DataFrame:
+    return prose.paragraph_stats(_docs(spark, d))
+
+
+@_query(rf"""WITH {_TALLY}, {_LINES}, w AS (SELECT l.doc_id, lang, line_no AS paragraph, unnest(regexp_extract_all(line, '\p{{L}}+')) AS raw FROM l JOIN documents d ON d.doc_id = l.doc_id),
+f AS (SELECT w.doc_id, paragraph, raw, known.word AS home FROM w LEFT JOIN known ON known.lang = w.lang AND known.word = lower(raw)),
+s AS (SELECT doc_id, paragraph, count(*) AS words, count(home) AS home, count(*) FILTER (WHERE home IS NULL AND length(raw) > 3 AND NOT regexp_matches(raw, '^\p{{Lu}}')) AS foreign_ FROM f GROUP BY ALL)
+SELECT doc_id, paragraph, words, home, foreign_ AS "foreign" FROM s WHERE words >= 20 AND home * 3 <= words AND foreign_ * 2 >= home""")
+def foreign_passages(spark: SparkSession, d: str) -> DataFrame:
+    return prose.foreign_passages(_docs(spark, d), spelling.dictionary(_counts(spark, d)))
+
+
+@_query("""WITH x AS (SELECT page_id, unnest(regexp_extract_all(html, '&#?[a-zA-Z0-9]+;')) AS entity FROM pages)
+SELECT entity, CASE WHEN entity LIKE '&#%' THEN 'NUMERIC' WHEN entity IN ('&lt;', '&gt;', '&amp;', '&quot;', '&nbsp;') THEN 'KEEP' ELSE 'NAMED' END AS kind, count(*) AS instances, count(DISTINCT page_id) AS uniques, list_sort(list(DISTINCT page_id))[:5000] AS pages FROM x GROUP BY entity""")
+def entity_tally(spark: SparkSession, d: str) -> DataFrame:
+    return prose.entity_tally(_read(spark, d, "pages", "page_id", "html"))
+
+
+@_query("SELECT page_id, replace(replace(html, '&middot;', '·'), '&copy;', '©') AS text FROM pages")
+def decoded_entities(spark: SparkSession, d: str) -> DataFrame:
+    return _read(spark, d, "pages", "page_id", "html").select("page_id", wikitext.decoded_column(F.col("html")).alias("text"))
+
+
+@_query()
+def plain_text(spark: SparkSession, d: str) -> DataFrame:
+    return _docs(spark, d).select("doc_id", wikitext.body_column(F.col("text")).alias("text"))
+
+
+@_query(f"WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9()]+')) AS formula FROM documents) SELECT formula, list_sort(list(doc_id)) AS articles FROM t WHERE regexp_matches(formula, '{classify.FORMULA}') AND regexp_matches(formula, '[0-9(]') GROUP BY formula")
+def chemical_formulas(spark: SparkSession, d: str) -> DataFrame:
+    return prose.formulas(_docs(spark, d))
+
+
+@_query("SELECT doc_id FROM documents WHERE contains(text, 'License')")
+def grep_literal(spark: SparkSession, d: str) -> DataFrame:
+    return prose.grep(_docs(spark, d), "License", literal=True)
+
+
+@_query("SELECT doc_id FROM documents WHERE regexp_matches(text, '[0-9]{3}-[0-9]{4}')")
+def grep_regex(spark: SparkSession, d: str) -> DataFrame:
+    return prose.grep(_docs(spark, d), "[0-9]{3}-[0-9]{4}")
+
+
+@_query(f"WITH {_LINES} SELECT doc_id, line_no, line FROM l WHERE regexp_matches(line, '@[a-z]+\\.')")
+def grep_lines(spark: SparkSession, d: str) -> DataFrame:
+    return prose.grep_lines(_docs(spark, d), "@[a-z]+\\.")
+
+
+_MAGNITUDE = "CASE WHEN freq < 10 THEN freq::VARCHAR ELSE freq::VARCHAR[1] || repeat('0', length(freq::VARCHAR) - 1) || '-' || freq::VARCHAR[1] || repeat('9', length(freq::VARCHAR) - 1) END".replace("freq::VARCHAR[1]", "left(freq::VARCHAR, 1)")
+
+
+@_query(f"WITH {_TALLY} SELECT {_MAGNITUDE} AS bucket, count(*) AS n FROM c GROUP BY 1")
+def frequency_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return reports.histogram(_counts(spark, d), "freq")
+
+
+@_query(f"WITH {_LINES} SELECT line, count(*) AS n FROM l GROUP BY line")
+def line_counts(spark: SparkSession, d: str) -> DataFrame:
+    return reports.line_counts(_docs(spark, d))
+
+
+@_query(r"WITH t AS (SELECT doc_id, unnest(regexp_extract_all(text, '[\p{L}''’]+')) AS word FROM documents) SELECT word, CASE WHEN regexp_matches(word, '[''’]s$') THEN 'S' WHEN regexp_matches(word, '^\p{Lu}') THEN 'P' ELSE '*' END AS class, count(*) AS total, count(DISTINCT doc_id) AS articles FROM t GROUP BY word")
+def uncertain_rollup(spark: SparkSession, d: str) -> DataFrame:
+    words = _docs(spark, d).select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[\\p{L}'’]+"), 0)).alias("word"))
+    return reports.uncertain_rollup(words)
+
+
+_PREFIXES = ", ".join(f"left(word, {k}) AS p{k}, count(*) OVER (PARTITION BY left(word, {k})) AS n{k}" for k in range(1, 6))
+
+
+@_query(f"WITH {_TALLY}, w AS (SELECT DISTINCT word FROM unk), p AS (SELECT word, {_PREFIXES} FROM w) SELECT word, CASE WHEN n1 <= 50 THEN p1 WHEN n2 <= 50 THEN p2 WHEN n3 <= 50 THEN p3 WHEN n4 <= 50 THEN p4 ELSE p5 END AS section FROM p")
+def word_sections(spark: SparkSession, d: str) -> DataFrame:
+    return reports.sections(_known_unknown(spark, d)[1])
+
+
+@_query()
+def merged_sections(spark: SparkSession, d: str) -> DataFrame:
+    return reports.merge_sections(reports.sections(_known_unknown(spark, d)[1]).groupBy("section").agg(F.count("*").alias("n")))
+
+
+@_query(r"""WITH e AS (SELECT regexp_extract(url, '^(?:[a-z]+://[^/]+)?/([^?#]*)', 1) AS src, unnest(regexp_extract_all(html, '<a href="([^"]+)"', 1)) AS t FROM pages)
+SELECT DISTINCT src, regexp_extract(t, '^(?:[a-z]+://[^/]+)?/([^?#]*)', 1) AS dst FROM e WHERE src <> regexp_extract(t, '^(?:[a-z]+://[^/]+)?/([^?#]*)', 1)""")
+def page_links(spark: SparkSession, d: str) -> DataFrame:
+    return graph.page_links(_read(spark, d, "pages", "url", "html"))
+
+
+def _edges(spark: SparkSession, d: str) -> DataFrame:
+    return graph.host_words(_read(spark, d, "pages", "html"))
+
+
+def _seed(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(_SEED,)], "node string")
+
+
+@_query(f"WITH {_EDGES} SELECT src, count(*) AS out FROM e GROUP BY src HAVING count(*) >= 5")
+def out_degrees(spark: SparkSession, d: str) -> DataFrame:
+    return graph.degrees(_edges(spark, d), 5)
+
+
+_REACH = "(SELECT '{s}' AS node UNION SELECT e.{b} FROM {r} r JOIN e ON e.{a} = r.node)"
+
+
+@_query(f"WITH RECURSIVE {_EDGES}, fwd AS {_REACH.format(s=_SEED, a='src', b='dst', r='fwd')} SELECT node FROM fwd")
+def reachable_pages(spark: SparkSession, d: str) -> DataFrame:
+    return graph.reachable(_edges(spark, d), _seed(spark)).select("node")
+
+
+@_query(f"WITH RECURSIVE {_EDGES}, fwd AS {_REACH.format(s=_SEED, a='src', b='dst', r='fwd')}, bwd AS {_REACH.format(s=_SEED, a='dst', b='src', r='bwd')} SELECT node FROM fwd INTERSECT SELECT node FROM bwd")
+def main_loop(spark: SparkSession, d: str) -> DataFrame:
+    return graph.loop_of(_edges(spark, d), _seed(spark))
+
+
+@_query(f"WITH {_EDGES} SELECT DISTINCT dst AS node FROM e WHERE dst NOT IN (SELECT src FROM e)")
+def dead_ends(spark: SparkSession, d: str) -> DataFrame:
+    return graph.dead_ends(_edges(spark, d))
