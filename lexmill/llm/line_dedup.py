@@ -145,8 +145,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 40) -> DataFrame:
     is replaced. An empty table gives an empty result.
     """
     rest = [c for c in docs.columns if c not in ("text", "lines_removed")]
-    runs = repeated_runs(docs, min_words).withColumnRenamed("doc", "__doc")
-    joined = docs.join(runs, docs["doc_id"] == runs["__doc"], "left").select(*[docs[c] for c in rest], docs["text"].cast("string").alias("text"), "runs")
+    runs = repeated_runs(docs, min_words).withColumnsRenamed({"doc": "__doc", "runs": "__runs"})
+    joined = docs.join(runs, docs["doc_id"] == runs["__doc"], "left").select(*[docs[c] for c in rest], docs["text"].cast("string").alias("text"), "__runs")
     fields = [*joined.schema.fields[:-1], T.StructField("lines_removed", T.IntegerType())]
     return joined.mapInArrow(_rebuild, T.StructType(fields)).select(*[c for c in docs.columns if c != "lines_removed"], "lines_removed")
 

@@ -1,0 +1,219 @@
+"""Against SQL, brute force and the corner cases: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import random
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from lexmill.llm import fingerprints, jaccard, langid, licenses, line_dedup, mixing, packing, pii, quality, queries, revisits
+from tests.compare import SMALL, oracle, rows
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, runs string, shard int"
+LONG = " ".join(f"w{i % 977}" for i in range(60000))
+PASSAGE = "\n".join(f"line {i} of a passage that many documents share with each other" for i in range(9))
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    texts = [None, "", " \n\t", "a", "one two three four", "one two three four", PASSAGE, "before\n" + PASSAGE + "\nafter", LONG, "x\0y é 日本", "one two three four five six seven"]
+    data = [(i, t, None if i % 4 == 0 else "en", None if i % 3 == 0 else f"src{i % 3}", 0, "k", "r", 1) for i, t in enumerate(texts)]
+    data += [data[4], data[7], (None, "no id at all here", "en", "src1", 0, "k", "r", 1), (None, None, None, None, None, None, None, None), (6, "one id with two texts", "de", "src2", 0, "k", "r", 1)]
+    return spark.createDataFrame(data, DOCS)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_sql(spark, name):
+    assert rows(queries.QUERIES[name](spark, SMALL)) == oracle(queries.ORACLE_SQL[name])
+
+
+OPERATORS = [line_dedup.dedup_lines, pii.surrogate_pii, langid.identify, fingerprints.fingerprints, jaccard.jaccard_groups, jaccard.drop_near_duplicates, mixing.mix, licenses.scan_licenses, quality.quality_filter, packing.pack_documents]
+
+
+@pytest.mark.parametrize("op", OPERATORS, ids=lambda f: f.__name__)
+def test_odd_rows(op, odd):
+    got = op(odd)
+    got.collect()
+    assert op(odd.limit(0)).collect() == []
+    if op in (line_dedup.dedup_lines, pii.surrogate_pii, langid.identify):
+        assert got.count() == odd.count() and set(odd.columns) <= set(got.columns)
+
+
+def test_odd_results(odd):
+    d = {(r.doc_id, r.text): r.lines_removed for r in line_dedup.dedup_lines(odd).collect()}
+    assert d[6, PASSAGE] == 0 and d[7, "before\nafter"] == 9 and d[0, None] == 0 and d[1, ""] == 0
+    assert {(r.doc_id, r.group_id) for r in jaccard.jaccard_groups(odd).collect()} == {(4, 4), (5, 4), (6, 6), (7, 6)}
+    kept = jaccard.drop_near_duplicates(odd).collect()
+    assert sum(r.doc_id is None for r in kept) == 2 and {r.doc_id for r in kept} >= {0, 1, 2, 3, 4, 6, 8} and not {5, 7} & {r.doc_id for r in kept}
+    packed = packing.pack_documents(odd, 2048).where("doc_id = 8").agg(F.sum("n_tokens"), F.count("*")).first()
+    assert tuple(packed) == (60000, 30)
+
+
+def words(t):
+    w = t.split()
+    return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_jaccard_brute_force(spark, seed):
+    rng = random.Random(seed)
+    pool, texts = ["".join(rng.choices("abcdef", k=3)) for _ in range(60)], []
+    for _ in range(120):
+        if texts and rng.random() < 0.6:
+            w = rng.choice(texts).split()
+            for _ in range(rng.randrange(6)):
+                w[rng.randrange(len(w))] = rng.choice(pool)
+            texts.append(" ".join(w))
+        else:
+            texts.append(" ".join(rng.choices(pool, k=rng.randrange(1, 40))))
+    sets, name = [words(t) for t in texts], list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.6 and name[a] != name[b]:
+                lo, hi = sorted((name[a], name[b]))
+                name = [lo if x == hi else x for x in name]
+    want = {(i, n) for i, n in enumerate(name) if name.count(n) > 1}
+    got = jaccard.jaccard_groups(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5))
+    assert {tuple(r) for r in got.collect()} == want
+
+
+def slow_pack(sizes, capacity):
+    bins, out = [], []
+    for s in sizes:
+        best = None
+        for b in [*range(len(bins)), len(bins)]:
+            gap = bins[b] if b < len(bins) else capacity
+            if gap < s:
+                continue
+            after = [*bins, capacity] if b == len(bins) else list(bins)
+            after[b] -= s
+            squares = sum(x * x for g, x in zip(*np.unique([g for g in after if 0 < g < capacity], return_counts=True)))
+            at = (squares, b == len(bins), gap)
+            if best is None or at < best[0]:
+                best = (at, b)
+        if best[1] == len(bins):
+            bins.append(capacity)
+        bins[best[1]] -= s
+        out.append((best[0], s))
+    return out, sorted(bins)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_packing_brute_force(seed):
+    sizes = np.random.default_rng(seed).integers(1, 21, 150)
+    bins, slots = packing.pack(sizes, 20)
+    left = 20 - np.bincount(bins, weights=sizes)
+    assert sorted(left.astype(int).tolist()) == slow_pack(sizes.tolist(), 20)[1]
+    assert len(set(zip(bins.tolist(), slots.tolist()))) == len(sizes)
+
+
+def test_language_accuracy(spark):
+    got = langid.identify(spark.read.parquet(f"{SMALL}/documents.parquet"), sample=25)
+    seen = got.where("predicted is not null").agg(F.avg((F.col("predicted") == F.col("lang")).cast("double")), F.avg("confidence")).first()
+    assert seen[0] > 0.95
+    model = langid.train(["aaa bbb", "ccc ddd"] * 20, ["x", "y"] * 20, np.ones(1 << langid.BITS))
+    assert (model.weights == 0).mean() > 0.99
+
+
+def test_matching_statistics():
+    rng = random.Random(1)
+    seqs = [[rng.randrange(4) for _ in range(15)] for _ in range(4)]
+    auto = licenses.SuffixAutomaton(seqs)
+    subs = {tuple(s[i:j]) for s in seqs for i in range(15) for j in range(i, 16)}
+    text = [rng.randrange(5) for _ in range(300)]
+    want = [max(n for n in range(i + 2) if tuple(text[i + 1 - n : i + 1]) in subs) for i in range(300)]
+    got = list(auto.statistics(text))
+    assert [n for n, _ in got] == want
+    for i, (n, s) in enumerate(got):
+        assert n == 0 or {(k, e) for k, q in enumerate(seqs) for e in range(n, 16) if q[e - n : e] == text[i + 1 - n : i + 1]} == set(auto.ends[s])
+
+
+def test_license_spans(spark):
+    text = "Préface. Licensed under the Apache License,\nVersion 2.0. And more"
+    r = licenses.scan_licenses(spark.createDataFrame([(1, text), (2, "no terms under which it is given")], "doc_id bigint, text string")).collect()
+    assert [(x.license, text[x.start_char : x.end_char]) for x in r] == [("Apache-2.0-notice", "Licensed under the Apache License,\nVersion 2.0")]
+
+
+def test_surrogates(spark):
+    text = "Mail anna.b@mail.org or ANNA.B@mail.org, call +1 (555) 123-4567 or +15551234567; Mrs Anna Keller and Anna Keller met John Smith at 10.0.0.7. Card 4111 1111 1111 1111. IBAN DE89 3704 0044 0532 0130 00."
+    out = pii.surrogate_pii(spark.createDataFrame([(1, text), (2, "nothing here")], "doc_id bigint, text string")).orderBy("doc_id").collect()
+    new, found = out[0].text, {k: text[a:z] for a, z, k in pii.detect(text)}
+    assert out[1].text == "nothing here" and out[1].n_entities == 0 and out[0].n_entities == len(pii.detect(text))
+    assert not any(x in new for x in ("anna.b@mail.org", "123-4567", "Keller", "Smith", "4111 1111", "10.0.0.7"))
+    again = pii.detect(new)
+    assert {k for *_, k in again} == set(found) and new.count("Mrs ") == 1
+    persons = [new[a:z].replace("Mrs ", "") for a, z, k in again if k == "PERSON"]
+    assert persons[0] == persons[1] != persons[2] and persons[0].split()[0] in pii.NAMES["f", "latin"] and persons[2].split()[0] in pii.NAMES["m", "latin"]
+    mails = [new[a:z].lower() for a, z, k in again if k == "EMAIL"]
+    assert mails[0] == mails[1]
+    card = next(new[a:z] for a, z, k in again if k == "CARD")
+    assert pii._luhn(card.replace(" ", "")) == 0 and pii._mod97(next(new[a:z] for a, z, k in again if k == "IBAN").replace(" ", "")) == 1
+    s = pii.Surrogates(b"k")
+    assert sorted(s.permute(x, 1000, "t") for x in range(1000)) == list(range(1000))
+
+
+def test_winnowing_guarantee():
+    rng = np.random.default_rng(3)
+    shared = rng.integers(97, 123, 32 + 64 - 1).astype(np.uint64)
+    texts = [np.concatenate([rng.integers(97, 123, n).astype(np.uint64), shared, rng.integers(97, 123, 50).astype(np.uint64)]) for n in (10, 333)]
+    got = []
+    for t, n in zip(texts, (10, 333)):
+        h = fingerprints.kgram_hashes(t, 32)
+        got.append({(int(h[p]), int(p) - n) for p in fingerprints.window_minima(h, 64)})
+    assert got[0] & got[1]
+    for n in (1, 5, 64, 300):
+        h = rng.integers(0, 4, n).astype(np.uint64) << np.uint64(60)
+        slow = sorted({max(range(i, min(i + 7, n)), key=lambda j: (-int(h[j]), j)) for i in range(max(1, n - 6))})  # noqa: B023
+        assert fingerprints.window_minima(h, 7).tolist() == slow
+
+
+def test_allotment():
+    leaves = {("a", "x"): 10, ("a", "y"): 100, ("b", "x"): 1000}
+    got = mixing.allot(leaves, 300, {}, 1)
+    assert got == {("a", "x"): 10, ("a", "y"): 100, ("b", "x"): 190}
+    assert mixing.allot(leaves, 100, {("b",): 3}, 1) == {("a", "x"): 10, ("a", "y"): 15, ("b", "x"): 75}
+    assert mixing.allot({}, 5, {}, 1) == {}
+
+
+def test_revisit_states(spark):
+    h = [("ETag", "x"), ("Content-Length", "9")]
+    data = [
+        (1, "response", "http://www.A.com/p/?b=2&a=1#f", 10, 200, '"1"', None, None, h, "old"), (2, "response", "a.com/p?a=1&b=2", 20, 200, '"2"', None, None, h, "new"),
+        (3, "revisit", "https://a.com/p?a=1&utm_source=q&b=2", 30, 304, 'W/"2"', None, None, [("etag", "y"), ("Content-Length", "0")], None), (4, "revisit", "a.com/p?a=1&b=2", 15, 304, '"9"', None, None, None, None),
+        (5, "revisit", "a.com/p?a=1&b=2", 10, 304, '"1"', None, None, None, None), (6, "revisit", None, 50, 304, '"1"', None, None, None, None), (7, "revisit", "a.com/p?a=1&b=2", 99, 304, None, None, "d", None, None),
+    ]
+    kind = "record_id bigint, kind string, url string, ts bigint, status int, etag string, last_modified string, digest string, headers array<struct<name:string,value:string>>, body string"
+    got = {r.record_id: (r.state, r.refers_to, r.body) for r in revisits.resolve_revisits(spark.createDataFrame(data, kind)).collect()}
+    assert got == {3: ("resolved", 2, "new"), 4: ("mismatch", None, None), 5: ("missing", None, None), 6: ("missing", None, None), 7: ("unverifiable", None, None)}
+    assert revisits.resolve_revisits(spark.createDataFrame([], kind)).collect() == []
+
+
+def test_pipeline_stages(spark, tmp_path):
+    docs, path = spark.read.parquet(f"{SMALL}/documents.parquet"), str(tmp_path / "0")
+    docs.write.parquet(path)
+    checks = {"line_dedup": lambda s: line_dedup.dedup_lines_sql(source=s), "ngram_jaccard_join": lambda s: jaccard.jaccard_sql(source=s), "mixing": lambda s: mixing.mix_sql(source=s)}
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = pq.read_table(path)
+        out = stage(spark, spark.read.parquet(path), SMALL)
+        path = str(tmp_path / str(k + 1))
+        out.write.parquet(path)
+        after = pq.read_table(path)
+        ids = after.column("doc_id").to_pylist()
+        if name != "packing":
+            assert after.column_names == before.column_names and set(ids) <= set(before.column("doc_id").to_pylist())
+        if name == "language_id":
+            assert len(ids) > 0.9 * before.num_rows
+        if name in checks:
+            cols, want = oracle(checks[name]("docs"), docs=before)
+            if name == "line_dedup":
+                want = {(r[0], r[2]) for r in want if r[1] == "0" or r[2].strip()}
+                assert {(str(a), b) for a, b in zip(ids, after.column("text").to_pylist())} == want
+            elif name == "ngram_jaccard_join":
+                gone = {int(r[0]) for r in want if r[0] != r[1]}
+                assert sorted(ids) == sorted(i for i in before.column("doc_id").to_pylist() if i not in gone)
+            else:
+                assert sorted(map(str, ids)) == sorted(r[cols.index("doc_id")] for r in want)
+    whole = rows(corpus_pipeline.run(spark, SMALL))
+    assert whole == rows(spark.read.parquet(path))
