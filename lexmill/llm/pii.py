@@ -42,6 +42,10 @@ ENDINGS = {"latin": "son ton mann er ley field wood sen".split(), "cyrillic": "
 FIRST = {n: (g, s, i) for (g, s), ns in NAMES.items() for i, n in enumerate(ns)}
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 _WORD = r"[^\W\d_]"
+_UPPER = "[" + "".join(c for c in map(chr, range(0x20000)) if c.isupper() or c.istitle()) + "]"
+_CAP = rf"{_UPPER}{_WORD}*(?:-{_WORD}+)*"
+PARTICLES = set("van von der den de del della di da dos das du la le zu zum zur af av ten ter bin ibn".split())
+_TITLE, _FIRST, _PARTICLE = ("(?:" + "|".join(sorted(x, key=len, reverse=True)) + ")" for x in (TITLES, FIRST, PARTICLES))
 PATTERNS = [
     ("EMAIL", re.compile(r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9_%+-])?@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")),
     ("SECRET", re.compile(r"(?i)\b(?:token|secret|api[_-]?key|access[_-]?key|password|passwd|pwd)\b[\"']?\s*[:=]\s*[\"']?([A-Za-z0-9][A-Za-z0-9_+/=.-]{6,}[A-Za-z0-9=])")),
@@ -51,8 +55,9 @@ PATTERNS = [
     ("PHONE", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])")),
     ("SSN", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     ("CARD", re.compile(r"(?<![\w.,-])\d(?:[ -]?\d){12,18}(?![\w-])")),
-    ("PERSON", re.compile(rf"(?<!\w)(?:(?:{'|'.join(sorted(TITLES, key=len, reverse=True))})\.? {_WORD}+(?:-{_WORD}+)?(?: {_WORD}+(?:-{_WORD}+)?){{0,2}}|(?:{'|'.join(sorted(FIRST, key=len, reverse=True))})(?: {_WORD}+(?:-{_WORD}+)?){{1,2}})(?!\w)")),
+    ("PERSON", re.compile(rf"(?<!\w)(?:(?:{_TITLE}\.? )+(?:{_FIRST} )*(?:{_PARTICLE} ){{0,3}}{_CAP}(?: {_CAP}){{0,2}}|(?:{_FIRST} )+(?:{_PARTICLE} ){{0,3}}{_CAP}(?: {_CAP})?)(?!\w)")),
 ]
+_LONE = re.compile(rf"(?<!\w){_CAP}(?!\w)")
 _TRIGGER = np.zeros(256, bool)
 _TRIGGER[[*range(48, 58), 64, 61, 58]] = True
 
@@ -70,8 +75,27 @@ def _luhn(digits: str) -> int:
     return sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits))) % 10
 
 
+def name_parts(person: str) -> list[tuple[str, str]]:
+    """(FIRST or LAST, canonical form) of a person's names, without titles and particles."""
+    return [("FIRST" if p in FIRST else "LAST", p if p in FIRST else p.lower()) for p in person.split(" ") if p.rstrip(".") not in TITLES and p not in PARTICLES]
+
+
+def _lone(text: str, names: set[tuple[str, str]]) -> Iterator[tuple[int, int, str]]:
+    """Where a capitalised word, or a part of one with hyphens, is one of ``names``; initials are passed over."""
+    for m in _LONE.finditer(text):
+        a = m.start()
+        for p in [m[0]] if "-" not in m[0] or name_parts(m[0])[0] in names else m[0].split("-"):
+            if len(p) > 1 and p[0] != p[0].lower() and names.intersection(name_parts(p)):
+                yield a, a + len(p), "PERSON"
+            a += len(p) + 1
+
+
 def detect(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, type) of the entities, in order and apart; of overlapping ones the earlier type in PATTERNS stays."""
+    """(start, end, type) of the entities, in order and apart; of overlapping ones the earlier type in PATTERNS stays.
+
+    Names of a person found anywhere in the text are persons too where they stand alone.
+    """
+    names: set[tuple[str, str]] = set()
     found: list[tuple[int, int, str]] = []
     for kind, pattern in PATTERNS:
         for m in pattern.finditer(text):
@@ -82,17 +106,12 @@ def detect(text: str) -> list[tuple[int, int, str]]:
             if kind == "PHONE" and not 9 <= sum(c.isdigit() for c in s) <= 15:
                 continue
             if kind == "PERSON":
-                parts = s.split(" ")
-                while parts and not parts[-1][0].isupper():
-                    parts.pop()
-                if len(parts) < 2 or not all(p[0].isupper() for p in parts):
-                    continue
-                z = a + len(" ".join(parts))
+                names.update(name_parts(s))
             found.append((a, z, kind))
         # what is found already is out of reach of the later patterns
         for a, z, _ in found:
             text = text[:a] + "\0" * (z - a) + text[z:]
-    return sorted(found)
+    return sorted([*found, *(_lone(text, names) if names else ())])
 
 
 class Surrogates:
@@ -151,7 +170,7 @@ class Surrogates:
         if kind == "IBAN":
             return [(kind, s.replace(" ", ""))]
         if kind == "PERSON":
-            return [("FIRST" if p in FIRST else "LAST", p if p in FIRST else p.lower()) for p in s.split(" ") if p.rstrip(".") not in TITLES]
+            return name_parts(s)
         return [(kind, s)]
 
     def of(self, kind: str, form: str) -> str:
@@ -201,7 +220,7 @@ class Surrogates:
         if kind == "PERSON":
             out = []
             for p in s.split(" "):
-                if p.rstrip(".") in TITLES:
+                if p.rstrip(".") in TITLES or p in PARTICLES:
                     out.append(p)
                     continue
                 new = self.of(*self.entities(kind, p)[0])
@@ -315,7 +334,7 @@ def surrogate_pii(docs: DataFrame, key: bytes = b"lexmill", broadcast_limit: int
 
     Types: e-mail, secrets (assigned tokens, known key formats, long hex), IBAN (checksum kept valid), IPv4 (private and public apart), phone
     (country code stays), SSN, card and account numbers (Luhn validity stays), and persons (a title or known first name before capitalised
-    words; titles stay). A null text stays null, texts without entities stay as they are to the byte. The key decides all
+    words, and later or earlier mentions by one of these names alone; titles and particles as in 'van der Berg' stay). A null text stays null, texts without entities stay as they are to the byte. The key decides all
     surrogates; repeated rows and repeated entities get equal ones. Extra columns pass through, whatever their names; a column n_entities is
     replaced. An empty table gives an empty result.
 

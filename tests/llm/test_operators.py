@@ -154,6 +154,24 @@ def test_surrogates(spark):
     assert sorted(s.permute(x, 1000, "t") for x in range(1000)) == list(range(1000))
 
 
+@pytest.mark.parametrize("text, want", [
+    ("Mr Smith in London", ["Mr Smith"]), ("Dr Brown visited Paris", ["Dr Brown"]), ("Mrs Keller told John Miller", ["Mrs Keller", "John Miller"]),
+    ("Anna met John Smith", ["John Smith"]), ("Frau Keller kauft Brot", ["Frau Keller"]), ("Prof. Dr. Weber kam", ["Prof. Dr. Weber"]), ("Г-н Иванов живёт в Москве", ["Г-н Иванов"]),
+    ("Maria de Souza and Mr van der Berg left Rome", ["Maria de Souza", "Mr van der Berg"]), ("Mr de Witt", ["Mr de Witt"]), ("Mr smith in London", []),
+    ("Keller saw it. Anna Keller's dog knew KELLER and Keller-Maier, not kellers or Kellermann.", ["Keller", "Anna Keller", "KELLER", "Keller"]), ("Mr Thomas sat. Thomas rose. John F sat. F rose", ["Mr Thomas", "Thomas", "John F"]),
+])
+def test_persons(text, want):
+    assert [text[a:z] for a, z, _ in pii.detect(text)] == want
+
+
+def test_lone_surname(spark):
+    text = "Anna Keller met John Smith. Keller left; SMITH stayed with Mr van der Berg. Berg slept."
+    new = pii.surrogate_pii(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    w = new.text.replace(".", "").replace(";", "").split()
+    assert new.n_entities == 6 and not any(x.lower() in new.text.lower() for x in ("Keller", "Smith", "Berg"))
+    assert w[1] == w[5] and w[4].upper() == w[7] and w[13] == w[14] and w[9:13] == "with Mr van der".split()
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(3)
     shared = rng.integers(97, 123, 32 + 64 - 1).astype(np.uint64)
