@@ -4,7 +4,7 @@ The same entity gets the same surrogate everywhere, whatever its punctuation or
 entities get different ones (distinctness). For identifiers both hold by construction: an entity's digits and letters
 are one number below the product of their radices, and a keyed Feistel permutation of that range, with cycle walking, gives
 the surrogate's. First names move by a keyed rotation within the names of their gender and script. Surnames
-are open-ended, so theirs are drawn by a keyed hash; all surrogates of the corpus are then checked against
+are open-ended, so theirs are drawn by a keyed hash, a syllable longer at each attempt; all surrogates of the corpus are then checked against
 each other and against all originals, and the later of two that collide is drawn again until none does.
 
 Two map-only passes read the texts (one to gather distinct entities, one to rewrite); no text is shuffled.
@@ -208,8 +208,9 @@ class Surrogates:
             return pool[order[(order.index(i) + 1 + self._prf("turn", g, sc) % (len(pool) - 1)) % len(pool)]]
         if kind == "LAST":
             sc = script(form)
+            # a syllable more with each attempt: any number of surnames finds room after a few
             x, out = self._prf(*t, form), ""
-            for _ in range(2 + x % 2):
+            for _ in range(2 + x % 2 + t[1]):
                 x, d = divmod(x // 2, len(SYLLABLES[sc]))
                 out += SYLLABLES[sc][d]
             return out + ENDINGS[sc][x % len(ENDINGS[sc])]

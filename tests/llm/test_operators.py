@@ -172,6 +172,15 @@ def test_lone_surname(spark):
     assert w[1] == w[5] and w[4].upper() == w[7] and w[13] == w[14] and w[9:13] == "with Mr van der".split()
 
 
+def test_more_surnames_than_short_surrogates(spark):
+    forms = ["α" + "".join(chr(0x3B1 + i // 17**k % 17) for k in range(4)) for i in range(20_000)]
+    kind = "kind string, form string"
+    again = pii.collisions(spark.createDataFrame([("LAST", f) for f in forms], kind), b"k").collect()
+    s = pii.Surrogates(b"k", {(r.kind, r.form): r.attempt for r in again})
+    new = {s.of("LAST", f) for f in forms}
+    assert len(new) == len(forms) > 16**2 * 4 + 16**3 * 4 and not new & set(forms) and max(r.attempt for r in again) < 8
+
+
 def test_winnowing_guarantee():
     rng = np.random.default_rng(3)
     shared = rng.integers(97, 123, 32 + 64 - 1).astype(np.uint64)
