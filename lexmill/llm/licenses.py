@@ -10,7 +10,9 @@ Tokens that no template has reset the automaton, so only maximal runs of known t
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -18,17 +20,47 @@ from pyspark.sql import DataFrame
 
 from lexmill.llm._common import buffers, spans, words
 
-TEMPLATES = {
-    "MIT-notice": "Released under the MIT License.",
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+_GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
+_NO_WARRANTY = "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {1} for more details."
+_CC = {"BY": [""], "BY-SA": ["ShareAlike", "Share Alike"], "BY-ND": ["NoDerivatives", "NoDerivs", "No Derivatives", "No Derivative Works"], "BY-NC": ["NonCommercial", "Non-Commercial"], "BY-NC-SA": ["NonCommercial-ShareAlike", "Non-Commercial-Share Alike", "Non-Commercial ShareAlike"], "BY-NC-ND": ["NonCommercial-NoDerivatives", "NonCommercial-NoDerivs", "Non-Commercial-No Derivatives", "Non-Commercial No Derivative Works"]}
+
+
+def _notices() -> dict[str, list[tuple[str, str]]]:
+    """Forms of each licence's notice, and in each the words that tell it from those of other licences and versions."""
+    out: dict[str, list[tuple[str, str]]] = {
+        "MIT-notice": [(f"{x} under the MIT License.", "MIT License") for x in ("Released", "Licensed", "Distributed")],
+        "BSD-2-Clause-notice": [(f"Licensed under the {x}", x) for x in ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License")],
+        "BSD-3-Clause-notice": [(f"Licensed under the {x}", x) for x in ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License")],
+        "ISC-notice": [("Licensed under the ISC License.", "ISC License")],
+        "Unlicense-notice": [("Released into the public domain under the Unlicense.", "the Unlicense")],
+        "CC0-1.0-notice": [("Licensed under CC0 1.0 Universal.", "CC0 1.0"), ("Creative Commons CC0 1.0 Universal Public Domain Dedication", "CC0 1.0")],
+        "Apache-2.0-notice": [(f"Licensed under the {x}", x) for x in ("Apache License, Version 2.0.", "Apache License 2.0", "Apache License v2.0", "Apache 2.0 License")],
+        "Apache-1.1-notice": [(f"Licensed under the {x}", x) for x in ("Apache License, Version 1.1.", "Apache Software License, Version 1.1")],
+        "MPL-2.0-header": [("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "Mozilla Public License, v. 2.0")],
+    }
+    for v in ("1.1", "2.0"):
+        out[f"MPL-{v}-notice"] = [(f"Licensed under the {x}", x) for x in (f"Mozilla Public License, version {v}", f"Mozilla Public License {v}", f"Mozilla Public License v{v}")]
+    for short, v in (("GPL", "1"), ("GPL", "2"), ("GPL", "3"), ("LGPL", "2"), ("LGPL", "2.1"), ("LGPL", "3"), ("AGPL", "3")):
+        whole, name = _GNU[short] if (short, v) != ("LGPL", "2") else "GNU Library General Public License", f"{short}-{v if '.' in v else v + '.0'}"
+        keys = [f"{whole}, version {v}", f"{whole} v{v}", f"{whole} {v}", f"version {v} of the {whole}", f"GNU {short} version {v}", f"GNU {short} v{v}"]
+        out[f"{name}-notice"] = [(f"{at} under the {k}.", k) for k in keys for at in ("This work is licensed", "Licensed")]
+        what = "library" if whole != _GNU["GPL"] and short == "LGPL" else "program"
+        for version in (f"either version {v} of the License, or (at your option) any later version", f"version {v} of the License", f"version {v}"):
+            key = f"{whole} as published by the Free Software Foundation, {version}"
+            out.setdefault(f"{name}-header", []).append((f"This {what} is free software: you can redistribute it and/or modify it under the terms of the {key}. " + _NO_WARRANTY.format(what, whole), key))
+    for form, spelled in _CC.items():
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            kind = "International" if v == "4.0" else "Unported" if v == "3.0" else "Generic"
+            keys = [f"Creative Commons Attribution {x} {v}" for x in spelled]
+            out[f"CC-{form}-{v}-notice"] = [(f"{at}{k} {kind} License", k) for k in keys for at in ("This work is licensed under a ", "")] + [(f"Licensed under CC {form} {v}.", f"CC {form} {v}")]
+    return out
+
+
+_TEXTS = {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+#: Template texts by name. Whole texts end in -text where the plain name is that of the licence's file header.
+TEMPLATES: dict[str, str | list[str]] = {k: [t for t, _ in x] for k, x in _notices().items()} | {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-}
+} | {f"{k}-text" if k == "Apache-2.0" else k: [t, t.partition("THE SOFTWARE IS PROVIDED")[0]] if k in ("MIT", "ISC") else t for k, t in _TEXTS.items()}
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _FOLD = np.arange(256)
@@ -55,6 +87,7 @@ class SuffixAutomaton:
     """Generalised suffix automaton over several token sequences; ``ends`` lists (sequence, end) of each state's substrings."""
 
     def __init__(self, sequences: list[list[int]]):
+        self.sequences = sequences
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length, self.ends = [-1], [0], [[]]
         for k, seq in enumerate(sequences):
@@ -109,11 +142,19 @@ class SuffixAutomaton:
 
 
 def maximal_matches(auto: SuffixAutomaton, seq: list[int], least: int) -> list[tuple[int, int, int, int]]:
-    """(template, file start, template start, length) of the matches that are longest at their end and don't go on."""
-    out, stats = [], list(auto.statistics(seq))
-    for i, (n, s) in enumerate(stats):
-        if n >= least and (i + 1 == len(stats) or stats[i + 1][0] != n + 1):
-            out.extend((k, i + 1 - n, end - n, n) for k, end in auto.ends[s])
+    """(template, file start, template start, length) of each template's matches that can be made longer on neither side."""
+    out = []
+    for i, (n, s) in enumerate(auto.statistics(seq)):
+        after, seen = seq[i + 1] if i + 1 < len(seq) else None, set()
+        # what only shorter suffixes match is found along the links
+        while n >= least:
+            for k, end in auto.ends[s]:
+                if (k, end) not in seen:
+                    seen.add((k, end))
+                    if end == len(auto.sequences[k]) or auto.sequences[k][end] != after:
+                        out.append((k, i + 1 - n, end - n, n))
+            s = auto.link[s]
+            n = auto.length[s]
     return out
 
 
@@ -142,17 +183,34 @@ def chains(matches: list[tuple[int, int, int, int]], gap: int) -> list[tuple[int
     return out
 
 
-def scan_tokens(auto: SuffixAutomaton, sizes: list[int], seq: list[int], least: int, gap: int, coverage: int):
+@lru_cache(2)
+def _automaton(sequences: tuple[tuple[int, ...], ...]) -> SuffixAutomaton:
+    return SuffixAutomaton(sequences)
+
+
+def key_spans(seq: Sequence[int], keys: list[Sequence[int]]) -> list[tuple[int, int]]:
+    """Where the keys stand in a template."""
+    return [(i, i + len(k)) for k in keys for i in range(len(seq) - len(k) + 1) if tuple(seq[i : i + len(k)]) == tuple(k)]
+
+
+def scan_tokens(auto: SuffixAutomaton, sizes: list[int], seq: list[int], least: int, gap: int, coverage: int, keys: Mapping[int, list[tuple[int, int]]] | None = None):
     """(template, first token, end token, template start, template end, matched, per mille, matches) of a token sequence.
 
-    Of chains on the same tokens those of the greatest coverage of their template stay.
+    ``keys``: template spans of which a chain must hold one in a single match. Of chains on the same tokens that with
+    the most tokens stays, so that a whole text goes before the notice in it; then the greatest coverage.
     """
-    found = []
-    for k, chain in chains(maximal_matches(auto, seq, least), gap):
+    found, matches, total, held = [], maximal_matches(auto, seq, least), {}, set()
+    for k, _, t, m in matches:
+        total[k] = total.get(k, 0) + m
+        if not keys or k not in keys or any(t <= a and z <= t + m for a, z in keys[k]):
+            held.add(k)
+    # no chain of the others can be long enough, or hold a key
+    matches = [m for m in matches if m[0] in held and total[m[0]] * 1000 >= coverage * sizes[m[0]]]
+    for k, chain in chains(matches, gap):
         n = sum(c[2] for c in chain)
-        if n * 1000 >= coverage * sizes[k]:
+        if n * 1000 >= coverage * sizes[k] and (not keys or k not in keys or any(t <= a and z <= t + m for _, t, m in chain for a, z in keys[k])):
             found.append((k, chain[0][0], chain[-1][0] + chain[-1][2], chain[0][1], chain[-1][1] + chain[-1][2], n, n * 1000 // sizes[k], len(chain)))
-    found.sort(key=lambda x: (-x[6], -x[5], x[0], x[1]))
+    found.sort(key=lambda x: (-x[5], -x[6], x[0], x[1]))
     kept = []
     for x in found:
         if all(x[2] <= y[1] or x[1] >= y[2] for y in kept):
@@ -160,20 +218,20 @@ def scan_tokens(auto: SuffixAutomaton, sizes: list[int], seq: list[int], least:
     return sorted(kept, key=lambda x: (x[1], x[0]))
 
 
-def scan_licenses(docs: DataFrame, templates: Mapping[str, str] | None = None, min_match: int = 4, max_gap: int = 8, min_coverage: int = 600) -> DataFrame:
+def scan_licenses(docs: DataFrame, templates: Mapping[str, str | list[str]] | None = None, min_match: int = 4, max_gap: int = 8, min_coverage: int = 600) -> DataFrame:
     """SCHEMA: spans of each whole text that cover at least ``min_coverage`` per mille of a licence template.
 
     start_char and end_char are character offsets into the text, template_start and template_end are tokens. A text
-    may hold several spans; of overlapping ones that with the greatest coverage stays (then the most tokens, then the
-    earliest template). Null and empty texts and those without licences give no row. Templates of fewer tokens
+    may hold several spans; of overlapping ones that with the most tokens stays (then the greatest coverage, then the
+    earliest template). A template may have several forms. Null and empty texts and those without licences give no row. Templates of fewer tokens
     than ``min_match`` match never. Repeated rows give repeated results, null ids are kept, extra columns are
     ignored whatever their names. An empty table gives an empty result.
     """
-    templates = TEMPLATES if templates is None else templates
-    names, seqs = list(templates), [tokens(t) for t in templates.values()]
+    forms = [(k, f) for k, t in (TEMPLATES if templates is None else templates).items() for f in ([t] if isinstance(t, str) else t)]
+    names, seqs = [k for k, _ in forms], tuple(tuple(tokens(t)) for _, t in forms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        auto, sizes = SuffixAutomaton(seqs), [len(s) for s in seqs]
+        auto, sizes = _automaton(seqs), [len(s) for s in seqs]
         known = np.unique(np.array([t for s in seqs for t in s], np.uint64))
         # a filter by 16 bits, before the search
         low = np.zeros(1 << 16, bool)

@@ -154,6 +154,13 @@ def test_surrogates(spark):
     assert sorted(s.permute(x, 1000, "t") for x in range(1000)) == list(range(1000))
 
 
+def test_license_texts(spark):
+    texts = list(licenses._TEXTS.items())
+    texts += [(k, t[: len(t) // 2] + " some words put in here " + t[len(t) // 2 :]) for k, t in texts]
+    got = licenses.scan_licenses(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.license.removesuffix("-text")) for r in got) == [(i, k) for i, (k, _) in enumerate(texts)] and len(texts) == 38
+
+
 @pytest.mark.parametrize("text, want", [
     ("Mr Smith in London", ["Mr Smith"]), ("Dr Brown visited Paris", ["Dr Brown"]), ("Mrs Keller told John Miller", ["Mrs Keller", "John Miller"]),
     ("Anna met John Smith", ["John Smith"]), ("Frau Keller kauft Brot", ["Frau Keller"]), ("Prof. Dr. Weber kam", ["Prof. Dr. Weber"]), ("Г-н Иванов живёт в Москве", ["Г-н Иванов"]),
