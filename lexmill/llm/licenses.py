@@ -61,6 +61,16 @@ _TEXTS = {p.stem: p.read_text("utf-8") for p in sorted((Path(__file__).parent /
 TEMPLATES: dict[str, str | list[str]] = {k: [t for t, _ in x] for k, x in _notices().items()} | {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
 } | {f"{k}-text" if k == "Apache-2.0" else k: [t, t.partition("THE SOFTWARE IS PROVIDED")[0]] if k in ("MIT", "ISC") else t for k, t in _TEXTS.items()}
+#: Words of which those of one form have to stand together in a match, by template.
+KEYS: dict[str, list[str]] = {k: [key for _, key in x] for k, x in _notices().items()} | {
+    "Apache-2.0": ["Apache License, Version 2.0"],
+    "BSD-3-Clause": ["endorse or promote products derived from this software without specific prior written permission"],
+    "GPL-3.0": ["13. Use with the GNU Affero General Public License"],
+    "AGPL-3.0": ["13. Remote Network Interaction; Use with the GNU General Public License"],
+    "MPL-1.1": ["Mozilla Public License Version 1.1"],
+    "GFDL-1.2": ["GNU Free Documentation License Version 1.2, November 2002"],
+    "GFDL-1.3": ["GNU Free Documentation License Version 1.3, 3 November 2008"],
+}
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _FOLD = np.arange(256)
@@ -223,12 +233,15 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str | list[str]] | No
 
     start_char and end_char are character offsets into the text, template_start and template_end are tokens. A text
     may hold several spans; of overlapping ones that with the most tokens stays (then the greatest coverage, then the
-    earliest template). A template may have several forms. Null and empty texts and those without licences give no row. Templates of fewer tokens
+    earliest template). A template may have several forms. The words in KEYS, name and version as a rule, have to stand
+    together: a gap inside them is no match, so that other versions and kinds of a licence aren't taken for it. Null and empty texts and those without licences give no row. Templates of fewer tokens
     than ``min_match`` match never. Repeated rows give repeated results, null ids are kept, extra columns are
     ignored whatever their names. An empty table gives an empty result.
     """
+    known_keys = KEYS if templates is None else {}
     forms = [(k, f) for k, t in (TEMPLATES if templates is None else templates).items() for f in ([t] if isinstance(t, str) else t)]
     names, seqs = [k for k, _ in forms], tuple(tuple(tokens(t)) for _, t in forms)
+    keys = {i: key_spans(seqs[i], [tokens(x) for x in known_keys[k]]) for i, k in enumerate(names) if k in known_keys}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto, sizes = _automaton(seqs), [len(s) for s in seqs]
@@ -267,7 +280,7 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str | list[str]] | No
                             where += [where[-1]] * fill
                         seq += h[x:y].tolist()
                         where += range(x, y)
-                    for k, a, z, ta, tz, n, share, m in scan_tokens(auto, sizes, seq, min_match, max_gap, min_coverage):
+                    for k, a, z, ta, tz, n, share, m in scan_tokens(auto, sizes, seq, min_match, max_gap, min_coverage, keys):
                         base, sa, ez = int(docs_at[d]), int(s[where[a]]), int(e[where[z - 1]])
                         chars = lambda p: int(((b[base:p] & 0xC0) != 0x80).sum())  # noqa: B023, E731
                         rows.append((i + d, names[k], chars(sa), chars(ez), ta, tz, n, share, m))

@@ -161,6 +161,18 @@ def test_license_texts(spark):
     assert sorted((r.doc_id, r.license.removesuffix("-text")) for r in got) == [(i, k) for i, (k, _) in enumerate(texts)] and len(texts) == 38
 
 
+def test_license_kinds(spark):
+    cases = [
+        ("Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-SA-4.0-notice"), ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "CC-BY-NC-4.0-notice"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND-4.0-notice"), ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", "CC-BY-3.0-notice"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0-notice"), ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0-notice"), ("Licensed under the GNU Lesser General Public License, version 2.1", "LGPL-2.1-notice"),
+        ("Licensed under the Apache License, Version 1.1.", "Apache-1.1-notice"), ("Licensed under CC BY-SA 4.0", "CC-BY-SA-4.0-notice"), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0-notice"), ("Licensed under the Apache License, Version 2.0 the best", "Apache-2.0-notice"),
+        ("Licensed under the Apache License, Version 3.0", None), ("This work is licensed under the GNU General Public License, version 4.", None), ("This work is licensed under a Creative Commons Attribution-Other 4.0 International License.", None),
+    ]
+    got = licenses.scan_licenses(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == [(i, k) for i, (_, k) in enumerate(cases) if k]
+
+
 @pytest.mark.parametrize("text, want", [
     ("Mr Smith in London", ["Mr Smith"]), ("Dr Brown visited Paris", ["Dr Brown"]), ("Mrs Keller told John Miller", ["Mrs Keller", "John Miller"]),
     ("Anna met John Smith", ["John Smith"]), ("Frau Keller kauft Brot", ["Frau Keller"]), ("Prof. Dr. Weber kam", ["Prof. Dr. Weber"]), ("Г-н Иванов живёт в Москве", ["Г-н Иванов"]),
