@@ -36,7 +36,7 @@ def line_windows(line_words: np.ndarray, doc_end: np.ndarray, least: int) -> tup
     return np.flatnonzero(ok), end[ok]
 
 
-def _emit(least: int):
+def _emit(least: int, line_words: int | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, off = buffers(batch.column(1))
@@ -67,7 +67,8 @@ def _emit(least: int):
                 fs, fe = line_windows(n_words, doc_end, least)
                 back, ms = line_windows(n_words[::-1], n - doc_first[::-1], least)
                 me, ms = n - back, n - ms
-                a, z = np.concatenate([fs, ms]), np.concatenate([fe, me])
+                whole = np.flatnonzero(n_words >= max(1, line_words)) if line_words is not None else fs[:0]
+                a, z = np.concatenate([fs, ms, whole]), np.concatenate([fe, me, whole + 1])
                 if not len(a):
                     continue
                 same = np.unique(np.stack([a, z], 1), axis=0)
@@ -121,10 +122,10 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, pa.string()), pa.array(gone, pa.int32())], [*batch.schema.names[:-2], "text", "lines_removed"])
 
 
-def repeated_runs(docs: DataFrame, min_words: int = 40) -> DataFrame:
+def repeated_runs(docs: DataFrame, min_words: int = 40, line_words: int | None = None) -> DataFrame:
     """(doc, runs): the windows (line << 32 | lines) of each document that began earlier in the corpus."""
     w = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")).where("doc_id is not null and text is not null").mapInArrow(
-        _emit(min_words), "k1 bigint, k2 bigint, doc bigint, line int, n int"
+        _emit(min_words, line_words), "k1 bigint, k2 bigint, doc bigint, line int, n int"
     )
     place = F.struct("doc", "line", "n")
     # one aggregate per window content, in place of pairs: its first place, and the places behind it
@@ -134,10 +135,11 @@ def repeated_runs(docs: DataFrame, min_words: int = 40) -> DataFrame:
     return later.groupBy(F.col("p.doc").alias("doc")).agg(F.collect_list(F.shiftleft(F.col("p.line").cast("bigint"), 32).bitwiseOR(F.col("p.n"))).alias("runs"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = 40) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = 40, line_words: int | None = None) -> DataFrame:
     """All columns of ``docs`` with the repeated runs of lines taken out of text, and lines_removed.
 
-    Lines are split at newlines and compared without the white space around them; blank lines have no
+    With ``line_words``, a single line of at least so many words (blank ones never) counts as a run too: headers, footers and other
+    boilerplate that no longer passage surrounds. Lines are split at newlines and compared without the white space around them; blank lines have no
     words and go only inside a repeated run. The first copy, by (doc_id, line), stays: of rows with the
     same doc_id and text (ties) all stay as they are, since no copy is earlier. Repeats inside one document go as
     well. A null text stays null and an empty one empty; rows with a null doc_id are never changed.
@@ -145,21 +147,22 @@ def dedup_lines(docs: DataFrame, min_words: int = 40) -> DataFrame:
     is replaced. An empty table gives an empty result.
     """
     rest = [c for c in docs.columns if c not in ("text", "lines_removed")]
-    runs = repeated_runs(docs, min_words).withColumnsRenamed({"doc": "__doc", "runs": "__runs"})
+    runs = repeated_runs(docs, min_words, line_words).withColumnsRenamed({"doc": "__doc", "runs": "__runs"})
     joined = docs.join(runs, docs["doc_id"] == runs["__doc"], "left").select(*[docs[c] for c in rest], docs["text"].cast("string").alias("text"), "__runs")
     fields = [*joined.schema.fields[:-1], T.StructField("lines_removed", T.IntegerType())]
     return joined.mapInArrow(_rebuild, T.StructType(fields)).select(*[c for c in docs.columns if c != "lines_removed"], "lines_removed")
 
 
-def dedup_lines_sql(min_words: int = 40, source: str = "documents") -> str:
-    """DuckDB SQL for (doc_id, text, lines_removed), by the definition: all shortest runs forward and backward, by their text."""
+def dedup_lines_sql(min_words: int = 40, source: str = "documents", line_words: int | None = None) -> str:
+    """DuckDB SQL for (doc_id, text, lines_removed), by the definition: all shortest runs forward and backward, by their text, and with ``line_words`` single lines."""
+    whole = "" if line_words is None else f" UNION SELECT doc_id, line, line FROM t WHERE w >= {max(1, line_words)}"
     return f"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM {source}),
 n AS (SELECT doc_id, line, raw, trim(raw, E' \\t\\r\\v\\f') AS s, len(regexp_extract_all(raw, '[^ \\t\\r\\x0B\\f]+')) AS w FROM l),
 t AS (SELECT *, sum(w) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM n),
 fw AS (SELECT a.doc_id, a.line AS a, min(b.line) AS z FROM t a JOIN t b ON a.doc_id = b.doc_id AND b.line >= a.line AND b.upto - a.upto + a.w >= {min_words} WHERE a.w > 0 GROUP BY ALL),
 bw AS (SELECT b.doc_id, max(a.line) AS a, b.line AS z FROM t b JOIN t a ON a.doc_id = b.doc_id AND b.line >= a.line AND b.upto - a.upto + a.w >= {min_words} WHERE b.w > 0 GROUP BY b.doc_id, b.line),
-win AS (SELECT * FROM fw UNION SELECT * FROM bw),
+win AS (SELECT * FROM fw UNION SELECT * FROM bw{whole}),
 c AS (SELECT win.doc_id, a, z, string_agg(s, chr(10) ORDER BY line) AS body FROM win JOIN n ON n.doc_id = win.doc_id AND n.line BETWEEN a AND z GROUP BY ALL),
 later AS (SELECT doc_id, a, z, row_number() OVER (PARTITION BY body ORDER BY doc_id, a) AS k FROM c),
 gone AS (SELECT DISTINCT n.doc_id, n.line FROM n JOIN later ON n.doc_id = later.doc_id AND n.line BETWEEN a AND z WHERE k > 1)

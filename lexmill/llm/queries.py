@@ -18,6 +18,9 @@ from lexmill.llm.quality import quality_filter, quality_sql
 from lexmill.llm.revisits import records_of_pages, resolve_revisits, revisits_sql
 
 
+LINE_WORDS = 4
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,6 +29,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op1_whole_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1_line_dedup, with repeated single lines of LINE_WORDS words taken out too."""
+    return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), line_words=LINE_WORDS)
+
+
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogate_pii(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +73,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op1_whole_lines": op1_whole_lines,
     "op2_pii_surrogates": op2_pii_surrogates,
     "op3_language_id": op3_language_id,
     "op4_revisits": op4_revisits,
@@ -78,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": dedup_lines_sql(),
+    "op1_whole_lines": dedup_lines_sql(line_words=LINE_WORDS),
     "op4_revisits": revisits_sql(),
     "op5_fingerprints": fingerprints_sql(),
     "op6_ngram_jaccard_join": jaccard_sql(),

@@ -154,6 +154,22 @@ def test_surrogates(spark):
     assert sorted(s.permute(x, 1000, "t") for x in range(1000)) == list(range(1000))
 
 
+def test_boilerplate_lines(spark):
+    rng = random.Random(5)
+    lines, texts, planted = [" ".join(f"p{k}w{i}" for i in range(4 + k % 9)) for k in range(12)], [], 0
+    for d in range(150):
+        own = [" ".join(f"d{d}l{j}w{i}" for i in range(rng.randrange(1, 20))) for j in range(6)]
+        for k in rng.sample(range(12), 3):
+            own.insert(rng.randrange(len(own) + 1), rng.choice(["", " ", "\t"]) + lines[k] + rng.choice(["", "  "]))
+        texts.append("\n".join([*own, "", "Yes it is"]))
+        planted += 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    kept = {n: [x.strip() for r in line_dedup.dedup_lines(docs, line_words=n).collect() for x in r.text.split("\n")] for n in (None, 4)}
+    # first copies stay, and so do lines of fewer words and what is a document's own
+    assert sum(kept[4].count(x) for x in lines) == len(lines) and sum(kept[None].count(x) for x in lines) == planted
+    assert kept[4].count("Yes it is") == 150 and sorted(x for x in kept[4] if x not in lines) == sorted(x for x in kept[None] if x not in lines)
+
+
 def test_license_texts(spark):
     texts = list(licenses._TEXTS.items())
     texts += [(k, t[: len(t) // 2] + " some words put in here " + t[len(t) // 2 :]) for k, t in texts]
