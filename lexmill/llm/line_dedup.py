@@ -1,13 +1,12 @@
-"""Line dedup: winnowing over line hashes, joined positions, matches extended both ways, later runs deleted.
+"""Line dedup: exact hashing of all windows of lines, forward and mirrored; later copies deleted.
 
 A run of consecutive lines with at least ``min_words`` words that began earlier in the corpus (by
 document id, then line) is a repeat; every line of every repeat goes, so only the first copy of a passage stays.
 
 Windows are measured in words: the window of a line is the shortest run from it on with ``min_words``
-words. The rightmost least line hash of a window is its fingerprint, so any repeated run of that many
-words shares a fingerprint at the same place of both copies. Positions are joined by (fingerprint,
-content of the window). A match is extended to the left and right by joining also the mirrored windows
-(the shortest runs that end in a line): a repeated run is exactly the union of its forward and mirrored
+words. This isn't winnowing: no minima are selected, no positions joined and no match extended. All windows are
+grouped by the hash of their content, and so are the mirrored ones (the shortest runs that end in a line):
+a repeated run is exactly the union of its forward and mirrored
 windows, since what lies behind its last forward window is shorter than a window and so inside the mirrored
 window of its last line. No pairs of copies are formed: each key costs one aggregate, whatever its copies.
 """
