@@ -6,6 +6,7 @@ loops are numpy operations over bytes and never Python loops over words.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterator
 
@@ -13,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 _P = 0x9E3779B97F4A7C15
 _C = np.uint64(0xD6E8FEB86659FD93)
 _MASK = (1 << 64) - 1
@@ -24,15 +25,50 @@ _POW: dict[int, np.ndarray] = {}
 def checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder of spark.checkpoint.dir and cut its lineage there.
 
-    Only where neither the session nor the context has such a folder (local tests) is one made.
+    Only a local session without such a folder (tests) gets one of its own; on a cluster a folder of this machine would be no use.
     """
     spark: SparkSession = df.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-"))
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not (sc.master or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="lexmill-"))
     return df.checkpoint(eager=True)
 
 
+def partitions(df: DataFrame, mb: int = 16) -> int:
+    """How many parts of about ``mb`` MB the input of ``df`` has by the optimiser's statistics, and no fewer than spark.sql.shuffle.partitions."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return max(least, min(size // (mb << 20), 1 << 20) if size < 1 << 60 else 0)  # unknown sizes are said to be huge
+
+
+def free_names(df: DataFrame, n: int) -> list[str]:
+    """``n`` column names that ``df`` doesn't have in any case."""
+    have, out, k = {c.lower() for c in df.columns}, [], 0
+    while len(out) < n:
+        if f"__{k}" not in have:
+            out.append(f"__{k}")
+        k += 1
+    return out
+
+
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
+    """Let Arrow batches hold 4 MB, where the session has the default of 64 MB, of which several are in memory for each task."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "") in ("67108864b", "67108864", "64MB", "64m"):
+        spark.conf.set(key, size)
+
+
+def tidy() -> None:
+    """Give memory that was freed back to the system, so that idle workers stay small."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64, kept for the process."""
     have = _POW.get(base)

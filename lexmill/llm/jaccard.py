@@ -1,26 +1,27 @@
-"""N-gram Jaccard join: exact groups of documents whose sets of word n-grams have a Jaccard distance of at most 1 - s.
+"""N-gram Jaccard join: all links between documents whose sets of word n-grams have a Jaccard distance of at most r = 1 - s.
 
-Documents are points of the Jaccard metric. Nearly all pairs of documents lie at distance 1, so windows around
-pivots that are compared with all documents would replicate every document everywhere. Distances to pivots are
-therefore only looked at through shared n-grams:
+Documents are points of the Jaccard metric; equal sets are one point (a class) from the start. Nearly all points
+lie at distance 1 of each other, where the triangle inequality says nothing, so the join rests on pivots that cover points:
 
 1. *Peeling.* A document of n n-grams of which fewer than s * n occur elsewhere has no neighbour and leaves.
-2. *Regions.* In the block of each n-gram the least member is the pivot; a document belongs to the region of every
-   pivot of its n-grams (so boundary documents are replicated), and the number of its n-grams is kept for each pivot.
-3. *Windows.* Regions have one order for all documents: cheapest first, by members over the n-grams that a member has in
-   them on average. Neighbours share s * n of their n-grams, so the first one in that order that they share lies among the
-   first (1 - s) * n + 1 of either; a document is only replicated to the regions that cover so many of its own.
-   Inside a region d(x, y) >= |d(x, p) - d(y, p)| rules out all y outside the window of x.
-4. *Recursion.* A region is joined from its first member; whoever isn't joined with the rest yet is the next pivot
-   among those of other components, till none is left. All distances are exact counts of common n-grams.
-
-Equal sets are one point from the start. Groups are the connected components of the neighbour graph, which a spanning
-set of its edges fixes, so that a group of c near copies costs about c distances and c rows, not c * c.
+2. *Pivots.* Of the points that share an n-gram the least one leads it; who leads at least half of its shared n-grams is a pivot. In
+   a cluster few points can, so pivots lie apart.
+3. *Voronoi regions.* Each point has its home at the pivot nearest by the n-grams that they share; within COVER of it, the pivot covers the point.
+4. *Windows.* Neighbours of a covered point x lie within COVER + r < 1 of its pivot p, by the triangle inequality, so they
+   share n-grams with p and are found by p's: all of these are replicated to the region. Inside it only those with
+   |d(x, p) - d(y, p)| <= r are compared with x, by exact counts of common n-grams.
+5. *Recursion.* All links of covered points are known then. Those not covered are joined again, among themselves and with pivots of
+   their own, till none that shares n-grams is left.
+
+A large region is cut into blocks of members, and each pair of blocks is a task of its own, so no region has to fit into a worker.
+Neighbours share many n-grams, hence also some of the rarest of each: only those are looked up (a prefix in the order of a count
+sketch), and as many as that lets common ones be required in number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,13 +29,18 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lexmill.llm._common import buffers, checkpoint, mix, spans, words
+from lexmill.llm._common import buffers, checkpoint, free_names, mix, partitions, spans, tidy, words
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _DOCS = 1 << 15  # of one blob, so that two bytes number them
-_ROW = 1000  # comparisons that cost as much as a copy of a document
+_GRAMS = 1 << 18  # of one slice of points
+COVER = 0.3  # of a similarity s at least 0.35; see _radii
+_SHARED = 0.1  # of a point's n-grams, that it has to share in the prefix
+_CELLS = 1 << 16
+_BLOCK, _BLOCK_GRAMS = 2048, 1 << 20
 
 
 def ngram_hashes(b: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,6 +98,7 @@ def _blobs(n: int, buckets: int):
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["bucket", "batch", "tokens", "docs", "ids", "sizes"])
                 serial += 1
+        tidy()
 
     return run
 
@@ -99,12 +106,16 @@ def _blobs(n: int, buckets: int):
 def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
     """Of each blob the documents' numbers, once for each n-gram that another document of the bucket has too."""
     tokens = [np.frombuffer(t, np.uint32) for t in pdf["tokens"]]
-    every = np.sort(np.concatenate(tokens))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    every = np.concatenate(tokens)
+    every.sort()
+    twice = every[1:][every[1:] == every[:-1]]
+    twice = twice[np.r_[True, twice[1:] != twice[:-1]]] if len(twice) else twice
+    del every
     out = []
     for t, d in zip(tokens, pdf["docs"]):
         hit = twice[np.minimum(np.searchsorted(twice, t), len(twice) - 1)] == t if len(twice) else np.zeros(len(t), bool)
         out.append(np.frombuffer(d, np.uint16)[hit].tobytes())
+    tidy()
     return pd.DataFrame({"batch": pdf["batch"], "docs": out, "ids": pdf["ids"], "sizes": pdf["sizes"]})
 
 
@@ -119,21 +130,28 @@ def _alive(similarity: float):
 
 
 def peel(docs: DataFrame, n: int, similarity: float) -> DataFrame:
-    """(doc_id): the documents of whose n-grams a share of ``similarity`` occurs in other documents too."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """(doc_id): the documents of whose n-grams a share of ``similarity`` occurs in other documents too.
+
+    N-grams are compared by 32 bits and their bucket, of which there are as many as the data needs; a collision only keeps a document for the steps behind.
+    """
+    buckets = partitions(docs)
     blobs = docs.mapInArrow(_blobs(n, buckets), "bucket int, batch bigint, tokens binary, docs binary, ids binary, sizes binary")
     shared = blobs.groupBy("bucket").applyInPandas(_shared, "batch bigint, docs binary, ids binary, sizes binary")
     return shared.groupBy("batch").applyInPandas(_alive(similarity), "doc_id bigint").distinct()
 
 
-def _packed(g: np.ndarray) -> bytes:
-    """48 bits of each hash: its lower 32, and then the 16 above them."""
-    return g.astype(np.uint32).tobytes() + (g >> np.uint64(32)).astype(np.uint16).tobytes()
-
-
-def _unpacked(b: bytes) -> np.ndarray:
-    n = len(b) // 6
-    return np.frombuffer(b, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32) | np.frombuffer(b, np.uint32, n)
+def point_sets(b: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Documents that have n-grams, the hash of each one's set, where its n-grams begin and end, and these, sorted."""
+    doc, g = ngram_hashes(b, docs, n)
+    order = np.lexsort((g, doc))
+    doc, g = doc[order], g[order]
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (g[1:] != g[:-1])] if len(g) else np.zeros(0, bool)
+    doc, g = doc[new], g[new]
+    size = np.bincount(doc, minlength=len(docs) - 1)
+    some = np.flatnonzero(size)
+    at = np.concatenate([[0], np.cumsum(size[some])])
+    point = mix(np.add.reduceat(mix(g), at[:-1]) + size[some].astype(np.uint64)).view(np.int64) if len(some) else np.zeros(0, np.int64)
+    return some, point, at, g
 
 
 def _sets(n: int, grams: bool):
@@ -143,110 +161,235 @@ def _sets(n: int, grams: bool):
         for batch in batches:
             data, off = buffers(batch.column(1))
             for i, j in spans(off):
-                doc, g = ngram_hashes(data[off[i] : off[j]], off[i : j + 1] - off[i], n)
-                order = np.lexsort((g, doc))
-                doc, g = doc[order], g[order]
-                new = np.r_[True, (doc[1:] != doc[:-1]) | (g[1:] != g[:-1])] if len(g) else np.zeros(0, bool)
-                doc, g = doc[new], g[new]
-                size = np.bincount(doc, minlength=j - i)
-                at = np.concatenate([[0], np.cumsum(size)])
-                some = np.flatnonzero(size)
+                some, point, at, g = point_sets(data[off[i] : off[j]], off[i : j + 1] - off[i], n)
                 if not len(some):
                     continue
-                point = mix(np.add.reduceat(mix(g), at[some]) + size[some].astype(np.uint64))
-                cols = [batch.column(0).take(pa.array(some + i)), pa.array(point.view(np.int64))]
+                cols = [batch.column(0).take(pa.array(some + i)), pa.array(point)]
                 if grams:
-                    cols += [pa.array(size[some].astype(np.int32)), pa.array([_packed(g[at[k] : at[k + 1]]) for k in some.tolist()], pa.binary())]
+                    cols += [pa.array(np.diff(at).astype(np.int32)), pa.array([g[a:z].tobytes() for a, z in zip(at[:-1], at[1:])], pa.binary())]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "point", "size", "grams"][: len(cols)])
+        tidy()
 
     return run
 
 
-def _by_bucket(buckets: int):
-    """The n-grams of the points by bucket, four bytes each and two that number the points. N-grams of a bucket with
-    the same four bytes share a block; that can make it larger, but neighbours still share all the blocks of their common n-grams."""
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Pieces of batches (point, grams, ..) of about _GRAMS n-grams, with the sizes of their sets and all n-grams."""
+    for whole in batches:
+        g = whole.column(1)
+        off = np.frombuffer(g.buffers()[1], np.int32)[g.offset : g.offset + len(g) + 1].astype(np.int64) if len(g) else np.zeros(1, np.int64)
+        for i, j in spans(off, 8 * _GRAMS):
+            for start in range(i, j, _DOCS):
+                end = min(j, start + _DOCS)
+                yield whole.slice(start, end - start), np.diff(off[start : end + 1]) // 8, np.frombuffer(g.buffers()[2], np.uint8)[off[start] : off[end]].view(np.uint64)
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(_CELLS, np.int64)
+    for _, _, g in _slices(batches):
+        total += np.bincount((g & np.uint64(_CELLS - 1)).astype(np.int64), minlength=_CELLS)
+    some = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["cell", "n"])
+
+
+def sketch(points: DataFrame) -> np.ndarray:
+    """How often n-grams of each of _CELLS cells occur in the points: the order of n-grams, from rare to frequent."""
+    got = points.select("point", "grams").mapInArrow(_counted, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(_CELLS, np.int64)
+    out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def _required(size: np.ndarray) -> np.ndarray:
+    """How many of its prefix a set has to share with a larger or equal one."""
+    return 1 + np.floor(_SHARED * size).astype(np.int64)
+
+
+def _prefixes(buckets: int, least: float, cells):
+    """The rarest n-grams of each point by bucket: (tokens, numbers of their points among those of the row), points, sizes, pivots.
+
+    Two sets of which a share ``least`` of each is common have at least the lesser of what they require in common in their prefixes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, _DOCS):
-                batch = whole.slice(start, _DOCS)
-                lists = [_unpacked(x) for x in batch.column(1).to_pylist()]
-                g = np.concatenate(lists)
-                row = np.repeat(np.arange(batch.num_rows, dtype=np.int32), [len(x) for x in lists])
-                point = np.asarray(batch.column(0))
-                bucket = (g % np.uint64(buckets)).astype(np.int32)
-                order = np.argsort(bucket.astype(np.uint16) if buckets < 65536 else bucket, kind="stable")
-                g, row = (g[order] // np.uint64(buckets)).astype(np.uint32), row[order]
-                cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                out = []
-                for k in np.flatnonzero(np.diff(cut)):
-                    some, number = np.unique(row[cut[k] : cut[k + 1]], return_inverse=True)
-                    out.append((int(k), g[cut[k] : cut[k + 1]].tobytes(), number.astype(np.uint16).tobytes(), point[some].tobytes()))
-                kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["bucket", "tokens", "rows", "points"])
+        for batch, size, g in _slices(batches):
+            row = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((g, cells.value[(g & np.uint64(_CELLS - 1)).astype(np.int64)], row))
+            at = np.concatenate([[0], np.cumsum(size)])
+            keep = np.arange(len(g)) - at[row] < (size - np.ceil(least * size - 1e-9).astype(np.int64) + _required(size))[row]
+            g, row = g[order][keep], row[keep]
+            bucket = (g % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(bucket, kind="stable")
+            g, row = g[order], row[order]
+            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            point, pivot = np.asarray(batch.column(0)), batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)
+            out = []
+            for k in np.flatnonzero(np.diff(cut)):
+                some, number = np.unique(row[cut[k] : cut[k + 1]], return_inverse=True)
+                out.append((int(k), g[cut[k] : cut[k + 1]].tobytes(), number.astype(np.uint16).tobytes(), point[some].tobytes(), size[some].astype(np.int32).tobytes(), pivot[some].tobytes()))
+            if out:
+                kinds = (pa.int32(), *[pa.binary()] * 5)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["bucket", "tokens", "rows", "points", "sizes", "pivots"])
+        tidy()
 
     return run
 
 
-def _pivots(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(pivot, point, n): how many n-grams of the bucket each point has in blocks of each pivot."""
-    g = np.concatenate([np.frombuffer(t, np.uint32) for t in pdf["tokens"]])
-    p = np.concatenate([np.frombuffer(x, np.int64)[np.frombuffer(r, np.uint16)] for r, x in zip(pdf["rows"], pdf["points"])])
-    every, p = np.unique(p, return_inverse=True)
-    key = g.astype(np.uint64) << np.uint64(32) | p.astype(np.uint64)
-    key.sort()
-    g, p = key >> np.uint64(32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+_INDEX = "bucket int, tokens binary, rows binary, points binary, sizes binary, pivots binary"
+
+
+def _blocks(pdf: pd.DataFrame):
+    """Tokens and the points that hold them, sorted by both; the points, their sizes and whether they are pivots."""
+    lists = [np.frombuffer(x, np.int64) for x in pdf["points"]]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    every, first, number = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
+    g = np.concatenate([np.frombuffer(t, np.uint64) for t in pdf["tokens"]])
+    p = np.concatenate([number[a + np.frombuffer(r, np.uint16).astype(np.int64)] for a, r in zip(at, pdf["rows"])])
+    order = np.lexsort((p, g))
+    column = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in pdf[name]])[first]
+    return g[order], p[order], every, column("sizes", np.int32).astype(np.int64), column("pivots", np.uint8)
+
+
+def _leads(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(point, led, shared): of each point's tokens in the bucket those that it is the least to have, and those that others have too."""
+    g, p, every, _, _ = _blocks(pdf)
     start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
     size = np.diff(np.r_[start, len(g)])
-    pivot, many = np.repeat(p[start], size), np.repeat(size > 1, size)
-    code, n = np.unique(pivot[many] * len(every) + p[many], return_counts=True)
-    return pd.DataFrame({"pivot": every[code // max(len(every), 1)], "point": every[code % max(len(every), 1)], "n": n.astype(np.int32)})
+    shared = np.bincount(p[np.repeat(size > 1, size)], minlength=len(every))
+    led = np.bincount(p[start[size > 1]], minlength=len(every))
+    some = shared > 0
+    tidy()
+    return pd.DataFrame({"point": every[some], "led": led[some], "shared": shared[some]})
 
 
-def region_edges(grams: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
-    """Edges that join, among all neighbours x, y of the region, those in different components so far.
+def _pairs(least: float):
+    """(pivot, point, n, required, prefixes): how many tokens of the bucket a pivot and a point share, for sizes that allow a share ``least``."""
 
-    Pivots come in order. Of each only members of other components inside its triangle window around the first
-    pivot are looked at, and their common n-grams counted exactly.
-    """
-    m = len(grams)
-    size = np.array([len(g) for g in grams])
-    owner = np.repeat(np.arange(m), size)
-    _, token = np.unique(np.concatenate(grams), return_inverse=True)
-    by = np.argsort(token, kind="stable")
-    holders, at = owner[by], np.concatenate([[0], np.cumsum(np.bincount(token))])
-    own = np.concatenate([[0], np.cumsum(size)])
-    comp, edges = np.arange(m), []
-
-    def distances(x: int) -> np.ndarray:
-        mine = token[own[x] : own[x + 1]]
-        n, first = at[mine + 1] - at[mine], at[mine]
-        where = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        common = np.bincount(holders[where], minlength=m)
-        return 1 - common / (size + size[x] - common)
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        g, p, every, size, pivot = _blocks(pdf)
+        start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+        count = np.diff(np.r_[start, len(g)])
+        block = np.repeat(np.arange(len(start)), count)
+        lead = np.flatnonzero(pivot[p].astype(bool) & (count[block] > 1))
+        codes, counts = [], []
+        times = count[block[lead]]
+        done = 0
+        total = np.concatenate([[0], np.cumsum(times)])
+        while done < len(lead):
+            end = max(done + 1, int(np.searchsorted(total, total[done] + (1 << 20), "right")) - 1)
+            t = times[done:end]
+            a = np.repeat(p[lead[done:end]], t)
+            b = p[np.repeat(start[block[lead[done:end]]] - np.concatenate([[0], np.cumsum(t)[:-1]]), t) + np.arange(t.sum())]
+            ok = (a != b) & (np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b]) - 1e-9)
+            code, n = np.unique(a[ok] * len(every) + b[ok], return_counts=True)
+            codes.append(code)
+            counts.append(n)
+            done = end
+        if len(codes) > 1:
+            code, back = np.unique(np.concatenate(codes), return_inverse=True)
+            n = np.bincount(back, weights=np.concatenate(counts), minlength=len(code)).astype(np.int64)
+        else:
+            code, n = (codes[0], counts[0]) if codes else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        a, b = code // max(len(every), 1), code % max(len(every), 1)
+        sizes = np.minimum(size[a], size[b])
+        tidy()
+        return pd.DataFrame({"pivot": every[a], "point": every[b], "n": n.astype(np.int32), "required": _required(sizes).astype(np.int32), "sizes": (size[a] + size[b]).astype(np.int32)})
 
+    return run
+
+
+def common_counts(rows: list[np.ndarray], cols: list[np.ndarray]) -> np.ndarray:
+    """How many n-grams each of the sets ``rows`` has in common with each of ``cols``: frequent ones by a matrix product, rare ones by pairs."""
+    h, m = len(rows), len(cols)
+    size = np.array([len(x) for x in rows] + [len(x) for x in cols])
+    _, token = np.unique(np.concatenate([*rows, *cols]), return_inverse=True)
+    owner = np.repeat(np.arange(h + m), size)
+    order = np.lexsort((owner, token))
+    token, owner = token[order], owner[order]
+    start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+    many = np.diff(np.r_[start, len(token)])
+    first = np.bincount(token[owner < h], minlength=len(start))  # of the rows, which come first in each block
+    second = many - first
+    out = np.zeros((h, m), np.float32)
+    limit = max(4.0, np.sqrt(h * m) / 16)
+    dense = np.flatnonzero((first > 0) & (second > 0) & (many > limit))
+    for k in range(0, len(dense), 512):
+        part = dense[k : k + 512]
+        a, b = np.zeros((h, len(part)), np.float32), np.zeros((m, len(part)), np.float32)
+        for x, c in enumerate(part.tolist()):
+            s, e = start[c], start[c] + many[c]
+            a[owner[s : s + first[c]], x] = 1
+            b[owner[s + first[c] : e] - h, x] = 1
+        out += a @ b.T
+    sparse = np.flatnonzero((first > 0) & (second > 0) & (many <= limit))
+    each = first[sparse] * second[sparse]
+    total, done = np.concatenate([[0], np.cumsum(each)]), 0
+    flat = out.ravel()
+    while done < len(sparse):
+        end = max(done + 1, int(np.searchsorted(total, total[done] + (1 << 20), "right")) - 1)
+        t, n = sparse[done:end], each[done:end]
+        k = np.arange(n.sum()) - np.repeat(np.concatenate([[0], np.cumsum(n)[:-1]]), n)
+        s, wide = np.repeat(start[t], n), np.repeat(second[t], n)
+        np.add.at(flat, owner[s + k // wide] * m + owner[s + np.repeat(first[t], n) + k % wide] - h, np.float32(1))
+        done = end
+    return out
+
+
+def region_links(rows: list[np.ndarray], cols: list[np.ndarray], to_rows: np.ndarray, to_cols: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, columns, matrix of neighbours) for pieces of a region. ``to_rows``, ``to_cols``: distances to the pivot; what lies outside a row's triangle window isn't compared with it."""
     far = 1 - similarity + 1e-9
-    to_pivot = distances(0)
-    for x in range(m):
-        other = comp != comp[x]
-        if x:
-            other &= np.abs(to_pivot - to_pivot[x]) <= far
-        if not other.any():
-            continue
-        near = np.flatnonzero(other & ((distances(x) if x else to_pivot) <= far))
-        for y in near.tolist():
-            if comp[y] != comp[x]:
-                edges.append((x, y))
-                comp[comp == comp[y]] = comp[x]
-    return edges
-
-
-def _region(similarity: float):
+    num = round(similarity * 1000)
+    n_rows, n_cols = np.array([len(x) for x in rows]), np.array([len(x) for x in cols])
+    r_order, c_order = np.argsort(to_rows, kind="stable"), np.argsort(to_cols, kind="stable")
+    for k in range(0, len(rows), 256):
+        r = r_order[k : k + 256]
+        lo, hi = np.searchsorted(to_cols[c_order], [to_rows[r[0]] - far, to_rows[r[-1]] + far], "left")
+        c = c_order[lo:hi]
+        if len(c):
+            common = common_counts([rows[x] for x in r], [cols[x] for x in c]).astype(np.float64)
+            yield r, c, common * 1000 >= num * (n_rows[r][:, None] + n_cols[c][None, :] - common)
+
+
+_FOUND = "a bigint, b bigint, covered boolean, own bigint, other bigint"
+
+
+def _region(similarity: float, cover: float):
+    """Rows of _FOUND: a point, whether its home covers it, its links if so, and its links to covered points of others' regions; or an edge a-b."""
+
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("point", kind="stable")
-        point = pdf["point"].to_numpy()
-        found = region_edges([_unpacked(g) for g in pdf["grams"]], similarity)
-        return pd.DataFrame({"a": [point[x] for x, _ in found], "b": [point[y] for _, y in found]}, dtype="int64")
+        role, point = pdf["role"].to_numpy(), pdf["point"].to_numpy()
+        grams = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
+        size = np.array([len(g) for g in grams])
+        pivot = grams[int(np.flatnonzero(role & 4)[0])]
+        common = common_counts([pivot], grams)[0]
+        far = 1 - common / (size + len(pivot) - common)
+        home, member = np.flatnonzero((role & 1 > 0) & (far <= cover + 1e-9)), np.flatnonzero(role & 2)
+        own, other, edges = np.zeros(len(home), np.int64), np.zeros(len(member), np.int64), []
+        comp = np.arange(len(point))
+        # the same point, as a row and as a column, is one
+        place = {p: k for k, p in enumerate(point.tolist())}
+        at = np.array([place[p] for p in point.tolist()])
+        for r, c, near in region_links([grams[x] for x in home], [grams[x] for x in member], far[home], far[member], similarity) if len(home) and len(member) else ():
+            near &= point[home[r]][:, None] != point[member[c]][None, :]
+            own[r] += near.sum(axis=1)
+            other[c] += near.sum(axis=0)
+            mine, theirs = at[home[r]], at[member[c]]
+            for i in np.flatnonzero(near.any(axis=1)).tolist():
+                labels = comp[theirs[near[i]]]
+                more, first = np.unique(labels, return_index=True)
+                which = np.flatnonzero(near[i])
+                for label, f in zip(more.tolist(), first.tolist()):
+                    if label != comp[mine[i]] and comp[theirs[which[f]]] != comp[mine[i]]:
+                        edges.append((point[mine[i]], point[theirs[which[f]]]))
+                        comp[comp == comp[theirs[which[f]]]] = comp[mine[i]]
+        parts = [
+            pd.DataFrame({"a": point[home], "covered": True, "own": own, "other": 0}),
+            pd.DataFrame({"a": point[member][other > 0], "covered": False, "own": 0, "other": other[other > 0]}),
+            pd.DataFrame({"a": [a for a, _ in edges], "b": pd.array([b for _, b in edges], "Int64"), "covered": False, "own": 0, "other": 0}),
+        ]
+        tidy()
+        out = pd.concat([p.assign(b=p["b"] if "b" in p else pd.array([None] * len(p), "Int64")) for p in parts if len(p)] or [parts[2]], ignore_index=True)
+        return out[["a", "b", "covered", "own", "other"]].astype({"a": "int64", "b": "Int64", "covered": bool, "own": "int64", "other": "int64"})
 
     return run
 
@@ -267,16 +410,71 @@ def components(edges: DataFrame) -> DataFrame:
             return label.withColumnRenamed("v", "point")
 
 
-def jaccard_groups(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadcast_limit: int = 2_000_000) -> DataFrame:
-    """(doc_id, group_id): the groups of at least two documents, named by their least doc_id.
-
-    Words are split at white space; a text of fewer than ``n`` words has one n-gram, of all of them. Null, empty and blank texts and
-    null ids are in no group. Two rows with one id (repeated rows, ties) are one document; if their texts differ, the document joins the groups
-    of both, which then have the least id of either. Extra columns are ignored, whatever their names. An empty table gives an
-    empty result. N-grams are compared by 48 bits of a hash.
-    Ids of the documents left by peeling, and places in regions, go along by broadcast up to ``broadcast_limit`` of them, beyond it by a shuffled join.
-    One region (the documents that share an n-gram with one pivot) has to fit into a Python worker.
-    """
+def _tasks(place: DataFrame, points: DataFrame) -> DataFrame:
+    """(pivot, i, j, point, role): the pairs of blocks of each region, and who goes where: 1 as one at home, 2 as a member, 4 as the pivot."""
+    sized = place.join(points.select("point", "size"), "point")
+    blocks = F.greatest(F.ceil(F.count("*") / _BLOCK), F.ceil(F.sum("size") / _BLOCK_GRAMS)).cast("int")
+    large = sized.groupBy("pivot").agg(blocks.alias("k")).where("k > 1")
+    k = F.coalesce("k", F.lit(1))
+    d = place.join(large, "pivot", "left").withColumn("k", k).withColumn("at", F.pmod(F.xxhash64("point"), F.col("k")).cast("int"))
+    grid = F.sequence(F.lit(0), F.col("k") - 1)
+    cell = lambda i, j: F.struct(
+        i.alias("i"), j.alias("j"), (F.when(F.col("home") & (i == F.col("at")), 1).otherwise(0) + F.when(j == F.col("at"), 2).otherwise(0) + F.when(F.col("pivot") == F.col("point"), 4).otherwise(0)).alias("role")
+    )
+    every = F.flatten(F.transform(grid, lambda i: F.transform(grid, lambda j: cell(i, j))))
+    cross = F.concat(F.transform(grid, lambda j: cell(F.col("at"), j)), F.transform(F.filter(grid, lambda i: i != F.col("at")), lambda i: cell(i, F.col("at"))))
+    cells = F.when(F.col("k") == 1, F.array(cell(F.lit(0), F.lit(0)))).when(F.col("pivot") == F.col("point"), every).otherwise(cross)
+    return d.select("pivot", "point", F.explode(cells).alias("c")).select("pivot", "c.i", "c.j", "point", "c.role").where("role > 0")
+
+
+def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_000_000) -> tuple[DataFrame, DataFrame]:
+    """(point, links) of the points that have neighbours, and a spanning set of edges (a, b), of distinct points (point, size, grams)."""
+    spark = points.sparkSession
+    small = lambda d: F.broadcast(d) if d.count() <= broadcast_limit else d
+    cover = max(0.0, min(COVER, similarity - 0.05))
+    least = similarity - cover  # of a window: 1 - cover - r
+    cells = spark.sparkContext.broadcast(sketch(points))
+    buckets = partitions(points)
+    rest, links, edges, rounds = points, [], [], 0
+    while True:
+        index = lambda d: d.mapInArrow(_prefixes(buckets, least, cells), _INDEX)  # noqa: B023, E731
+        led = index(rest.select("point", "grams", F.lit(False).alias("pivot"))).groupBy("bucket").applyInPandas(_leads, "point bigint, led bigint, shared bigint")
+        led = led.groupBy("point").agg(F.sum("led").alias("led"), F.sum("shared").alias("shared"))
+        # later rounds have fewer points, and more of them are pivots
+        share = (0.5, 0.5, 0.25, 0.1)[rounds] if rounds < 4 else 0.0
+        led = checkpoint(led.select("point", ((F.col("led") > 0) & (F.col("led") >= share * F.col("shared"))).alias("pivot"), "shared"))
+        if led.where("pivot").isEmpty():
+            break
+        # who shares too few with all others together has no neighbour among them
+        alive = rest.join(small(led), "point").where(F.col("shared") >= F.floor(F.lit(_SHARED * similarity) * F.col("size")))
+        alive = checkpoint(alive.select("point", "size", "grams", "pivot"))
+        near = index(alive.select("point", "grams", "pivot")).groupBy("bucket").applyInPandas(_pairs(least), "pivot bigint, point bigint, n int, required int, sizes int")
+        near = near.groupBy("pivot", "point").agg(F.sum("n").alias("n"), F.first("required").alias("required"), F.first("sizes").alias("sizes")).where("n >= required")
+        near = checkpoint(near)
+        pivots = alive.where("pivot").select("point")
+        best = near.groupBy("point").agg(F.min_by("pivot", F.struct(F.expr("-n / (sizes - n)"), "pivot")).alias("nearest")).join(pivots, "point", "left_anti")
+        place = near.select("pivot", "point").join(best, "point", "left").select("pivot", "point", F.coalesce(F.col("pivot") == F.col("nearest"), F.lit(False)).alias("home"))
+        own = near.select("pivot").distinct().select("pivot", F.col("pivot").alias("point"), F.lit(True).alias("home"))
+        place = checkpoint(place.unionByName(own))
+        tasks = _tasks(place, alive)
+        sent = alive.select("point", "grams").join(F.broadcast(tasks) if place.count() <= broadcast_limit else tasks, "point")
+        found = checkpoint(sent.groupBy("pivot", "i", "j").applyInPandas(_region(similarity, cover), _FOUND))
+        edges.append(found.where("b is not null").select("a", "b"))
+        each = found.where("b is null").groupBy("a").agg(F.max("covered").alias("covered"), F.sum("own").alias("own"), F.sum("other").alias("other"))
+        each = checkpoint(each)
+        links.append(each.select(F.col("a").alias("point"), F.when(F.col("covered"), F.col("own")).otherwise(F.col("other")).alias("links")))
+        # a pivot to which nothing came has no neighbour
+        gone = each.where("covered").select(F.col("a").alias("point")).union(pivots).distinct()
+        rest = checkpoint(alive.join(small(gone), "point", "left_anti").select("point", "size", "grams"))
+        rounds += 1
+        if rest.isEmpty():
+            break
+    union = lambda parts, kind: reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], kind)
+    return union(links, "point bigint, links bigint").groupBy("point").agg(F.sum("links").alias("links")).where("links > 0"), union(edges, "a bigint, b bigint")
+
+
+def jaccard_points(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadcast_limit: int = 2_000_000) -> DataFrame:
+    """(doc_id, point, class_id, links, group_id) of jaccard_groups; point is the hash of the document's set of n-grams."""
     d = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")).where("doc_id is not null and text is not null")
     alive = checkpoint(peel(d, n, similarity))
     small = alive.count() <= broadcast_limit
@@ -284,75 +482,94 @@ def jaccard_groups(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadca
     members = checkpoint(kept.mapInArrow(_sets(n, False), "doc_id bigint, point bigint").distinct())
     first = checkpoint(members.groupBy("point").agg(F.min("doc_id").alias("doc_id")))
     # n-grams of one document of each point, made anew, which is less than keeping those of all
-    kept = d.join(F.broadcast(first) if small else first, "doc_id", "left_semi")
+    ids = first.select("doc_id").distinct()
+    kept = d.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
     sets = kept.mapInArrow(_sets(n, True), "doc_id bigint, point bigint, size int, grams binary")
     points = checkpoint(sets.join(F.broadcast(first) if small else first, ["point", "doc_id"], "left_semi").select("point", "size", "grams"))
     if points.count() > first.count():  # of repeated rows one
         points = checkpoint(points.dropDuplicates(["point"]))
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = points.select("point", "grams").mapInArrow(_by_bucket(buckets), "bucket int, tokens binary, rows binary, points binary").groupBy("bucket").applyInPandas(_pivots, "pivot bigint, point bigint, n int")
-    near = checkpoint(near.groupBy("pivot", "point").agg(F.sum("n").alias("n")))
-    # the regions of each point: n-grams that no other point has come first, at no cost
-    members_of = near.groupBy("pivot").agg(F.count("*").alias("members"), F.sum("n").alias("all")).where("members > 1")
-    ranked = members_of.select("pivot", (F.col("members") * (F.col("members") + _ROW) / F.col("all")).alias("cost"))
-    cost = near.join(ranked, "pivot").join(points.select("point", "size"), "point")
-    total = F.sum("n").over(_window())
-    before = F.coalesce(F.sum("n").over(_window("cost", "pivot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    place = cost.withColumn("total", total).withColumn("before", before).where((F.col("size") - F.col("total") + F.col("before") < F.floor((1 - F.lit(similarity)) * F.col("size") + 1e-9) + 1) & (F.col("total") >= similarity * F.col("size") - 1e-9))
-    # who has no other member of a like size in a region has no neighbour there
-    by_size = Window.partitionBy("pivot").orderBy("size")
-    alike = (F.col("size") >= similarity * F.lead("size").over(by_size) - 1e-9) | (F.lag("size").over(by_size) >= similarity * F.col("size") - 1e-9)
-    place = place.withColumn("alike", alike).where("alike")
-    place = checkpoint(place.select("pivot", "point"))
-    few = place.count() <= broadcast_limit
-    edges = points.select("point", "grams").join(F.broadcast(place) if few else place, "point").groupBy("pivot").applyInPandas(_region(similarity), "a bigint, b bigint")
+    links, edges = point_links(points, similarity, broadcast_limit)
     label = components(edges)
-    named = members.join(label, "point", "left").select("doc_id", F.coalesce("label", "point").alias("label"))
-    # an id with several texts ties their groups together
-    twice = named.groupBy("doc_id").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("a", "b")
-    twice = checkpoint(twice)
-    if not twice.isEmpty():
-        tied = components(twice.unionByName(named.groupBy("doc_id").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(_inner(named)))
-        named = named.join(tied.select(F.col("point").alias("label"), F.col("label").alias("to")), "label", "left").select("doc_id", F.coalesce("to", "label").alias("label"))
-    named = named.distinct()
-    groups = named.groupBy("label").agg(F.min("doc_id").alias("group_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return named.join(groups, "label").select("doc_id", "group_id").distinct()
+    named = members.join(first.withColumnRenamed("doc_id", "class_id"), "point").join(label, "point", "left").join(links, "point", "left")
+    named = checkpoint(named.select("doc_id", "point", "class_id", F.coalesce("links", F.lit(0)).cast("bigint").alias("links"), F.coalesce("label", "point").alias("label")))
+    groups = named.groupBy("label").agg(F.min("class_id").alias("group_id"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return named.join(groups, "label").select("doc_id", "point", "class_id", "links", "group_id")
 
 
-def _inner(named: DataFrame) -> DataFrame:
-    """Edges from each label that an id with several labels has to the least of them."""
-    least = named.groupBy("doc_id").agg(F.min("label").alias("a"))
-    return named.join(least, "doc_id").where("label != a").select("a", F.col("label").alias("b"))
+def jaccard_groups(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadcast_limit: int = 2_000_000) -> DataFrame:
+    """(doc_id, class_id, links, group_id) of the documents that have a copy or a link.
+
+    class_id: the least id among documents with the same set of n-grams, which are copies. links: how many other classes lie within the
+    distance 1 - ``similarity``, counted exactly and without forming the pairs. group_id: the least id among those that links and copies join.
+
+    Words are split at white space; a text of fewer than ``n`` words has one n-gram, of all of them. Null, empty and blank texts and
+    null ids are left out. Ids are cast to bigint. Repeated rows (ties) are one document; an id with several texts has a row for each of
+    its classes, and doesn't tie them together. Texts of any length are worked in whole. Extra columns are ignored, whatever their names. An
+    empty table gives an empty result. N-grams are compared by 64 bits of a hash.
+    Ids of the documents left by peeling, and places in regions, go along by broadcast up to ``broadcast_limit`` of them, beyond it by a shuffled join.
+    """
+    return jaccard_points(docs, n, similarity, broadcast_limit).drop("point").distinct()
 
 
-def _window(*order: str):
-    w = Window.partitionBy("point")
-    return w.orderBy(*[F.expr(o) for o in order]) if order else w
+def _marked(n: int):
+    """Columns of the input but the last, (point, keep) of the document's id, as a flag: None outside groups, else whether it is the one that stays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, own = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+            flag: list[bool | None] = [None] * batch.num_rows
+            some = np.flatnonzero(np.asarray(own.is_valid()))
+            if len(some):
+                data, off = buffers(texts.take(pa.array(some)))
+                lists = own.take(pa.array(some)).to_pylist()
+                for i, j in spans(off):
+                    docs, point, _, _ = point_sets(data[off[i] : off[j]], off[i : j + 1] - off[i], n)
+                    for d, p in zip((docs + i).tolist(), point.tolist()):
+                        flag[some[d]] = next((x["keep"] for x in lists[d] if x["point"] == p), None)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(flag, pa.bool_())], [*batch.schema.names[:-2], "flag"])
+        tidy()
+
+    return run
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadcast_limit: int = 2_000_000) -> DataFrame:
-    """``docs`` with one document of each group of jaccard_groups, that of the least doc_id; of its repeated rows one stays.
+    """``docs`` with one document of each group of jaccard_groups, that of the least doc_id; of its repeated rows the first by their values stays.
 
-    Documents in no group stay as they are, also those with null ids or texts.
+    A text goes only for a text that it is near to by links: of an id with several texts each is judged on its own. Documents in no group
+    stay as they are, also those with null ids, null, empty or blank texts, and all of their repeated rows. Texts of any length count in whole. Extra columns pass
+    through, whatever their names; an empty table gives an empty result.
     """
-    groups = checkpoint(jaccard_groups(docs, n, similarity, broadcast_limit))
-    small = groups.count() <= broadcast_limit
-    g = groups.select(F.col("doc_id").alias("__id"), (F.col("doc_id") == F.col("group_id")).alias("__stays"))
-    marked = docs.join(F.broadcast(g) if small else g, docs["doc_id"] == F.col("__id"), "left")
-    alone = marked.where("__id is null").select(*[docs[c] for c in docs.columns])
-    first = marked.where("__stays").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
-    return alone.unionByName(first)
+    got = jaccard_points(docs, n, similarity, broadcast_limit)
+    keep = (F.col("doc_id") == F.col("group_id")) & (F.col("doc_id") == F.col("class_id"))
+    # an id may have several sets in one group: of those the least hash is its first
+    first = got.groupBy("group_id").agg(F.min(F.when(keep, F.struct("doc_id", "point"))).alias("m"))
+    got = got.join(first, "group_id").select("doc_id", "point", F.coalesce((F.col("m.doc_id") == F.col("doc_id")) & (F.col("m.point") == F.col("point")), F.lit(False)).alias("keep"))
+    lists = checkpoint(got.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("point", "keep")).alias("own")))
+    small = lists.count() <= broadcast_limit
+    ident, own, text, rank = free_names(docs, 4)
+    lists = lists.select(F.col("doc_id").alias(ident), F.col("own").alias(own))
+    cols = [docs[c] for c in docs.columns]
+    j = docs.join(F.broadcast(lists) if small else lists, docs["doc_id"].cast("bigint") == lists[ident], "left").select(*cols, docs["text"].cast("string").alias(text), own)
+    schema = T.StructType([*j.schema.fields[:-2], T.StructField(own, T.BooleanType())])
+    marked = j.mapInArrow(_marked(n), schema)
+    order = Window.partitionBy("doc_id").orderBy("text", F.to_json(F.struct(*docs.columns)))
+    stays = marked.where(f"{own}").withColumn(rank, F.row_number().over(order)).where(f"{rank} = 1")
+    return marked.where(f"{own} is null").drop(own).unionByName(stays.drop(own, rank))
 
 
 def jaccard_sql(n: int = 3, similarity: float = 0.6, source: str = "documents") -> str:
-    """The same rows for DuckDB, by all pairs that share an n-gram and a recursive closure."""
+    """The same rows for DuckDB, by all pairs of classes that share an n-gram and a recursive closure."""
     num, den = round(similarity * 1000), 1000
     return f"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(text, '[^ \\t\\n\\r\\x0B\\f]+') AS w FROM {source} WHERE doc_id IS NOT NULL),
 g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < {n} THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' ')) END) AS gram FROM w WHERE len(w) > 0),
-s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
-c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
-e AS (SELECT a, b FROM c JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE c.n * {den} >= {num} * (x.n + y.n - c.n)),
-r AS (SELECT a AS doc_id, a AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
-SELECT doc_id, min(other) AS group_id FROM r GROUP BY doc_id
+s AS (SELECT doc_id, md5(string_agg(gram, chr(10) ORDER BY gram)) AS k FROM g GROUP BY doc_id),
+m AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS class_id FROM s),
+cg AS (SELECT doc_id, gram, count(*) OVER (PARTITION BY doc_id) AS n FROM g WHERE doc_id IN (SELECT class_id FROM m)),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS n FROM cg a JOIN cg b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM c WHERE n * {den} >= {num} * (na + nb - n)),
+r AS (SELECT a AS class_id, a AS other FROM e UNION SELECT r.class_id, e.b FROM r JOIN e ON e.a = r.other),
+x AS (SELECT m.doc_id, m.class_id, coalesce(l.links, 0) AS links, coalesce(o.group_id, m.class_id) AS group_id FROM m
+  LEFT JOIN (SELECT a, count(*) AS links FROM e GROUP BY a) l ON l.a = m.class_id LEFT JOIN (SELECT class_id, min(other) AS group_id FROM r GROUP BY class_id) o ON o.class_id = m.class_id)
+SELECT doc_id, class_id, links, group_id FROM x WHERE group_id IN (SELECT group_id FROM x GROUP BY group_id HAVING count(*) > 1)
 """
