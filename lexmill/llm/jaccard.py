@@ -11,7 +11,7 @@ lie at distance 1 of each other, where the triangle inequality says nothing, so
    share n-grams with p and are found by p's: all of these are replicated to the region. Inside it only those with
    |d(x, p) - d(y, p)| <= r are compared with x, by exact counts of common n-grams.
 5. *Recursion.* All links of covered points are known then. Those not covered are joined again, among themselves and with pivots of
-   their own, till none that shares n-grams is left.
+   their own, till none that shares n-grams is left; a rest that fits into one block is a region as a whole.
 
 A large region is cut into blocks of members, and each pair of blocks is a task of its own, so no region has to fit into a worker.
 Neighbours share many n-grams, hence also some of the rarest of each: only those are looked up (a prefix in the order of a count
@@ -32,13 +32,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from lexmill.llm._common import buffers, checkpoint, free_names, mix, partitions, spans, tidy, words
+from lexmill.llm._common import buffers, checkpoint, free_names, mix, partitions, small_batches, spans, tidy, words
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _DOCS = 1 << 15  # of one blob, so that two bytes number them
 _GRAMS = 1 << 18  # of one slice of points
-COVER = 0.3  # of a similarity s at least 0.35; see _radii
-_SHARED = 0.1  # of a point's n-grams, that it has to share in the prefix
+COVER = 0.4  # where that and r are under 1 together: a pivot covers all its neighbours if s is at least 0.6
+_SHARED = 0.05  # of a point's n-grams, that it has to share in the prefix
 _CELLS = 1 << 16
 _BLOCK, _BLOCK_GRAMS = 2048, 1 << 20
 
@@ -437,44 +437,56 @@ def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_0
     buckets = partitions(points)
     rest, links, edges, rounds = points, [], [], 0
     while True:
-        index = lambda d: d.mapInArrow(_prefixes(buckets, least, cells), _INDEX)  # noqa: B023, E731
-        led = index(rest.select("point", "grams", F.lit(False).alias("pivot"))).groupBy("bucket").applyInPandas(_leads, "point bigint, led bigint, shared bigint")
-        led = led.groupBy("point").agg(F.sum("led").alias("led"), F.sum("shared").alias("shared"))
-        # later rounds have fewer points, and more of them are pivots
-        share = (0.5, 0.5, 0.25, 0.1)[rounds] if rounds < 4 else 0.0
-        led = checkpoint(led.select("point", ((F.col("led") > 0) & (F.col("led") >= share * F.col("shared"))).alias("pivot"), "shared"))
-        if led.where("pivot").isEmpty():
+        n_rest, n_grams = rest.agg(F.count("*"), F.sum("size")).first()
+        if not n_rest:
             break
-        # who shares too few with all others together has no neighbour among them
-        alive = rest.join(small(led), "point").where(F.col("shared") >= F.floor(F.lit(_SHARED * similarity) * F.col("size")))
-        alive = checkpoint(alive.select("point", "size", "grams", "pivot"))
-        near = index(alive.select("point", "grams", "pivot")).groupBy("bucket").applyInPandas(_pairs(least), "pivot bigint, point bigint, n int, required int, sizes int")
-        near = near.groupBy("pivot", "point").agg(F.sum("n").alias("n"), F.first("required").alias("required"), F.first("sizes").alias("sizes")).where("n >= required")
-        near = checkpoint(near)
-        pivots = alive.where("pivot").select("point")
-        best = near.groupBy("point").agg(F.min_by("pivot", F.struct(F.expr("-n / (sizes - n)"), "pivot")).alias("nearest")).join(pivots, "point", "left_anti")
-        place = near.select("pivot", "point").join(best, "point", "left").select("pivot", "point", F.coalesce(F.col("pivot") == F.col("nearest"), F.lit(False)).alias("home"))
-        own = near.select("pivot").distinct().select("pivot", F.col("pivot").alias("point"), F.lit(True).alias("home"))
-        place = checkpoint(place.unionByName(own))
-        tasks = _tasks(place, alive)
-        sent = alive.select("point", "grams").join(F.broadcast(tasks) if place.count() <= broadcast_limit else tasks, "point")
-        found = checkpoint(sent.groupBy("pivot", "i", "j").applyInPandas(_region(similarity, cover), _FOUND))
+        # what fits into one block is joined as one region
+        whole = rounds > 0 and n_rest <= _BLOCK and n_grams <= _BLOCK_GRAMS
+        index = lambda d: d.mapInArrow(_prefixes(buckets, least, cells), _INDEX)  # noqa: B023, E731
+        if whole:
+            least_point = rest.agg(F.min("point")).first()[0]
+            role = F.when(F.col("point") == least_point, 7).otherwise(3)
+            sent, reach = rest.select("point", "grams", F.lit(least_point).alias("pivot"), F.lit(0).alias("i"), F.lit(0).alias("j"), role.alias("role")), 1.0
+        else:
+            led = index(rest.select("point", "grams", F.lit(False).alias("pivot"))).groupBy("bucket").applyInPandas(_leads, "point bigint, led bigint, shared bigint")
+            led = led.groupBy("point").agg(F.sum("led").alias("led"), F.sum("shared").alias("shared"))
+            # later rounds have fewer points, and more of them are pivots
+            share = (0.5, 0.5, 0.25, 0.1)[rounds] if rounds < 4 else 0.0
+            led = checkpoint(led.select("point", ((F.col("led") > 0) & (F.col("led") >= share * F.col("shared"))).alias("pivot"), "shared"))
+            if led.where("pivot").isEmpty():
+                break
+            # who shares too few with all others together has no neighbour among them
+            alive = rest.join(small(led), "point").where(F.col("shared") >= F.floor(F.lit(_SHARED * similarity) * F.col("size")))
+            alive = checkpoint(alive.select("point", "size", "grams", "pivot"))
+            near = index(alive.select("point", "grams", "pivot")).groupBy("bucket").applyInPandas(_pairs(least), "pivot bigint, point bigint, n int, required int, sizes int")
+            near = near.groupBy("pivot", "point").agg(F.sum("n").alias("n"), F.first("required").alias("required"), F.first("sizes").alias("sizes")).where("n >= required")
+            near = checkpoint(near)
+            pivots = alive.where("pivot").select("point")
+            best = near.groupBy("point").agg(F.min_by("pivot", F.struct(F.expr("-n / (sizes - n)"), "pivot")).alias("nearest")).join(pivots, "point", "left_anti")
+            place = near.select("pivot", "point").join(best, "point", "left").select("pivot", "point", F.coalesce(F.col("pivot") == F.col("nearest"), F.lit(False)).alias("home"))
+            own = near.select("pivot").distinct().select("pivot", F.col("pivot").alias("point"), F.lit(True).alias("home"))
+            place = checkpoint(place.unionByName(own))
+            tasks = _tasks(place, alive)
+            sent = alive.select("point", "grams").join(F.broadcast(tasks) if place.count() <= broadcast_limit else tasks, "point")
+            reach = cover
+        found = checkpoint(sent.groupBy("pivot", "i", "j").applyInPandas(_region(similarity, reach), _FOUND))
         edges.append(found.where("b is not null").select("a", "b"))
         each = found.where("b is null").groupBy("a").agg(F.max("covered").alias("covered"), F.sum("own").alias("own"), F.sum("other").alias("other"))
         each = checkpoint(each)
         links.append(each.select(F.col("a").alias("point"), F.when(F.col("covered"), F.col("own")).otherwise(F.col("other")).alias("links")))
+        if whole:
+            break
         # a pivot to which nothing came has no neighbour
         gone = each.where("covered").select(F.col("a").alias("point")).union(pivots).distinct()
         rest = checkpoint(alive.join(small(gone), "point", "left_anti").select("point", "size", "grams"))
         rounds += 1
-        if rest.isEmpty():
-            break
     union = lambda parts, kind: reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], kind)
     return union(links, "point bigint, links bigint").groupBy("point").agg(F.sum("links").alias("links")).where("links > 0"), union(edges, "a bigint, b bigint")
 
 
 def jaccard_points(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadcast_limit: int = 2_000_000) -> DataFrame:
     """(doc_id, point, class_id, links, group_id) of jaccard_groups; point is the hash of the document's set of n-grams."""
+    small_batches(docs.sparkSession)
     d = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text")).where("doc_id is not null and text is not null")
     alive = checkpoint(peel(d, n, similarity))
     small = alive.count() <= broadcast_limit
