@@ -57,7 +57,7 @@ def free_names(df: DataFrame, n: int) -> list[str]:
 def small_batches(spark: SparkSession, size: str = "4m") -> None:
     """Let Arrow batches hold 4 MB, where the session has the default of 64 MB, of which several are in memory for each task."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, "") in ("67108864b", "67108864", "64MB", "64m"):
+    if spark.conf.get(key, "67108864b").lower() in ("67108864b", "67108864", "64mb", "64m"):
         spark.conf.set(key, size)
 
 
