@@ -11,7 +11,8 @@ lie at distance 1 of each other, where the triangle inequality says nothing, so
    share n-grams with p and are found by p's: all of these are replicated to the region. Inside it only those with
    |d(x, p) - d(y, p)| <= r are compared with x, by exact counts of common n-grams.
 5. *Recursion.* All links of covered points are known then. Those not covered are joined again, among themselves and with pivots of
-   their own, till none that shares n-grams is left; a rest that fits into one block is a region as a whole.
+   their own, till none that shares n-grams is left; a rest that fits into one block is a region as a whole, and of a crowd of which a round
+   settles less than half, which lies too far apart for pivots to cover, each point is a pivot that covers itself.
 
 A large region is cut into blocks of members, and each pair of blocks is a task of its own, so no region has to fit into a worker.
 Neighbours share many n-grams, hence also some of the rarest of each: only those are looked up (a prefix in the order of a count
@@ -302,13 +303,12 @@ def common_counts(rows: list[np.ndarray], cols: list[np.ndarray]) -> np.ndarray:
     """How many n-grams each of the sets ``rows`` has in common with each of ``cols``: frequent ones by a matrix product, rare ones by pairs."""
     h, m = len(rows), len(cols)
     size = np.array([len(x) for x in rows] + [len(x) for x in cols])
-    _, token = np.unique(np.concatenate([*rows, *cols]), return_inverse=True)
-    owner = np.repeat(np.arange(h + m), size)
-    order = np.lexsort((owner, token))
-    token, owner = token[order], owner[order]
-    start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-    many = np.diff(np.r_[start, len(token)])
-    first = np.bincount(token[owner < h], minlength=len(start))  # of the rows, which come first in each block
+    g = np.concatenate([*rows, *cols])
+    order = np.argsort(g, kind="stable")
+    g, owner = g[order], np.repeat(np.arange(h + m), size)[order]
+    start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+    many = np.diff(np.r_[start, len(g)])
+    first = np.add.reduceat((owner < h).astype(np.int64), start)  # of the rows, which come first in each block
     second = many - first
     out = np.zeros((h, m), np.float32)
     limit = max(4.0, np.sqrt(h * m) / 16)
@@ -356,40 +356,44 @@ _FOUND = "a bigint, b bigint, covered boolean, own bigint, other bigint"
 def _region(similarity: float, cover: float):
     """Rows of _FOUND: a point, whether its home covers it, its links if so, and its links to covered points of others' regions; or an edge a-b."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        role, point = pdf["role"].to_numpy(), pdf["point"].to_numpy()
-        grams = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
+    def run(table: pa.Table) -> pa.Table:
+        role, point = table.column("role").to_numpy(), table.column("point").to_numpy()
+        grams = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
         size = np.array([len(g) for g in grams])
-        pivot = grams[int(np.flatnonzero(role & 4)[0])]
-        common = common_counts([pivot], grams)[0]
+        pivot, every = grams[int(np.flatnonzero(role & 4)[0])], np.concatenate(grams)
+        hit = pivot[np.minimum(np.searchsorted(pivot, every), len(pivot) - 1)] == every
+        common = np.bincount(np.repeat(np.arange(len(grams)), size)[hit], minlength=len(grams))
         far = 1 - common / (size + len(pivot) - common)
         home, member = np.flatnonzero((role & 1 > 0) & (far <= cover + 1e-9)), np.flatnonzero(role & 2)
-        own, other, edges = np.zeros(len(home), np.int64), np.zeros(len(member), np.int64), []
-        comp = np.arange(len(point))
+        own, other = np.zeros(len(home), np.int64), np.zeros(len(member), np.int64)
+        edges: list[tuple[int, int]] = []
         # the same point, as a row and as a column, is one
-        place = {p: k for k, p in enumerate(point.tolist())}
-        at = np.array([place[p] for p in point.tolist()])
+        _, at = np.unique(point, return_inverse=True)
+        comp = np.arange(len(point))
         for r, c, near in region_links([grams[x] for x in home], [grams[x] for x in member], far[home], far[member], similarity) if len(home) and len(member) else ():
-            near &= point[home[r]][:, None] != point[member[c]][None, :]
+            mine, theirs = at[home[r]], at[member[c]]
+            near &= mine[:, None] != theirs[None, :]
             own[r] += near.sum(axis=1)
             other[c] += near.sum(axis=0)
-            mine, theirs = at[home[r]], at[member[c]]
             for i in np.flatnonzero(near.any(axis=1)).tolist():
-                labels = comp[theirs[near[i]]]
-                more, first = np.unique(labels, return_index=True)
-                which = np.flatnonzero(near[i])
-                for label, f in zip(more.tolist(), first.tolist()):
-                    if label != comp[mine[i]] and comp[theirs[which[f]]] != comp[mine[i]]:
-                        edges.append((point[mine[i]], point[theirs[which[f]]]))
-                        comp[comp == comp[theirs[which[f]]]] = comp[mine[i]]
-        parts = [
-            pd.DataFrame({"a": point[home], "covered": True, "own": own, "other": 0}),
-            pd.DataFrame({"a": point[member][other > 0], "covered": False, "own": 0, "other": other[other > 0]}),
-            pd.DataFrame({"a": [a for a, _ in edges], "b": pd.array([b for _, b in edges], "Int64"), "covered": False, "own": 0, "other": 0}),
-        ]
-        tidy()
-        out = pd.concat([p.assign(b=p["b"] if "b" in p else pd.array([None] * len(p), "Int64")) for p in parts if len(p)] or [parts[2]], ignore_index=True)
-        return out[["a", "b", "covered", "own", "other"]].astype({"a": "int64", "b": "Int64", "covered": bool, "own": "int64", "other": "int64"})
+                which = theirs[near[i]]
+                for y in which[np.unique(comp[which], return_index=True)[1]].tolist() if len(which) > 1 else which.tolist():
+                    if comp[y] != comp[mine[i]]:
+                        edges.append((mine[i], y))
+                        comp[comp == comp[y]] = comp[mine[i]]
+        name = np.zeros(len(point), np.int64)
+        name[at] = point
+        more = other > 0
+        n_home, n_more, n_edges = len(home), int(more.sum()), len(edges)
+        e = np.array(edges, np.int64).reshape(-1, 2)
+        none = np.zeros(n_home + n_more, np.int64)
+        return pa.table({
+            "a": pa.array(np.concatenate([point[home], point[member][more], name[e[:, 0]]])),
+            "b": pa.array(np.concatenate([none, name[e[:, 1]]]), mask=np.arange(n_home + n_more + n_edges) < n_home + n_more),
+            "covered": pa.array(np.arange(n_home + n_more + n_edges) < n_home),
+            "own": pa.array(np.concatenate([own, np.zeros(n_more + n_edges, np.int64)])),
+            "other": pa.array(np.concatenate([np.zeros(n_home, np.int64), other[more], np.zeros(n_edges, np.int64)])),
+        })
 
     return run
 
@@ -432,15 +436,16 @@ def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_0
     spark = points.sparkSession
     small = lambda d: F.broadcast(d) if d.count() <= broadcast_limit else d
     cover = max(0.0, min(COVER, similarity - 0.05))
-    least = similarity - cover  # of a window: 1 - cover - r
     cells = spark.sparkContext.broadcast(sketch(points))
     buckets = partitions(points)
-    rest, links, edges, rounds = points, [], [], 0
+    rest, links, edges, rounds, apart, before = points, [], [], 0, False, 0
     while True:
         n_rest, n_grams = rest.agg(F.count("*"), F.sum("size")).first()
         if not n_rest:
             break
         # what fits into one block is joined as one region
+        apart = rounds > 1 and 2 * n_rest > before
+        before, reach, least = n_rest, 0.0 if apart else cover, similarity - (0.0 if apart else cover)  # least: that of a window, 1 - cover - r
         whole = rounds > 0 and n_rest <= _BLOCK and n_grams <= _BLOCK_GRAMS
         index = lambda d: d.mapInArrow(_prefixes(buckets, least, cells), _INDEX)  # noqa: B023, E731
         if whole:
@@ -452,7 +457,8 @@ def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_0
             led = led.groupBy("point").agg(F.sum("led").alias("led"), F.sum("shared").alias("shared"))
             # later rounds have fewer points, and more of them are pivots
             share = (0.5, 0.5, 0.25, 0.1)[rounds] if rounds < 4 else 0.0
-            led = checkpoint(led.select("point", ((F.col("led") > 0) & (F.col("led") >= share * F.col("shared"))).alias("pivot"), "shared"))
+            pivot = F.lit(True) if apart else (F.col("led") > 0) & (F.col("led") >= share * F.col("shared"))
+            led = checkpoint(led.select("point", pivot.alias("pivot"), "shared"))
             if led.where("pivot").isEmpty():
                 break
             # who shares too few with all others together has no neighbour among them
@@ -468,8 +474,7 @@ def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_0
             place = checkpoint(place.unionByName(own))
             tasks = _tasks(place, alive)
             sent = alive.select("point", "grams").join(F.broadcast(tasks) if place.count() <= broadcast_limit else tasks, "point")
-            reach = cover
-        found = checkpoint(sent.groupBy("pivot", "i", "j").applyInPandas(_region(similarity, reach), _FOUND))
+        found = checkpoint(sent.groupBy("pivot", "i", "j").applyInArrow(_region(similarity, reach), _FOUND))
         edges.append(found.where("b is not null").select("a", "b"))
         each = found.where("b is null").groupBy("a").agg(F.max("covered").alias("covered"), F.sum("own").alias("own"), F.sum("other").alias("other"))
         each = checkpoint(each)
