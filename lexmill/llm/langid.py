@@ -17,9 +17,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
-from lexmill.llm._common import buffers, spans
+from lexmill.llm._common import buffers, free_names, small_batches, spans, tidy
 
 BITS = 16
 _M2, _M3 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
@@ -60,7 +61,7 @@ def features(raw: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _parts(batch_column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     data, off = buffers(batch_column)
-    for i, j in spans(off, 1 << 19):
+    for i, j in spans(off, 1 << 17):
         raw = data[off[i] : off[j]]
         seen = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
         yield i, j, raw, seen[off[i : j + 1] - off[i]]
@@ -151,57 +152,77 @@ def train(texts: list[str], labels: list[str], idf: np.ndarray, alpha: float = 8
     return Model(langs, idf, w[:-1], 0.1 * w[-1], float(np.exp((lo + hi) / 2)))
 
 
-def fit(docs: DataFrame, sample: int = 600, seed: int = 5) -> Model | None:
-    """Model of the languages in ``lang``; None without any labelled text. ``sample`` rows a language are fitted on."""
-    total, df = document_frequencies(docs)
+def fit(docs: DataFrame, sample: int = 600, seed: int = 5, most_rows: int = 60_000) -> Model | None:
+    """Model of the languages in ``lang``; None without any labelled text.
+
+    It is fitted on ``sample`` rows a language, fewer where the languages are so many that ``most_rows`` would be passed (but one of each at least).
+    """
+    d = docs.select(docs["doc_id"].cast("string").alias("id"), docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text"))
+    total, df = document_frequencies(d)
     idf = np.log((1 + total) / (1 + df)) + 1
-    ids = docs.where("lang is not null and text is not null and text != ''").select("doc_id", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("h"))
-    pick = ids.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("k") <= sample)
-    # at most ``sample`` ids a language
-    pick = pick.select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(F.broadcast(pick), docs["doc_id"].eqNullSafe(pick["__id"])).where("lang is not null and text is not null and text != ''").select("doc_id", docs["lang"].cast("string").alias("lang"), docs["text"].cast("string").alias("text")).toArrow().to_pylist()
-    rows.sort(key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, r["lang"], r["text"]))
-    return train([r["text"] for r in rows], [r["lang"] for r in rows], idf, seed=seed) if rows else None
+    d = d.where("lang is not null and text is not null and text != ''")
+    langs = d.agg(F.count_distinct("lang")).first()[0]
+    if not langs:
+        return None
+    each = max(1, min(sample, most_rows // langs))
+    # the order is that of a hash; a row is picked by what it consists of, so ids can be null or repeated
+    order = F.xxhash64(F.lit(seed), "id", F.when(F.col("id").isNull(), F.col("text")))
+    cut = d.select("lang", order.alias("h")).withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(F.col("k") <= each)
+    cut = cut.groupBy("lang").agg(F.max("h").alias("most"))
+    # one row a language
+    rows = d.withColumn("h", order).join(F.broadcast(cut.withColumnRenamed("lang", "of")), F.col("lang") == F.col("of")).where("h <= most").select("h", "lang", "text").toArrow().to_pylist()
+    rows.sort(key=lambda r: (r["h"], r["lang"], r["text"]))
+    taken, left = [], dict.fromkeys((r["lang"] for r in rows), each)
+    for r in rows:  # repeated rows share a hash
+        if left[r["lang"]]:
+            left[r["lang"]] -= 1
+            taken.append(r)
+    return train([r["text"] for r in taken], [r["lang"] for r in taken], idf, seed=seed)
+
+
+def scores(texts: pa.Array, model: tuple) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+    """Best language, its probability (nan without letters) and number of n-grams of each text."""
+    weights, bias, temperature, langs = model
+    best, prob, grams = [None] * len(texts), np.full(len(texts), np.nan), np.zeros(len(texts), np.int64)
+    for i, j, raw, cuts in _parts(texts):
+        g, ok = features(raw, cuts)
+        # sums by text over prefix sums would lose digits; reduceat adds up each text on its own
+        score, count = np.zeros((j - i, len(langs))), np.zeros(j - i, np.int64)
+        full = np.flatnonzero(np.diff(cuts) > 0)
+        if len(g[0]) and len(full):
+            at = cuts[:-1][full]
+            both = np.where(ok[0], 1.0, 0.0).astype(np.float32)[:, None] * weights[g[0]]
+            both += np.where(ok[1], 1.0, 0.0).astype(np.float32)[:, None] * weights[g[1]]
+            score[full] = np.add.reduceat(both, at, axis=0, dtype=np.float64)
+            count[full] = np.add.reduceat(ok[0].astype(np.int64) + ok[1], at)
+        p = _softmax((score / np.maximum(count, 1)[:, None] + bias) / temperature)
+        top = p.argmax(axis=1)
+        grams[i:j] = count
+        prob[i:j] = np.where(count > 0, p[np.arange(j - i), top], np.nan)
+        best[i:j] = [langs[t] if c else None for t, c in zip(top, count)]
+    return best, prob, grams
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """Columns of ``docs`` and predicted, confidence, n_grams; predicted and confidence are null for texts without letters."""
-    table = model.table() if model else None
-    shared = docs.sparkSession.sparkContext.broadcast((table, model.bias, model.temperature, model.langs) if model else None)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = shared.value
-        for batch in batches:
-            best, prob = [None] * batch.num_rows, np.full(batch.num_rows, np.nan)
-            grams = np.zeros(batch.num_rows, np.int64)
-            for i, j, raw, cuts in _parts(batch.column(batch.num_columns - 1)) if got else ():
-                weights, bias, temperature, langs = got
-                g, ok = features(raw, cuts)
-                n = len(g[0])
-                # sums by text over prefix sums would lose digits; reduceat adds up each text on its own
-                score, count = np.zeros((j - i, len(langs))), np.zeros(j - i, np.int64)
-                full = np.flatnonzero(np.diff(cuts) > 0)
-                if n and len(full):
-                    at = cuts[:-1][full]
-                    both = np.where(ok[0], 1.0, 0.0).astype(np.float32)[:, None] * weights[g[0]]
-                    both += np.where(ok[1], 1.0, 0.0).astype(np.float32)[:, None] * weights[g[1]]
-                    score[full] = np.add.reduceat(both, at, axis=0, dtype=np.float64)
-                    count[full] = np.add.reduceat(ok[0].astype(np.int64) + ok[1], at)
-                p = _softmax((score / np.maximum(count, 1)[:, None] + bias) / temperature)
-                top = p.argmax(axis=1)
-                grams[i:j] = count
-                prob[i:j] = np.where(count > 0, p[np.arange(j - i), top], np.nan)
-                best[i:j] = [langs[t] if c else None for t, c in zip(top, count)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(best, pa.string()), pa.array(prob, pa.float64(), mask=np.isnan(prob)), pa.array(grams)], [*batch.schema.names[:-1], "predicted", "confidence", "n_grams"]
-            )
-
-    from pyspark.sql import types as T
-
-    rest = [c for c in docs.columns if c not in ("predicted", "confidence", "n_grams")]
-    d = docs.select(*rest, docs["text"].cast("string").alias("__text"))
-    schema = T.StructType([*d.schema.fields[:-1], T.StructField("predicted", T.StringType()), T.StructField("confidence", T.DoubleType()), T.StructField("n_grams", T.LongType())])
-    return d.mapInArrow(run, schema)
+    small_batches(docs.sparkSession)
+    rest = [docs[c] for c in docs.columns if c not in ("predicted", "confidence", "n_grams")]
+    if model is None:
+        return docs.select(*rest, F.lit(None).cast("string").alias("predicted"), F.lit(None).cast("double").alias("confidence"), F.lit(0).cast("bigint").alias("n_grams"))
+    shared = docs.sparkSession.sparkContext.broadcast((model.table(), model.bias, model.temperature, model.langs))
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for t in texts:
+            best, prob, grams = scores(t, shared.value)
+            yield pa.StructArray.from_arrays([pa.array(best, pa.string()), pa.array(prob, pa.float64(), mask=np.isnan(prob)), pa.array(grams)], ["predicted", "confidence", "n_grams"])
+        tidy()
+
+    # texts go to Python once and only results come back; not to be run again where a filter asks for the result
+    (got,) = free_names(docs, 1)
+    each = arrow_udf(run, "struct<predicted:string,confidence:double,n_grams:bigint>").asNondeterministic()
+    d = docs.select(*rest, each(docs["text"].cast("string")).alias(got))
+    names = [c for c in docs.columns if c not in ("predicted", "confidence", "n_grams")]
+    return d.select(*names, *[F.col(got)[c].alias(c) for c in ("predicted", "confidence", "n_grams")])
 
 
 def identify(docs: DataFrame, min_confidence: float = 0.5, sure: float = 0.9, sample: int = 600) -> DataFrame:
@@ -209,10 +230,11 @@ def identify(docs: DataFrame, min_confidence: float = 0.5, sure: float = 0.9, sa
 
     accepted: the text has letters, some language reaches ``min_confidence``, and none but the document's own ``lang``
     reaches ``sure``; with a null lang the last rule is left out. Null and empty texts have no prediction and aren't
-    accepted. Without any labelled text there is no model and nothing is predicted or accepted. Repeated rows are
+    accepted. Texts of any length count in whole. Without any labelled text there is no model and nothing is predicted or accepted. Repeated rows are
     judged alike. Equal probabilities go to the first language by name. Columns that have one of the four names are replaced, other extra columns
     pass through. An empty table gives an empty result.
     """
     p = predict(docs, fit(docs, sample))
+    p = p.drop("accepted")
     own = F.col("lang").isNull() | (F.col("predicted") == F.col("lang")) | (F.col("confidence") < sure)
     return p.withColumn("accepted", F.coalesce((F.col("confidence") >= min_confidence) & own, F.lit(False)))
