@@ -11,7 +11,7 @@ from lexmill.llm.jaccard import jaccard_groups, jaccard_sql
 from lexmill.llm.langid import identify
 from lexmill.llm.licenses import scan_licenses
 from lexmill.llm.line_dedup import dedup_lines, dedup_lines_sql
-from lexmill.llm.mixing import mix, mix_sql
+from lexmill.llm.mixing import TARGETS, mix, mix_sql
 from lexmill.llm.packing import pack_documents
 from lexmill.llm.pii import surrogate_pii
 from lexmill.llm.quality import quality_filter, quality_sql
@@ -56,7 +56,7 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(_table(spark, sf_dir, "documents")).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
+    return mix(_table(spark, sf_dir, "documents"), weights=TARGETS).select("doc_id", "domain", "lang", "source", "n_tokens", "epoch")
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +91,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_revisits": revisits_sql(),
     "op5_fingerprints": fingerprints_sql(),
     "op6_ngram_jaccard_join": jaccard_sql(),
-    "op7_mixing": mix_sql(),
+    "op7_mixing": mix_sql(weights=TARGETS),
     "op9_quality_rules": quality_sql(),
 }
