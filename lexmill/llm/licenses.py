@@ -10,15 +10,17 @@ Tokens that no template has reset the automaton, so only maximal runs of known t
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from lexmill.llm._common import buffers, spans, words
+from lexmill.llm._common import buffers, small_batches, spans, tidy, words
 
 _GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
 _NO_WARRANTY = "This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {1} for more details."
@@ -170,26 +172,54 @@ def maximal_matches(auto: SuffixAutomaton, seq: list[int], least: int) -> list[t
 
 def chains(matches: list[tuple[int, int, int, int]], gap: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
     """(template, [(file start, template start, length)]): matches of a template in order on both sides, at most ``gap`` tokens
-    apart in the file, chosen from the heaviest chain on until no match is left that overlaps no chosen chain of its template."""
+    apart in the file, chosen from the heaviest chain on until no match is left that overlaps no chosen chain of its template.
+
+    A chain runs through its template once, so what a match can continue lies within the template's length and gaps before it, and taking a chain
+    out changes the chains of the matches next to it alone.
+    """
     out = []
-    for k in sorted({m[0] for m in matches}):
-        rest = sorted(m[1:] for m in matches if m[0] == k)
-        while rest:
-            best = [m[2] for m in rest]
-            prev = [-1] * len(rest)
-            for i, (f, t, n) in enumerate(rest):
-                for j in range(i - 1, -1, -1):
-                    fj, tj, nj = rest[j]
-                    if fj + nj <= f and tj + nj <= t and f - fj - nj <= gap and best[j] + n > best[i]:
-                        best[i], prev[i] = best[j] + n, j
-            i, chain = int(np.argmax(best)), []
+    by: dict[int, list[tuple[int, int, int]]] = {}
+    for k, *m in matches:
+        by.setdefault(k, []).append(tuple(m))
+    for k in sorted(by):
+        rest = sorted(by[k])
+        starts = [m[0] for m in rest]
+        longest = max(m[2] for m in rest)
+        span = max(m[1] + m[2] for m in rest)
+        reach = span * (1 + gap) + gap
+        best, prev, gone = [m[2] for m in rest], [-1] * len(rest), [False] * len(rest)
+
+        def weigh(i: int) -> None:
+            f, t, n = rest[i]  # noqa: B023
+            best[i], prev[i] = n, -1  # noqa: B023
+            for j in range(i - 1, bisect_left(starts, f - gap - longest) - 1, -1):  # noqa: B023
+                fj, tj, nj = rest[j]  # noqa: B023
+                if not gone[j] and fj + nj <= f and tj + nj <= t and f - fj - nj <= gap and best[j] + n > best[i]:  # noqa: B023
+                    best[i], prev[i] = best[j] + n, j  # noqa: B023
+
+        for i in range(len(rest)):
+            weigh(i)
+        heap = [(-best[i], i) for i in range(len(rest))]
+        heapify(heap)
+        while heap:
+            w, i = heappop(heap)
+            if gone[i] or -w != best[i]:
+                continue
+            chain = []
             while i >= 0:
                 chain.append(rest[i])
                 i = prev[i]
             chain.reverse()
             lo, hi = chain[0][0], chain[-1][0] + chain[-1][2]
             out.append((k, chain))
-            rest = [m for m in rest if m[0] + m[2] <= lo or m[0] >= hi]
+            for i in range(bisect_left(starts, lo - longest), bisect_left(starts, hi)):
+                gone[i] = gone[i] or rest[i][0] + rest[i][2] > lo
+            for i in range(bisect_left(starts, hi), bisect_left(starts, hi + reach)):
+                if not gone[i]:
+                    was = best[i]
+                    weigh(i)
+                    if best[i] != was:
+                        heappush(heap, (-best[i], i))
     return out
 
 
@@ -234,10 +264,11 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str | list[str]] | No
     start_char and end_char are character offsets into the text, template_start and template_end are tokens. A text
     may hold several spans; of overlapping ones that with the most tokens stays (then the greatest coverage, then the
     earliest template). A template may have several forms. The words in KEYS, name and version as a rule, have to stand
-    together: a gap inside them is no match, so that other versions and kinds of a licence aren't taken for it. Null and empty texts and those without licences give no row. Templates of fewer tokens
+    together: a gap inside them is no match, so that other versions and kinds of a licence aren't taken for it. Null and empty texts and those without licences give no row; texts of any length are streamed in whole. Templates of fewer tokens
     than ``min_match`` match never. Repeated rows give repeated results, null ids are kept, extra columns are
     ignored whatever their names. An empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     known_keys = KEYS if templates is None else {}
     forms = [(k, f) for k, t in (TEMPLATES if templates is None else templates).items() for f in ([t] if isinstance(t, str) else t)]
     names, seqs = [k for k, _ in forms], tuple(tuple(tokens(t)) for _, t in forms)
