@@ -2,8 +2,8 @@
 
 The sketch of a metric is a log-linear histogram: integers under 64 exactly, 32 cells an octave beyond, so a
 quantile is at most 1/32 too low. Cells are counts, so sketches merge by adding: partial
-aggregation merges those of tasks, and one more aggregate merges those of a language's sources, which stand in
-for groups too small to have thresholds of their own. All metrics are integers: shares in per mille, of a whole that counts 100 letters (2 lines, 10 words) more than there are, so
+aggregation merges those of tasks, and one more aggregate merges those of a language's sources, which count as
+so many documents more of each group: thresholds of a small group lie near its language's, and those of a large one are its own. All metrics are integers: shares in per mille, of a whole that counts 100 letters (2 lines, 10 words) more than there are, so
 that a single capital or number says little in a short text.
 """
 
@@ -64,40 +64,40 @@ def quartiles(sketch: DataFrame, by: list[str]) -> DataFrame:
     return c.groupBy(*by, "metric").agg(F.max("total").alias("total"), at(1).alias("q1"), at(3).alias("q3"))
 
 
-def thresholds(sketch: DataFrame, min_docs: int = 30) -> DataFrame:
+def thresholds(sketch: DataFrame, prior: int = 30) -> DataFrame:
     """(lang, source, metric, low, high): fences FENCE interquartile ranges (or the metric's least spread) beyond the quartiles.
 
-    A group of fewer than ``min_docs`` documents takes the merged sketch of its language.
+    A group's quartiles are averaged with those of its language, which weigh as much as ``prior`` documents, whatever the group's size.
     """
     own, lang = quartiles(sketch, ["lang", "source"]), quartiles(sketch, ["lang"]).select(F.col("lang").alias("l"), F.col("metric").alias("m"), F.col("q1").alias("l1"), F.col("q3").alias("l3"))
     j = own.join(lang, own["lang"].eqNullSafe(lang["l"]) & (own["metric"] == lang["m"]))
-    small = F.col("total") < min_docs
-    q1, q3 = F.when(small, F.col("l1")).otherwise(F.col("q1")), F.when(small, F.col("l3")).otherwise(F.col("q3"))
+    q1, q3 = (F.expr(f"({a} * total + {b} * {prior}) div (total + {prior})") for a, b in (("q1", "l1"), ("q3", "l3")))
+    j = j.select("lang", "source", "metric", q1.alias("q1"), q3.alias("q3"))
     least = F.coalesce(*[F.when(F.col("metric") == k, F.lit(v)) for k, v in METRICS.items()])
-    spread = F.greatest((q3 - q1) * FENCE, least.cast("bigint"))
-    return j.select("lang", "source", "metric", (q1 - spread).alias("low"), (q3 + spread).alias("high"))
+    spread = F.greatest((F.col("q3") - F.col("q1")) * FENCE, least.cast("bigint"))
+    return j.select("lang", "source", "metric", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
 
 
-def quality_filter(docs: DataFrame, min_docs: int = 30) -> DataFrame:
+def quality_filter(docs: DataFrame, prior: int = 30) -> DataFrame:
     """(doc_id, lang, source, n_words and METRICS) of the documents inside all fences of their language and source.
 
     Texts with no words (null, empty, white space) go. Null lang or source values form groups of their own.
     Groups of equal values have the least spread as fence, so ties never empty a group. Repeated rows are judged
-    alike, each kept or not on its own. Extra columns are ignored whatever their names. An empty table gives an
+    alike, each kept or not on its own. Texts of any length count in whole. Extra columns are ignored whatever their names. An empty table gives an
     empty result. Metrics are computed once, over whole texts, and kept by checkpoint (without the texts).
     """
     m = checkpoint(metrics(docs))
-    t = thresholds(sketches(m), min_docs)
+    t = thresholds(sketches(m), prior)
     wide = t.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == k, F.col(s))).alias(f"{k}_{s}") for k in METRICS for s in ("low", "high")])
-    wide = wide.withColumnsRenamed({"lang": "__lang", "source": "__source"})
-    j = m.join(wide, m["lang"].eqNullSafe(wide["__lang"]) & m["source"].eqNullSafe(wide["__source"]))
+    wide = wide.withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
+    j = m.join(wide, m["lang"].eqNullSafe(wide["of_lang"]) & m["source"].eqNullSafe(wide["of_source"]))
     inside = F.col("n_words") > 0
     for k in METRICS:
         inside &= F.col(k).between(F.col(f"{k}_low"), F.col(f"{k}_high"))
     return j.where(inside).select(m.columns)
 
 
-def quality_sql(min_docs: int = 30) -> str:
+def quality_sql(prior: int = 30) -> str:
     count = lambda chars: f"(length(text) - length(translate(text, '{chars}', '')))"
     q = lambda by: (
         f"SELECT {by}, metric, max(total) AS total, min(cell) FILTER (WHERE upto * 4 >= total) AS q1, min(cell) FILTER (WHERE upto * 4 >= total * 3) AS q3 FROM "
@@ -118,7 +118,7 @@ m AS (SELECT doc_id, lang, source, len(w)::BIGINT AS n_words, (sym * 1000 // (n
 x AS ({union}),
 sk AS (SELECT lang, source, metric, CASE WHEN x < 64 THEN x ELSE (x // (1::BIGINT << (length(bin(x)) - 6))) * (1::BIGINT << (length(bin(x)) - 6)) END AS cell, count(*) AS n FROM x GROUP BY ALL),
 own AS ({q("lang, source")}), lg AS ({q("lang")}),
-f AS (SELECT own.lang, own.source, own.metric, CASE WHEN own.total < {min_docs} THEN lg.q1 ELSE own.q1 END AS q1, CASE WHEN own.total < {min_docs} THEN lg.q3 ELSE own.q3 END AS q3
+f AS (SELECT own.lang, own.source, own.metric, (own.q1 * own.total + lg.q1 * {prior}) // (own.total + {prior}) AS q1, (own.q3 * own.total + lg.q3 * {prior}) // (own.total + {prior}) AS q3
   FROM own JOIN lg ON own.lang IS NOT DISTINCT FROM lg.lang AND own.metric = lg.metric),
 th AS (SELECT lang, source, metric, q1 - greatest((q3 - q1) * {FENCE}, CASE metric {least} END) AS low, q3 + greatest((q3 - q1) * {FENCE}, CASE metric {least} END) AS high FROM f)
 SELECT * FROM m WHERE n_words > 0 AND {fences}
