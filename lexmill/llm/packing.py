@@ -2,9 +2,10 @@
 
 With N(g) open bins of gap g (free tokens, 0 < g < capacity), putting a piece of s tokens into a bin of gap g changes
 the sum of N(g)**2 by 2 (N(g - s) - N(g)) + 2, or by 1 - 2 N(g) if it fills the bin; a new bin changes it by
-2 N(capacity - s) + 1. The least change wins; of equal ones the smallest gap, and an open bin before a new one.
+2 N(capacity - s) + 1. The least change wins; of equal ones the smallest gap, and an open bin before a new one; of bins with one gap
+that which was used last.
 
-The rule is sequential, so shards of about ``shard_docs`` documents, by hash of the id, are packed on their own and in
+The rule is sequential, so shards of about ``shard_docs`` documents, by hash of the id and text, are packed on their own and in
 parallel. Only ids and token counts are shuffled.
 """
 
@@ -48,22 +49,28 @@ def pack(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     return bins, slots
 
 
+def sharded(docs: DataFrame, shard_docs: int, seed: int) -> DataFrame:
+    """(doc_id, n, h, shard) of the documents with tokens; h is their order."""
+    d = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    # as many shards as the documents need, from one count without reading texts
+    shards = max(1, -(-docs.count() // shard_docs))
+    # with the text in it, rows without an id spread like others
+    d = d.select("doc_id", n_tokens(F.col("text")).alias("n"), F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))).alias("h")).where("n > 0")
+    return d.withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
+
+
 def pack_documents(docs: DataFrame, capacity: int = 2048, shard_docs: int = 20_000, seed: int = 11) -> DataFrame:
     """(shard, bin, slot, doc_id, piece, start, n_tokens): where each piece of each document lies.
 
-    Tokens are whitespace-separated words. A text over ``capacity`` is cut into pieces of that size, each a full bin,
+    Tokens are whitespace-separated words. A text over ``capacity``, however long, is cut into pieces of that size, each a full bin,
     and a last, shorter one. Documents without tokens (null, empty, white space) have no piece. Within a shard
     documents come in hashed order of id, then size; repeated rows (ties) are placed each on its own. Null ids are
-    kept as null. Extra columns are ignored. An empty table gives an empty result. Bins number from 0 in each shard.
+    kept as null and spread by their texts. Ids are cast to bigint. Extra columns are ignored, whatever their names. An empty table gives an empty result. Bins number from 0 in each shard.
+    How many shards there are follows the number of documents, so that one holds ``shard_docs`` at any size.
     """
-    d = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), n_tokens(docs["text"]).alias("n")).where("n > 0")
-    # as many shards as the documents need, from one count without reading texts
-    shards = max(1, -(-docs.count() // shard_docs))
-    order = F.xxhash64(F.lit(seed), F.coalesce("doc_id", F.lit(-1)))
-    d = d.withColumn("h", order).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["h", "n"], kind="stable")
+        pdf = pdf.sort_values(["h", "n", "doc_id"], kind="stable")
         n = pdf["n"].to_numpy(np.int64)
         pieces = -(-n // capacity)
         row = np.repeat(np.arange(len(n)), pieces)
@@ -72,4 +79,4 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, shard_docs: int = 20_0
         bins, slots = pack(size, capacity)
         return pd.DataFrame({"shard": pdf["shard"].to_numpy()[row], "bin": bins, "slot": slots, "doc_id": pdf["doc_id"].astype("Int64").array[row], "piece": piece.astype(np.int32), "start": piece * capacity, "n_tokens": size.astype(np.int32)})
 
-    return d.groupBy("shard").applyInPandas(run, SCHEMA)
+    return sharded(docs, shard_docs, seed).groupBy("shard").applyInPandas(run, SCHEMA)
