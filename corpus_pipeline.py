@@ -14,7 +14,7 @@ from lexmill.llm._common import checkpoint
 from lexmill.llm.jaccard import drop_near_duplicates
 from lexmill.llm.langid import identify
 from lexmill.llm.line_dedup import dedup_lines
-from lexmill.llm.mixing import mix
+from lexmill.llm.mixing import TARGETS, mix
 from lexmill.llm.packing import pack_documents
 
 
@@ -35,8 +35,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Half of all tokens, in equal shares of domains, languages and sources as far as they go."""
-    return mix(docs).select(docs.columns)
+    """Half of all tokens, by the target weights of domains, languages and sources as far as they go."""
+    return mix(docs, weights=TARGETS).select(docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
