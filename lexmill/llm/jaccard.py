@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.window import Window
 
 from lexmill.llm._common import buffers, checkpoint, free_names, mix, partitions, small_batches, spans, tidy, words
@@ -529,12 +529,11 @@ def jaccard_groups(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadca
 
 
 def _marked(n: int):
-    """Columns of the input but the last, (point, keep) of the document's id, as a flag: None outside groups, else whether it is the one that stays."""
+    """Arrow function of (text, [(point, keep)] of its id): null outside groups, else whether the document is the one that stays."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts, own = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
-            flag: list[bool | None] = [None] * batch.num_rows
+    def run(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, own in columns:
+            flag: list[bool | None] = [None] * len(texts)
             some = np.flatnonzero(np.asarray(own.is_valid()))
             if len(some):
                 data, off = buffers(texts.take(pa.array(some)))
@@ -543,10 +542,10 @@ def _marked(n: int):
                     docs, point, _, _ = point_sets(data[off[i] : off[j]], off[i : j + 1] - off[i], n)
                     for d, p in zip((docs + i).tolist(), point.tolist()):
                         flag[some[d]] = next((x["keep"] for x in lists[d] if x["point"] == p), None)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(flag, pa.bool_())], [*batch.schema.names[:-2], "flag"])
+            yield pa.array(flag, pa.bool_())
         tidy()
 
-    return run
+    return arrow_udf(run, "boolean").asNondeterministic()
 
 
 def drop_near_duplicates(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadcast_limit: int = 2_000_000) -> DataFrame:
@@ -563,15 +562,16 @@ def drop_near_duplicates(docs: DataFrame, n: int = 3, similarity: float = 0.6, b
     got = got.join(first, "group_id").select("doc_id", "point", F.coalesce((F.col("m.doc_id") == F.col("doc_id")) & (F.col("m.point") == F.col("point")), F.lit(False)).alias("keep"))
     lists = checkpoint(got.distinct().groupBy("doc_id").agg(F.collect_list(F.struct("point", "keep")).alias("own")))
     small = lists.count() <= broadcast_limit
-    ident, own, text, rank = free_names(docs, 4)
+    ident, own, flag, rank = free_names(docs, 4)
     lists = lists.select(F.col("doc_id").alias(ident), F.col("own").alias(own))
-    cols = [docs[c] for c in docs.columns]
-    j = docs.join(F.broadcast(lists) if small else lists, docs["doc_id"].cast("bigint") == lists[ident], "left").select(*cols, docs["text"].cast("string").alias(text), own)
-    schema = T.StructType([*j.schema.fields[:-2], T.StructField(own, T.BooleanType())])
-    marked = j.mapInArrow(_marked(n), schema)
-    order = Window.partitionBy("doc_id").orderBy("text", F.to_json(F.struct(*docs.columns)))
-    stays = marked.where(f"{own}").withColumn(rank, F.row_number().over(order)).where(f"{rank} = 1")
-    return marked.where(f"{own} is null").drop(own).unionByName(stays.drop(own, rank))
+    j = docs.join(F.broadcast(lists) if small else lists, docs["doc_id"].cast("bigint") == lists[ident], "left")
+    # only texts of ids in groups go to Python
+    text = F.when(F.col(own).isNotNull(), docs["text"].cast("string"))
+    marked = j.withColumn(flag, _marked(n)(text, F.col(own))).drop(ident, own).where(f"{flag} is null or {flag}")
+    # of repeated rows of one that stays the first
+    order = Window.partitionBy(flag, "doc_id").orderBy("text", F.to_json(F.struct(*docs.columns)))
+    stays = marked.where(flag).withColumn(rank, F.row_number().over(order)).where(f"{rank} = 1")
+    return marked.where(f"{flag} is null").drop(flag).unionByName(stays.drop(flag, rank))
 
 
 def jaccard_sql(n: int = 3, similarity: float = 0.6, source: str = "documents") -> str:
