@@ -395,7 +395,8 @@ def test_winnowing_guarantee():
         got.append({(int(h[p]), int(p) - n) for p in fingerprints.window_minima(h, 64)})
     assert got[0] & got[1]
     for n in (1, 5, 64, 300):
-        h = rng.integers(0, 4, n).astype(np.uint64) << np.uint64(60)
+      for shift in (60, 0):  # values that differ in their upper bits, and in their lowest only
+        h = rng.integers(0, 4, n).astype(np.uint64) << np.uint64(shift)
         slow = sorted({max(range(i, min(i + 7, n)), key=lambda j: (-int(h[j]), j)) for i in range(max(1, n - 6))})  # noqa: B023
         assert fingerprints.window_minima(h, 7).tolist() == slow
 
