@@ -56,3 +56,98 @@ def shape_sql(w: str) -> str:
     tests = [(NUMBER, "NUMBER"), (file, "FILE"), (None, "FORMULA"), (CHESS, "CHESS"), (MATH, "MATH"), ("^(?:[A-Z]\\.)+$|^[A-Z]{2,}$", "ACRONYM"), ("^\\p{L}+(?:-\\p{L}+)+$", "HYPHEN"), ("^\\p{Lu}\\p{L}*$", "PROPER"), ("^\\p{L}+[.,]\\p{L}+$", "SPLICE"), ("^[a-z]+$", "ASCII"), ("^\\p{L}+$", "LETTERS")]
     m = lambda p: f"regexp_matches({w}, '{p}')"
     return "CASE " + " ".join(f"WHEN {m(p) if p else m(FORMULA) + ' AND ' + m('[0-9(]')} THEN '{c}'" for p, c in tests) + " ELSE 'OTHER' END"
+
+
+# -- Categories of words that no dictionary has --
+
+CHESS_PIECE = "^[KQRBNP][a-h][1-8]$"
+_ALL = [*ELEMENTS, *"Rf Db Sg Bh Hs Mt Ds Rg Cn Nh Fl Mc Lv Ts Og".split(), "R"]  # R stands for any group
+_ATOM = "(?:(?:" + "|".join(sorted(_ALL, key=lambda x: (-len(x), x))) + ")(?:[2-9]|[1-9][0-9])?)"
+_SINGLE = "".join(e for e in _ALL if len(e) == 1)
+CHEMICAL_FORMULA = rf"^{_ATOM}+(?:$|[(]{_ATOM}+[)]$|(?:[·∙][0-9]*{_ATOM}+)+$|[(](?:II|III|IV|VI|VII|VIII|IX)[)]$)"
+#: What looks like a formula but is a model, an acronym or a catalogue number.
+NO_FORMULA = rf"^(?:[{_SINGLE}]+[1-9][0-9]|[{_SINGLE}]{{3,}}s?|[{_SINGLE}]{{3,}}[0-9]+)$|^[^CHNO][4-9][0-9]"
+_MORPHEMES = (
+    "mono di bi tri tetr pent hex hept oct nona deca hydrogen hydroxy methyl phenyl acetate ene ine ane ide hydro nyl acetyl gluco aminyl galacto pyro benz brom amino fluor glyc cholester chlor oxy nitr silic phosph nickel copper iron carb sulf alumin arsen "
+    "magnesium mercury lead calcium propyl itol ethyl oglio stearyl alkyl ethan amine ether keton oxo pyri cyclo poly iso methan ase meth dione butan"
+).split()
+_STEP = "(?i)(?:[0-9]+-|(?:D-|-)?[0-9]+,[0-9]-?|N[0-9]+,N[0-9]+-?|,[0-9]+|" + "|".join(_MORPHEMES) + "|ate$|ium$|ase$|ine$|late$|^Bis|delta[0-9]+)+"
+_SITES = "phenoxy) propyl) phenyl) oxyimino) ethyl) dinyl) (propylene bis( ,NAD methyl".split()
+URL = "/.*[.]|[.].*/|[.](?:pdf|html|org|net|int|edu|gov|mil|arpa|co[.]uk|de|jp|ru|txt|jar)$|^www[.]"
+FORMULA_OF_LETTERS = "^(?:[A-Za-z]{1,2}[(][A-Za-z]{1,2}[)]|log[(][a-z0-9][)]|[A-Za-zΑ-Ωα-ω0-9]{2,3})$"
+NO_ZERO = "(?:^|[^0-9A-Za-z])[.][0-9]"
+DNA = "^[acgt]+$"
+
+
+def is_chemical_formula(w: Column) -> Column:
+    return w.rlike(CHEMICAL_FORMULA) & ~w.rlike(NO_FORMULA)
+
+
+def is_chemical_name(w: Column, passes: int = 6) -> Column:
+    """Whether morphemes of chemical names make up most of a word. They are taken out again and again, since what is left may form new ones; a pass that
+    finds none changes nothing, and six are more than any name of the length of a word needs."""
+    rest = w
+    for _ in range(passes):
+        rest = F.regexp_replace(rest, _STEP, "")
+    n, left = F.length(w), F.length(rest)
+    site = w.rlike("|".join(s.replace("(", "[(]").replace(")", "[)]") for s in _SITES))
+    return ((n > 14) & (left * 2 < n)) | (left * 4 < n) | F.lower(w).isin("cis,cis", "trans,cis", "alpha,beta", "trans,trans", "alpha,alpha", "gamma,delta") | w.rlike("^[0-9](?:alpha|beta)") | site
+
+
+def is_mathematics(w: Column) -> Column:
+    return w.rlike(FORMULA_OF_LETTERS) | (w.rlike("[Α-Ωα-ω]") & w.rlike("[-/]"))
+
+
+def is_address(w: Column) -> Column:
+    return w.rlike(URL)
+
+
+def is_rhyme_scheme(w: Column) -> Column:
+    """Rhyme schemes: letters introduced in order, or a score of over 100.
+
+    50 for letters a to g alone, -30 for any of m to z, 10 for every distinct pair or triple that begins with a doubled letter, 10 for every distinct one that repeats, and 50 if over half of them do.
+    """
+    s = F.lower(w)
+    n = F.length(s)
+    cut = lambda k: F.when(n >= k, F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
+    every = F.concat(cut(2), cut(3))
+    kinds = F.array_distinct(every)
+    repeated = F.size(F.filter(kinds, lambda x: F.size(F.filter(every, lambda y: y == x)) > 1))
+    doubled = F.size(F.filter(kinds, lambda x: F.substring(x, 1, 1) == F.substring(x, 2, 1)))
+    score = F.when(s.rlike("^[a-g]+$"), 50).otherwise(0) - F.when(s.rlike("[m-z]"), 30).otherwise(0) + doubled * 10 + repeated * 10 + F.when(repeated * 2 > F.size(kinds), 50).otherwise(0)
+    return s.isin("cdcd", "efef") | introduced_in_order(w) | (score > 100)
+
+
+def category(w: Column, bad_word: Column, bad_character: Column, compound: Column, foreign: Column, romanised: Column, near: Column, language: Column) -> Column:
+    """Category of a word that no dictionary has; the first that fits.
+
+    ``compound``: two words in one; ``foreign``: a title of some dictionary; ``near``: edits to the next dictionary word or null; ``language``: what
+    it looks like, as a code. TE and TF+code say English and other languages; what letters beyond ASCII an English word has is TF+?.
+    """
+    by_language = F.when(language != "en", F.concat(F.lit("TF+"), language)).when(w.rlike("^[a-zA-Z'-]+$"), "TE").otherwise("TF+?")
+    letters = (
+        F.when(romanised, "L").when(is_rhyme_scheme(w), "P").when(near.isNotNull() & (near > 0), F.concat(F.lit("T"), near.cast("string"))).when(F.lower(w).rlike(DNA), "D").otherwise(by_language)
+    )
+    tag = w.rlike("^<[?]?/?[ ]*[a-zA-Z]+[ ]*/?[ ]*>")
+    name = F.regexp_replace(w, "[</> ]", "")
+    tags = F.when(F.lower(name).isin(*BAD_LINKS), "HL").when(~F.lower(name).isin(*HTML) & ~F.lower(name).isin(*BAD_TAGS), "N").when(F.lower(name).isin(*BAD_TAGS), "HB").otherwise("H")
+    odd = F.regexp_replace(w, "[\\p{L}\\p{Pd}]", "")
+    return (
+        F.when(bad_word, "BW").when(bad_character, "BC").when(w.rlike(NO_ZERO), "Z").when(w.rlike(CHESS_PIECE), "CH").when(is_chemical_name(w), "CN").when(is_chemical_formula(w), "CF").when(compound, "ME")
+        .when(is_mathematics(w), "A").when(foreign, by_language).when(is_address(w) & ~tag, "U").when(w.rlike("[,()\\[\\] ]"), "TS")
+        .when(w.rlike("^[a-zA-Z]+$"), letters).when(w.rlike("^[a-zA-Z]+[.][a-zA-Z.]*$"), "TS").when(tag, tags)
+        .when(odd == "/", "T/").when(odd != "", "N").otherwise(by_language)
+    )
+
+
+HTML = "abbr b bdi bdo big blockquote br caption cite code data dd del dfn div dl dt em font h1 h2 h3 h4 h5 h6 hr i ins kbd li mark ol p poem pre q rb ref references rp rt rtc ruby s samp small span strike strong sub sup table td th time tr tt u ul var wbr".split()
+BAD_TAGS = "font tt strike center big i b p li ol ul h1 h2 h3 h4 h5 h6 em strong u s br".split()
+BAD_LINKS = "http https www".split()
+
+
+def whitespace_kind(w: Column, code: Column) -> Column:
+    """TS by what is wrong with its space: after a dot or comma, before punctuation, or at a bracket; foreign words of languages that aren't sorted are TF."""
+    return (
+        F.when((code == "TS") & w.contains(".") & ~w.contains(" "), "TS+DOT").when((code == "TS") & w.rlike("\\w,\\w"), "TS+COMMA").when((code == "TS") & w.rlike("\\w ,\\w|\\w [.]\\w|\\w [)]|[(] \\w|\\[ \\w|\\w \\]"), "TS+EXTRA")
+        .when((code == "TS") & w.rlike("\\w\\[|\\w[(]|[)]\\w|\\]\\w"), "TS+BRACKET").when(code.startswith("TF") & ~code.isin("TF+el", "TF+de"), "TF").otherwise(code)
+    )

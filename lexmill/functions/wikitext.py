@@ -9,12 +9,14 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MARK = "✂"
+Rule = tuple[re.Pattern, str]
 
 
 def remove_nested(s: str, opening: str, closing: str) -> str:
@@ -41,56 +43,179 @@ def remove_nested(s: str, opening: str, closing: str) -> str:
     return "".join(out) + s[since:]
 
 
-_BLOCK = "gallery|timeline|syntaxhighlight|source|code|pre|math|score|chem|graph|imagemap"
-_EARLY = [
-    (re.compile(r"<!--.*?-->", re.S), ""),
-    (re.compile(rf"<(?P<tag>{_BLOCK})\b[^>]*(?<!/)>.*?</(?P=tag)\s*>", re.S | re.I), ""),
-    (re.compile(r"\{\{\s*(?:spaced\s+)?(?:en|em|nd|md|n)dash\s*\}\}|\{\{\s*snd\s*\}\}", re.I), " - "),
-    (re.compile(r"\{\{\s*(?:·|•|dot|bullet|middot)\s*\}\}", re.I), " "),
-    (re.compile(r"\{\{\s*isbn\s*\|\s*([\dXx-]+)[^}]*\}\}", re.I), r"ISBN \1"),
-    (re.compile(r"\[\[(?:[^\[\]|:]+):[^\[\]]*(?:\[\[[^\[\]]*\]\][^\[\]]*)*\]\]\n?"), ""),
-    (re.compile(r"\[\[([^\[\]|:]+)\]\]"), r"\1"),
-    (re.compile(r"\[\[[^\[\]|:]+\|([^\[\]]*)\]\]"), r"\1"),
+def _template(names: str, flags: int = re.I) -> re.Pattern:
+    """A template without parameters by one of the names, which are apart by two spaces."""
+    return re.compile(r"\{\{(?:" + "|".join(re.escape(n) for n in names.split("  ")) + r")\}\}", flags)
+
+
+def _element(name: str, attributes: bool = False) -> re.Pattern:
+    return re.compile(rf"<{name}{'[^>]*' if attributes else ''}>.*?</{name}>", re.I | re.S)
+
+
+#: Templates that stand for a character.
+CHARACTERS = {
+    "tm": "™", "theta": "&theta;", "seggol": "ֶ", "schwahook": "ɚ", "schwa": "ə", "rturn": "ɹ", "rfishhook": "ɾ", "pipedbl": "ǁ", "okina": "ʻ", "mu": "μ", "mappiq": "ּ", "linevertsub": "ˌ", "linevert": "ˈ",
+    "lengthmark": "ː", "lambda": "λ", "hicaron": "̌", "hbrrafe": "ֿ", "thinsp": "&thinsp;", "gamma": "γ", "epsilon1revhook": "ɝ", "epsilon1rev": "ɜ", "epsilon1": "Ɛ", "dirprod": "⊗", "circle": "￼", "beta letter": "β",
+}
+_CASED = {"SH": "ś", "DELTA": "Δ"}
+_NAMESPACE = r"[a-zA-Z\s]+:"
+_EARLY: list[Rule | tuple[re.Pattern, Callable]] = [
+    (re.compile("  +"), " "),
+    (re.compile(r"\n{3,}"), "\n\n"),
+    (_template("·  bold middot  dot  middot", 0), " · "),
+    (_template("•  bull", 0), " • "),
+    (_element("syntaxhighlight", True), "\n\n"),
+    (_element("math", True), ""),
+    (re.compile(r"\{\{ISBN\|(.*?)\}\}"), r"\1"),
+    (_template("spaced en dash  spaced en dash space  dash  nbspndash  snd  sndash  spacedendash  spacedndash  spnd  spndash"), " - "),
+    (_template("mdash  —  em dash  emdash  em-dash  --  endash  en dash  –  ndash  nsndns  subdash"), "-"),
+    (_template("\\"), " / "),
+    (_template("  ".join(_CASED), 0), lambda m: _CASED[m[0][2:-2]]),
+    (_template("  ".join(CHARACTERS)), lambda m: CHARACTERS[m[0][2:-2].lower()]),
+    # emphasis keeps its text; a quotation template survives the removal of templates, for later checks
+    (re.compile(r"\{\{(?:em|strong)\|(.*?)\}\}", re.I), r"\1"),
+    (re.compile(r"\{\{(cquote\|.*?)\}\}", re.I), r"⁅⁅\1⁆⁆"),
+    (re.compile(rf"\[\[(?!{_NAMESPACE})([^|]+?)\]\]"), r"\1"),
+    (re.compile(rf"\[\[(?!{_NAMESPACE})(.*?)\|\s*(.*?)\s*\]\]", re.S), r"\2"),
+    (re.compile(rf"\[\[{_NAMESPACE}.*?\]\]", re.S), ""),
+    (_element("gallery", True), "\n\n"),
+    (_element("score", True), ""),
 ]
-_LATE = [
-    (re.compile(r"<ref\b[^>]*/>|<ref\b[^>]*>.*?</ref\s*>", re.S | re.I), ""),
-    (re.compile(r"\[(?:https?:)?//[^\s\]]+\s*([^\]]*)\]"), r"\1"),
-    (re.compile(r"\bhttps?://[^\s<>\[\]]+"), ""),
-    (re.compile(r"<br\s*/?>", re.I), "\n"),
-    (re.compile(r"</?(?:small|big|span|div|center|u|s|i|b|em|strong|p|blockquote|nowiki|abbr|cite|li|ul|ol)\b[^>]*>", re.I), ""),
-    (re.compile(r"^[|!].*$", re.M), ""),
-    (re.compile(r"[ \t]+"), " "),
-    (re.compile(r" ?\n ?"), "\n"),
+_SPACES = {"nbsp", "thinsp", "hairsp"}
+_NOTHING = {"shy", "lrm", "rlm"}
+#: Entities that prose may have in place of their characters, by name.
+_ALLOWED = (
+    "mdash minus prime Prime Alpha Beta Epsilon Zeta Eta Iota Kappa Mu Nu Omicron Rho Tau Upsilon Chi kappa omicron rho lsquo rsquo sbquo ldquo rdquo bdquo acute times and or lsaquo rsaquo sdot middot bull"
+).split()
+_PLAIN = {n: html.entities.html5[f"{n};"] for n in _ALLOWED} | {"lang": "〈", "rang": "〉", "ndash": "-", "#96": "`"} | dict.fromkeys(_SPACES, " ") | dict.fromkeys(_NOTHING, "")
+_UNWRAPPED = "span div small big center s u del time onlyinclude includeonly noinclude nowiki".split()
+_LATE: list[Rule | tuple[re.Pattern, Callable]] = [
+    (re.compile("&(?:nbsp|thinsp|hairsp);"), " "),
+    (re.compile("<br.*?>", re.I), " "),
+    (re.compile("&(" + "|".join(sorted(_PLAIN, key=len, reverse=True)) + ");"), lambda m: _PLAIN[m[1]]),
+    (re.compile("<!--.*?-->", re.S), ""),
+    # tags lose their attributes
+    (re.compile(r"<(\??[a-zA-Z]+)[^>]{0,1000}?(/?)\s*>"), r"<\1\2>"),
+    (re.compile("<ref/>", re.I), ""),
+    (_element("ref"), ""),
+    (re.compile("<references/>", re.I), "\n\n"),
+    (re.compile(r"<references>.*?</\s*references>", re.I | re.S), "\n\n"),
+    *[(_element(n), "\n\n") for n in ("source", "timeline", "code")],
+    *[(_element(n), "") for n in ("chem", "graph")],
+    (_element("pre"), "\n\n"),
+    *[(_element(n), "") for n in ("var", "hiero", "imagemap", "mapframe", "kbd")],
+    (re.compile("</?(?:" + "|".join(_UNWRAPPED) + ")>|<section[^>]*/>|<nowiki/>|__notoc__", re.I), ""),
+    (re.compile(r"\[\s*(?:https?|ftp):.*?\]", re.I), ""),
+    (re.compile(r"(?:https?|ftp):.*?[ $]", re.I), ""),
+    (re.compile(r"\{.{1,200}?\{.{1,200}?\}\}"), ""),
+    (re.compile("&#91;"), "["),
+    (re.compile("&#93;"), "]"),
+    (re.compile(r"[!|] colspan=.*?\n"), ""),
+    (re.compile(r"\|\|? rowspan=.*?\n"), ""),
+    # one line for each paragraph; headings, lists and tables keep their own
+    (re.compile(r"\n\s*\n+"), "\n\n"),
+    (re.compile(r"^\s*\n+"), "\n"),
+    (re.compile(r"(?<!^)(?<![=\n✂}\]|])\n(?![\n=*#:;✂ |])"), " "),
     (re.compile(r"\n{2,}"), "\n"),
-    (re.compile(r"(?<=[^\n=*#:;.])\n(?=[^\n=*#:;\s])"), " "),
+    (re.compile("  +"), " "),
+    (re.compile("⁅⁅"), "{{"),
+    (re.compile("⁆⁆"), "}}"),
 ]
-_SUBSUP = re.compile(r"</?su[bp]\b[^>]*>", re.I)
-_END = re.compile(r"^==+\s*(?:see also|references|notes|footnotes|external links|further reading|bibliography|sources)\s*==+\s*$.*", re.S | re.M | re.I)
-_QUOTES = [re.compile(p, re.S) for p in (r'"[^"\n]{0,2000}"', r"“[^”\n]{0,2000}”", r"'''''.*?'''''", r"<blockquote\b.*?</blockquote>")]
+_SUBSUP = re.compile("</?su[bp]>", re.I)
+
+END_MATTER = (
+    "See also,External links,References,Bibliography,Selected bibliography,Published works,Further reading,Sources,Publications,Selected publications,Selected exhibitions,Filmography,Selected filmography,Discography,Works,Selected works,Books,Compositions,Recordings,Track listing"
+).split(",")
+_END = re.compile(r"==\s*(?:" + "|".join(END_MATTER) + r")\s*==.*\Z", re.I | re.S)
+#: English contractions, of which ``'s`` forms and the like aren't words of encyclopaedic prose.
+CONTRACTIONS = sorted(
+    {f"{w}n't" for w in "ai are ca could did does do had has have is may might must need ought sha should was were wo would".split()}
+    | {f"{w}'{e}" for w in "he she it that there who what where why how when".split() for e in ("d", "ll", "s")}
+    | {f"{w}'{e}" for w in "I you we they these those".split() for e in ("d", "ll", "ve")}
+    | set("I'm you're we're they're who're what're let's y'all ma'am o'clock 'tis 'twas could've should've would've might've must've shan't've gonna gotta wanna".split())
+)
+_BALANCED = [
+    (re.compile(r'"\S[^"]{0,1000}?\S"|"\S"|""'), MARK),
+    (re.compile(r"“\S[^”]{0,1000}?\S”|“\S”|“”"), MARK),
+    (re.compile(r"([^']|^)('''''[A-Za-z][^']{0,500}(?:" + "|".join(re.escape(c) for c in CONTRACTIONS) + r")?[^']{0,500}''''')([^']|$)"), rf"\1{MARK}\3"),
+    (re.compile(r"([^']|^)(''[A-Za-z].{0,500}?'')([^']|$)"), rf"\1{MARK}\3"),
+    (re.compile(r"(\s|^)('[A-Za-z][^']{0,1000}?')(\s|$)"), rf"\1{MARK}\3"),
+    (re.compile(r"<(blockquote|poem).*?</\1>|\{\{quote box.*?\}\}", re.I | re.S), MARK),
+]
+_HEADING, _INDENTED = re.compile(r"=[^\n]+=\n"), re.compile(r"\n[ :†][^\n]*")
+_PARENTHESES = re.compile(r"\(\S[^)]{0,1000}?\S\)|\(\S\)|\[\S[^\]]{0,1000}?\S\]|\[\S\]")
+_LISTS, _CITED = re.compile(r"\n[*#;][^\n]*"), re.compile(r"\n#\*[^\n]*")
+_EMPHASIS = re.compile("'{2,5}")
 
 
 def to_prose(s: str | None, flatten: bool = True) -> str | None:
-    """Plain text of an article; a null stays null and an empty one empty."""
+    """Plain text of an article; a null stays null and an empty one empty. Sub- and superscripts become part of their words if ``flatten``."""
     if s is None:
         return None
     for pattern, to in _EARLY:
         s = pattern.sub(to, s)
-    for opening, closing in (("{{", "}}"), ("{|", "|}")):
+    # a table may begin in a template and end in the article
+    for opening, closing in (("{{", "}}"), ("{|", "|}"), ("|-", "|}")):
         s = remove_nested(s, opening, closing)
     for pattern, to in _LATE:
         s = pattern.sub(to, s)
-    return (_SUBSUP.sub("", s) if flatten else s).strip("\n")
+    return _SUBSUP.sub("", s) if flatten else s
 
 
-def body(s: str | None, quotations: bool = False) -> str | None:
-    """The part of a plain text that is its author's prose: no end matter, headings, bold or italics, and without quotations."""
+def body(s: str | None, quotations: bool = False, nonprose: bool = True) -> str | None:
+    """The part of a plain text that is its author's prose: no end matter, headings, indented lines, bold or italics.
+
+    Without ``quotations``, quoted and emphasised passages and cited lines of dictionaries become MARKs; without ``nonprose``, parentheses and lists go.
+    """
     if s is None:
         return None
     s = _END.sub("", s)
-    for q in () if quotations else _QUOTES:
-        s = q.sub(MARK, s)
-    s = re.sub(r"^=+.*=+\s*$\n?|^[ :].*$\n?", "", s, flags=re.M)
-    return re.sub(r"'{2,5}", "", s)
+    for pattern, to in () if quotations else _BALANCED:
+        s = pattern.sub(to, s)
+    s = _EMPHASIS.sub("", _INDENTED.sub("", _HEADING.sub("", s)))
+    if not nonprose:
+        s = _LISTS.sub("", _PARENTHESES.sub("", s))
+    return s if quotations else _CITED.sub("", s)
+
+
+def language_sections(s: str | None) -> dict[str, str]:
+    """Sections of a dictionary page by the language in their headings; of equal headings the last one's."""
+    parts: dict[str, str] = {}
+    name, lines = "", []
+    for line in [*(s or "").split("\n"), None]:
+        m = line is not None and re.match(r"== *([^=]+) *==$", line)
+        if (m or line is None) and lines:
+            parts[name] = "".join(lines)
+        if m:
+            name, lines = m[1], []
+        if line is not None:
+            lines.append(line + "\n")
+    return parts
+
+
+def linked_words(s: str | None) -> list[str]:
+    """Parameters of templates that point to translations elsewhere, which are words to be checked as well."""
+    return [p.strip() for m in re.findall(r"\{\{trans-see *\|(.*?)\}\}", s or "") for p in m.split("|")]
+
+
+def _number(entity: str) -> int | None:
+    m = re.fullmatch(r"&#(?:[xX]([0-9a-fA-F]+)|([0-9]+));", entity)
+    return (int(m[1], 16) if m[1] else int(m[2])) if m else None
+
+
+def must_stay(entity: str) -> bool:
+    """Whether a numeric entity has no character that could stand in its place: private use, no character, marks, variation selectors, and what normalisation changes."""
+    n = _number(entity)
+    if n is None:
+        return False
+    if n < 1 or n > 0x10FFFF or 0xD800 <= n <= 0xDFFF or n == 0xFA1E:
+        return True
+    c = chr(n)
+    return (
+        unicodedata.category(c) in ("Co", "Cn") and (n & 0xFFFE == 0xFFFE or 0xFDD0 <= n <= 0xFDEF or unicodedata.category(c) == "Co")
+        or unicodedata.combining(c) != 0 or 0xFE00 <= n <= 0xFE0F or 0xE0100 <= n <= 0xE01EF or n in (0x180B, 0x180C, 0x180D) or 0x1F3FB <= n <= 0x1F3FF
+        or unicodedata.normalize("NFC", c) != c
+    )
 
 
 def decode_entities(s: str | None) -> str | None:
@@ -100,24 +225,50 @@ def decode_entities(s: str | None) -> str | None:
 
     def one(m: re.Match) -> str:
         c = html.unescape(m[0])
-        odd = c == m[0] or c in "<>&\"'" or c.isspace() or any(unicodedata.category(x)[0] in "CMZ" for x in c) or unicodedata.normalize("NFC", c) != c
+        odd = c == m[0] or c in "<>&\"'" or c.isspace() or must_stay(m[0]) or any(unicodedata.category(x)[0] in "CMZ" for x in c) or unicodedata.normalize("NFC", c) != c
         return m[0] if odd else c
 
     return re.sub(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);", one, s)
 
 
+#: Letters without a decomposition, with what may stand for them in plain titles; several where customs differ.
+_FOLDS = {
+    "’": ["'"], "‘": ["'"], "ʻ": ["'", ""], "ʼ": ["'", ""], "“": ['"'], "”": ['"'], "–": ["-"], "—": ["-"], "−": ["-"], "×": ["x"], "…": ["..."], "ß": ["ss"], "ẞ": ["SS"], "æ": ["ae"], "Æ": ["Ae", "AE"], "œ": ["oe"], "Œ": ["Oe", "OE"],
+    "ø": ["o", "oe"], "Ø": ["O", "Oe"], "å": ["a", "aa"], "Å": ["A", "Aa"], "ä": ["a", "ae"], "Ä": ["A", "Ae"], "ö": ["o", "oe"], "Ö": ["O", "Oe"], "ü": ["u", "ue"], "Ü": ["U", "Ue"], "đ": ["d"], "Đ": ["D"], "ð": ["d", "dh"], "Ð": ["D"],
+    "þ": ["th"], "Þ": ["Th"], "ł": ["l"], "Ł": ["L"], "ħ": ["h"], "ı": ["i"], "ŋ": ["ng"], "ə": ["e"], "ʿ": ["'", ""], "ʾ": ["'", ""],
+}
+
+
+def _stripped(c: str) -> str:
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
 def ascii_titles(s: str | None) -> str | None:
     """The title without accents and typographic marks, as far as compatibility decomposition goes."""
+    return None if s is None else "".join(_FOLDS[c][0] if c in _FOLDS else _stripped(c) for c in s)
+
+
+def ascii_candidates(s: str | None, most: int = 64) -> list[str] | None:
+    """Every plain spelling of a title that the customs of its letters allow, the plainest first; spaces are collapsed. Beyond ``most`` spellings one custom holds for the whole title."""
     if s is None:
         return None
-    s = s.translate(str.maketrans({"’": "'", "‘": "'", "“": '"', "”": '"', "–": "-", "—": "-", "−": "-", "×": "x", "ß": "ss", "æ": "ae", "ø": "o", "đ": "d", "ł": "l"}))
-    return "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c))
+    out = [""]
+    for c in s:
+        ways = _FOLDS.get(c) or [_stripped(c)]
+        out = [o + w for o in out for w in ways] if len(out) * len(ways) <= most else [o + ways[0] for o in out]
+    return list(dict.fromkeys(" ".join(o.split()) for o in out))
+
 
+def to_latin(s: str | None, table: dict[int, str] | None = None) -> str | None:
+    """Characters beyond U+024F by a table of romanisations, or, without an entry, without their marks."""
+    return None if s is None else "".join(c if ord(c) <= 591 else (table or {}).get(ord(c), _stripped(c)) for c in s)
 
-def _column(f):
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(f, na_action="ignore")
+
+def _column(f: Callable, kind: str = "string") -> Callable[[Column], Column]:
+    @F.pandas_udf(kind)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield s.map(f, na_action="ignore")
 
     return run
 
@@ -126,8 +277,8 @@ def prose_column(text: Column) -> Column:
     return _column(to_prose)(text)
 
 
-def body_column(text: Column) -> Column:
-    return _column(lambda s: body(to_prose(s)))(text)
+def body_column(text: Column, quotations: bool = False, nonprose: bool = True) -> Column:
+    return _column(lambda s: body(to_prose(s), quotations, nonprose))(text)
 
 
 def decoded_column(text: Column) -> Column:
@@ -136,3 +287,15 @@ def decoded_column(text: Column) -> Column:
 
 def ascii_column(text: Column) -> Column:
     return _column(ascii_titles)(text)
+
+
+def candidates_column(text: Column) -> Column:
+    return _column(ascii_candidates, "array<string>")(text)
+
+
+def sections_column(text: Column) -> Column:
+    return _column(language_sections, "map<string,string>")(text)
+
+
+def linked_words_column(text: Column) -> Column:
+    return _column(linked_words, "array<string>")(text)

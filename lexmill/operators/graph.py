@@ -12,9 +12,13 @@ from pyspark.sql import functions as F
 
 
 def _kept(df: DataFrame) -> DataFrame:
+    """``df`` in the folder of spark.checkpoint.dir; only a local session without one gets a folder of its own."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexmill-"))
+        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not path and not (sc.master or "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="lexmill-"))
     return df.checkpoint(eager=True)
 
 
@@ -36,14 +40,21 @@ def degrees(edges: DataFrame, least: int = 1) -> DataFrame:
     return edges.groupBy("src").agg(F.count("*").alias("out")).where(F.col("out") >= least)
 
 
-def reachable(edges: DataFrame, seeds: DataFrame, backward: bool = False) -> DataFrame:
-    """(node, distance): all that can be reached from (or can reach) the seeds (node); a seed has distance 0."""
-    e = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")) if backward else edges.select("src", "dst")
+def reachable(edges: DataFrame, seeds: DataFrame, backward: bool = False, every: int = 8) -> DataFrame:
+    """(node, distance): all that can be reached from (or can reach) the seeds (node); a seed has distance 0.
+
+    Each round writes its frontier alone; what was seen is the union of the frontiers, which are merged into one table after ``every`` rounds.
+    """
+    e = _kept(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")) if backward else edges.select("src", "dst"))
     seen = front = _kept(seeds.select("node").distinct().withColumn("distance", F.lit(0)))
+    rounds = 0
     while not front.isEmpty():
         ahead = front.join(e, front["node"] == e["src"]).select(F.col("dst").alias("node"), (F.col("distance") + 1).alias("distance")).distinct()
         front = _kept(ahead.join(seen.select("node"), "node", "left_anti"))
-        seen = _kept(seen.unionByName(front))
+        seen = seen.unionByName(front)
+        rounds += 1
+        if rounds % every == 0:
+            seen = _kept(seen)
     return seen
 
 
@@ -57,6 +68,11 @@ def dead_ends(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst").alias("node")).distinct().join(edges.select(F.col("src").alias("node")), "node", "left_anti")
 
 
+def redirects_into(links: DataFrame, loop: DataFrame) -> DataFrame:
+    """(node): redirects (pl_from with from_redirect) that lead to a node of the loop."""
+    return links.where("from_redirect").join(loop.select(F.col("node").alias("pl_to")), "pl_to", "left_semi").select(F.col("pl_from").alias("node")).distinct()
+
+
 def chains(edges: DataFrame, loop: DataFrame, rounds: int = 100) -> DataFrame:
     """(chain): paths that lead into the loop from outside, lengthened at their heads till none has a link from further outside.
 

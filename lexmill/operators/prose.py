@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexmill.functions.classify import is_formula
 
@@ -43,16 +44,24 @@ def foreign_passages(docs: DataFrame, known: DataFrame, key: str = "doc_id", lea
 
 
 def entity_tally(pages: DataFrame, text: str = "html", key: str = "page_id", examples: int = 5000) -> DataFrame:
-    """(entity, kind, instances, uniques, pages): each character entity with the first pages that hold it, by id."""
+    """(entity, kind, instances, uniques, pages): each character entity with the first pages that hold it, by id; pages are ranked before they are listed."""
     e = pages.select(key, F.explode(F.regexp_extract_all(text, F.lit(ENTITY), 0)).alias("entity")).groupBy("entity", key).agg(F.count("*").alias("n"))
     kind = F.when(F.col("entity").startswith("&#"), "NUMERIC").when(F.col("entity").isin("&lt;", "&gt;", "&amp;", "&quot;", "&nbsp;"), "KEEP").otherwise("NAMED")
-    return e.groupBy("entity").agg(F.sum("n").alias("instances"), F.count("*").alias("uniques"), F.slice(F.array_sort(F.collect_list(key)), 1, examples).alias("pages")).withColumn("kind", kind)
+    totals = e.groupBy("entity").agg(F.sum("n").alias("instances"), F.count("*").alias("uniques"))
+    return totals.join(_first(e, "entity", key, examples, "pages"), "entity").withColumn("kind", kind)
 
 
-def formulas(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(formula, articles): chemical formulas with the sorted documents that hold them."""
+def _first(pairs: DataFrame, by: str, key: str, most: int, name: str) -> DataFrame:
+    """(by, name): the first ``most`` keys of each value, in order."""
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(key))
+    return pairs.withColumn("rank", rank).where(F.col("rank") <= most).groupBy(by).agg(F.array_sort(F.collect_list(key)).alias(name))
+
+
+def formulas(docs: DataFrame, key: str = "doc_id", examples: int = 100, listed: DataFrame | None = None) -> DataFrame:
+    """(formula, articles, examples): chemical formulas, in how many documents they are, and the first of these; ``listed``: (formula) to look for, in place of any that has the form of one."""
     t = docs.select(key, F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z0-9()]+"), 0))).alias("formula"))
-    return t.where(is_formula(F.col("formula"))).groupBy("formula").agg(F.array_sort(F.collect_set(key)).alias("articles"))
+    t = t.where(is_formula(F.col("formula"))) if listed is None else t.join(listed.select("formula").distinct(), "formula", "left_semi")
+    return t.groupBy("formula").agg(F.count("*").alias("articles")).join(_first(t, "formula", key, examples, "examples"), "formula")
 
 
 def grep(docs: DataFrame, pattern: str, literal: bool = False, key: str = "doc_id") -> DataFrame:

@@ -1,76 +1,289 @@
-"""Style rules by line: each is a code, what a line must match, and what it must not; all are built-in expressions over one pass."""
+"""Style rules by line.
+
+A check is a list of rules of which the first that a line breaks counts; a line can break several checks. Rules are data (RULES): the code, the
+form of the line that is tested, what to take out of it first, patterns that it must match and patterns that it must not. All are built-in
+expressions over one pass; only syntax that Java's expressions and RE2 share is used.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: code, pattern, exception. Only syntax that Java's expressions and RE2 share.
-RULES: list[tuple[str, str, str]] = [
-    ("WASHINGTON", "Washington [Ss]tate", "Washington State (University|Cougars|Route)"),
-    ("TIMES", "[0-9] ?x ?[0-9]", "0x[0-9a-fA-F]"),
-    ("NBSP", "&nbsp[^;]", ""),
-    ("FRACTION", "\\{\\{ ?frac\\|[^}]*[^0-9|}]", ""),
-    ("LOGICAL_QUOTE", "[a-z][,.]\"( [a-z]|$)", ""),
-    ("LITRE", "[0-9] ?(m|c|k|d)?l([ .,;)]|$)", ""),
-    ("SPOON", "[0-9] ?(tbsp|tsp|cups?)\\b", ""),
-    ("ASTRONOMICAL_UNIT", "[0-9] ?(AU|au|astronomical units?)\\b", "\\{\\{[Cc]onvert"),
-    ("PAREN_REF", "\\([A-Z][a-z]+,? (19|20)[0-9][0-9][a-z]?\\)", "\\((January|February|March|April|May|June|July|August|September|October|November|December)"),
-    ("DECIMAL_MIDDOT", "[0-9]·[0-9]", ""),
-    ("DECIMAL_COMMA", "\\b[0-9]+,[0-9]{1,2}\\b", "[0-9],[0-9]{3}"),
-    ("DIGITS_SPACES", "\\b[0-9]{1,3} [0-9]{3} [0-9]{3}\\b", ""),
-    ("DIGITS_MIO", "[0-9] ?Mio\\b", ""),
-    ("SPEED_MPH", "[0-9] ?(MPH|m\\.p\\.h\\.|miles per hour)", ""),
-    ("SPEED_KPH", "[0-9] ?(kph|KPH|kmph|kmh)\\b", ""),
-    ("SPEED_MIH", "[0-9] ?mi/h\\b", ""),
-    ("MAN_MADE", "\\b[Mm]an-?made\\b", ""),
-    ("CURRENCY_HYPHEN", "[$£€][0-9.]+-(million|billion|trillion)", ""),
-    ("SPACED_DASH", " — ", ""),
-    ("COMMA_SPACE", "[a-z],[a-z]", ""),
-    ("BRACKET_SPACE", "[a-z]\\([a-z]", ""),
-    ("EXTRA_SPACE", "[a-z] [,;:.]([ ]|$)", ""),
-    ("QUOTE", "\"", ""),
-]
-
-
-def lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    return docs.select(key, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-
-
-def check_lines(docs: DataFrame, key: str = "doc_id", rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
-    """(key, line_no, code): every rule that a line breaks; a line can break several, each once."""
-    hit = lambda code, p, no: F.when(F.col("line").rlike(p) & (~F.col("line").rlike(no) if no else F.lit(True)), code)
-    codes = F.filter(F.array(*[hit(*r) for r in rules]), lambda c: c.isNotNull())
-    return lines(docs, key).select(key, "line_no", F.explode(codes).alias("code"))
-
-
-def check_lines_sql(rules: Sequence[tuple[str, str, str]] = RULES) -> str:
+LANG = r"\{\{(?:[Vv]erse translation|[Ll]ang|[Tt]ransliteration|IPA).*?\}\}"
+#: Forms of a line: what is taken out (for ✂) of another form, in order.
+FORMS: dict[str, tuple[str, list[str]]] = {
+    "plain": ("line", [r"<ref.*?(?:/ ?>|</ref>)", r"\{\{(?:[Cc]ite|[Ss]fn).*?\}\}"]),
+    "bare": ("plain", [r"(?:\[\[)?(?:File|Image):.*?[|\]]", r"\| *(?:image[0-9]?|logo|screenshot|sound) *=.*$", r"(?:File|Image):.*?[.](?:JPG|jpg|SVG|svg|PNG|png|OGG|ogg|JPEG|jpeg|WEBM|webm|GIF|gif|TIF|tif|TIFF|tiff|WEBP|webp|PDF|pdf)", r"https?:[^ \]|]+"]),
+    "poem": ("plain", [LANG]),
+    "home": ("bare", [LANG]),
+    "unconverted": ("bare", [r"\{\{(?:[Cc]onvert|[Cc]vt).*?\}\}"]),
+}
+POETRY = "[Rr]hym|[Pp]oem|[Ss]tanza|[Vv]erse|[Ll]yric"
+_A = "[€$£¥₹₽₩₺]"
+_GAP = "(?: |&nbsp;)"
+_LITRES = "ql|rl|yl|zl|al|fl|pl|µL|μl|ml|cl|dl|dal|hl|kl|Ml|Gl|Tl|Pl|El|Zl|Yl|Rl|Ql"
+_SPOON = "(?:cup|tablespoon|teaspoon|[Tt]bsp|tsp)"
+_SPACE = r"(?: |&nbsp;|&thinsp;|\{\{thinsp\}\}|&hairsp;|\{\{hairsp\}\}|\{\{nbsp\}\})"
+_MONTHS = "January|February|March|April|May[ ,]|June[ ,]|July|August|September|October|November|December"
+_L = r"\p{L}"
+_RHYME = (
+    rf"[^a-z0-9A-Z{_L}-][Aa]-[Bb][^{_L}]|AA,A?B|AB,[ABC]|[^a-z+/]a[.]b[.][^d-z]|[^a-z+/]a[.] b[.] [^d-z]|[^A-Za-z0-9./%#=_-]a(?:a|b|aa|ab|ba|bb|bc|aaa|aba|abb|abc|baa|bab|bba|bca|bcb|bcc|bcd)[^0-9{_L}/]"
+)
+_GAMES = (
+    r"cup[0-9] result|defeat| goals?[^A-Za-z]| games|competition| won[,; ]|[Ss]occer|football|[Ww]inner|cup matches|play-?off| league |[Mm]otorsports|tournament|[Cc]hampionship|[Cc]ricket| win(?:ning)? |cup final|cup ties| competed | Cup[^A-Za-z]|semi-?final|player"
+    r"|[Ss]upercup|greyhound|[Rr]ugby| [Ww]ins |scorer|cups of (?:coffee|(?:green |black )?tea)|cups/day|cups (?:per|a) (?:day|shift)|cups playing card|,000 cups|cup[- ](?:mark|like|shaped|final)|cups sold| finals | prize |basketball| victory| game | played | loss |free kick|Division [0-9] [Cc]up"
+)
+
+
+class Rule(NamedTuple):
+    check: str
+    code: str
+    form: str
+    must: list[str | tuple[str, str]]
+    never: list[str | tuple[str, str]] = []
+    strip: str = ""
+
+
+_DIGIT = ("line", "[0-9]")
+RULES: list[Rule] = [
+    Rule("washington", "W", "bare", ["state of Washington"]),
+    Rule("washington", "W", "bare", ["Washington State"], [], "Washington State [A-Z]|[A-Z][A-Za-z]+ of Washington State"),
+    Rule("rhyme", "R", "poem", [POETRY, _RHYME, ("line", _RHYME)], ["A-B-C-D-E-F-G"]),
+    Rule("times", "XS", "line", [" x "], [], r"x =|\| x \|"),
+    Rule("times", "XNS", "bare", [_DIGIT, "[0-9]x[0-9]"], [("line", "[a-zA-Z_-][0-9]+x| 4x4 | 6x6 |[0-9]+x[0-9]+px|[^0-9]0x[0-9]+")]),
+    Rule("nbsp", "N", "line", ["&nbsp[^;}]"], ["https?:[^ ]+&nbsp"]),
+    Rule("fraction", "FR", "line", ["[0-9]-[0-9]+/[0-9]|[0-9]\\{\\{frac\\|[0-9]+\\|"]),
+    Rule("quotes", "QL", "line", ['"[a-z ,:;-]+[,.]"']),
+    Rule("litre", "L1", "bare", ["(?:[Ll]iter|[Ll]itre)s?\\|l\\]\\]"]),
+    Rule("litre", "L2", "bare", [f"[^{_L}][(]l(?:/[a-zA-Z/]+)?[)][^{_L}]"], ["[(]l[)]!|[(]r[)]"]),
+    Rule("litre", "L3", "bare", [f"[rBbMm]illion{_GAP}l[^a-zA-Z0-9]"]),
+    Rule("litre", "L4", "bare", [_DIGIT, f"[^0-9{_L}][0-9]+{_GAP}?(?:{_LITRES})[^0-9{_L}]"], [], f"El [A-Z]|al-[A-Z]|align|fl[.]?{_GAP}?oz"),
+    Rule("litre", "L5", "bare", [_DIGIT, f"[0-9]{_GAP}?l[^0-9'’{_L}]"], ["\\[\\[Pound sterling\\|l|l[.](?:jpg|JPG)|l=|uSTR|l\\\\"]),
+    Rule("litre", "L9", "bare", [_DIGIT, f"[0-9]{_GAP}?(?:{_LITRES})[^0-9'’{_L}]"]),
+    Rule("litre", "L6", "bare", [f"(?:^|[^A-Za-z])[0-9,.]+{_GAP}?(?:l|{_LITRES})/[a-zA-Z0-9]"]),
+    Rule("litre", "L7", "bare", [_DIGIT, "/l", f"[^A-Za-z./][A-Za-z]{{1,4}}/(?:l|{_LITRES})[^'0-9/_{_L}-]"], ["Malaysian names#Indian names\\|a/l|Length at the waterline\\|(?:Length )?w/l|Waterline length\\|w/l|w/l(?:-[0-9])? *=|data:[A-Za-z0-9_./,+%~;-]+/l[^a-zA-Z'’]|[^a-zA-Z0-9]r/l|[^a-zA-Z0-9]d/l[^a-zA-Z0-9]"]),
+    Rule("litre", "L8", "bare", [_DIGIT, f"[^A-Za-z./][A-Za-z]{{1,4}}/(?:{_LITRES})[^'0-9/_{_L}-]"], ["/l"]),
+    Rule("spoons", "CTT2", "bare", [f"[¼½¾⅓⅔⅐⅑⅒⅕⅖⅗⅘⅙⅚⅛⅜⅝⅞]{_GAP}{_SPOON}"]),
+    Rule("spoons", "CTT1", "bare", [_DIGIT, f"[0-9/-]+{_GAP}(?:\\[\\[)?{_SPOON}s?[^A-Za-z]"], [_GAMES], f"[0-9]{{4}} cup|[0-9]+[-–/][0-9]?[0-9] cup|{_SPOON}s? (?:[(][0-9]+{_GAP}(?:g|grams|mL|L)[)]| / [0-9]+{_GAP}(?:g|grams|mL|L))|[0-9]+{_GAP}(?:g|grams|mL|L) [(]~?[0-9/]+{_GAP}{_SPOON}s?[)]"),
+    Rule("spoons", "CTT3", "bare", [_DIGIT, f"\\{{\\{{[Ff]ract?[^}}]+\\}}\\}}{_GAP}{_SPOON}"]),
+    Rule("astronomical", "AU_UNCONVERTED_FULL", "home", [f"\\b[0-9,.]*[0-9]{_GAP}?(?:\\[\\[)?[Aa]stronomical unit"]),
+    Rule("astronomical", "AU_UNCONVERTED_ABBR", "home", [f"\\b[0-9,.]*[0-9]{_GAP}?(?:AU|au)\\b"]),
+    Rule("references", "PAREN_REF", "bare", ["[(][A-Z][^)]{0,100}[0-9]{4}[^)]{0,100}[)]"], [], f"[(](?:{_MONTHS})[^)]*[)]"),
+    Rule("decimals", "DECIMAL_MIDDOT", "bare", ["[0-9]·[0-9]"]),
+    Rule("decimals", "DECIMAL_COMMA", "bare", ["[0-9],[0-9][0-9]?[^0-9,.]"], ["InChI|[\\[({-][0-9]+,[0-9]+[\\])}-]|[0-9],[0-9]-[A-Za-z]|[0-9],[0-9.]+,[0-9]"]),
+    Rule("numbers", "DIGITS_SPACES", "bare", [f"(?:^|[^A-Za-z0-9])(?:[0-9][.][0-9]{{3}}{_SPACE}[0-9]|[0-9]{_SPACE}[0-9]{{3}}[^0-9A-Za-z])"]),
+    Rule("numbers", "DIGITS_MIO", "bare", ["[0-9] [Mm]io[.]? "]),
+    Rule("numbers", "SCI_NOTATION_PER", "bare", ["[0-9 /][a-zA-Z]<sup>[-−][123]</sup>"]),
+    Rule("numbers", "SCI_NOTATION_WRONG", "bare", [f"[0-9]{_SPACE}?[×xX]{_SPACE}?10<sup", "[^0-9][0-9][0-9][0-9]?(?:[.][0-9]+)? ?[×xX] ?10<sup>-?(?:0|1|2|4|5|7|8|10|11|13|14|16|17|19|[23456789][0-9]+)</sup>"]),
+    Rule("numbers", "SCI_NOTATION_MALFORMED", "bare", [f"[0-9]{_SPACE}?[×xX]{_SPACE}?10<sup"], ["10<sup>(?:-|−|&minus;)?[0-9]+</sup>"]),
+    Rule("numbers", "SCI_NOTATION_XILLION", "exponent", ["^(?:6|9|12)$", ("bare", f"[0-9]{_SPACE}?[×xX]{_SPACE}?10<sup")]),
+    Rule("numbers", "SCI_NOTATION_CATCHALL", "exponent", ["[0-9]", ("bare", f"[0-9]{_SPACE}?[×xX]{_SPACE}?10<sup")], ["^(?:1[5-9]|[2-9][0-9]|[0-9]{3,})$|^(?:-|−|&minus;)(?:[5-9]|[0-9]{2,})$"]),
+    Rule("speed", "SPEED_MPH1", "unconverted", [("bare", "mph|MPH"), ("unconverted", "km/h"), "mph"], [("bare", "mph=")], "km/h.{0,30}mph|mph.{0,30}km/h"),
+    Rule("speed", "SPEED_MPH2", "unconverted", ["\\b(?:mph|MPH)\\b"], [("bare", "mph="), "km/h"]),
+    Rule("speed", "SPEED_KPH", "unconverted", ["\\bkph|KPH\\b"]),
+    Rule("speed", "SPEED_MIH", "unconverted", ["mi/h"]),
+    Rule("man", "MAN_MADE", "bare", ["[^A-Za-z](?:[Mm]an[- ]?made|MAN[- ]?MADE)"]),
+    Rule("currency", "$H", "line", [f"{_A}[0-9]+-[mb]illion"]),
+]
+#: Of an article before it is cut into lines: mathematics, code and charts.
+REMOVED = [r"(?s)<math.*?</math>|\{\{math[^}]+\}?\}?", "(?s)<syntaxhighlight.*?</syntaxhighlight>", "(?s)<code.*?</code>", "(?s)<timeline.*?</timeline>", r"(?s)\{\{[Gg]raphChart.*?\}\}"]
+_NOT_A_TYPO = r"\{\{not a typo.*?\}\}"
+_EXPONENT = "10<sup>((?:-|−|&minus;)?[0-9]+)</sup>"
+_BALL, _SPORT = "Liga |football|F[.]C[.]", "Category:[^]]+sport"
+
+
+def cleaned(text: Column) -> Column:
+    for p in REMOVED:
+        text = F.regexp_replace(text, p, "✂")
+    return text
+
+
+def _birth(text: Column, key: str) -> Column:
+    """Value of an infobox parameter, if the article has exactly one."""
+    every = F.regexp_extract_all(text, F.lit(f"{key} *= *(.*?)(?:\\n|\\| )"), 1)
+    return F.when((F.size(every) == 1) & (F.get(every, F.lit(0)) != ""), F.get(every, F.lit(0)))
+
+
+def lines(docs: DataFrame, key: str = "doc_id", title: str | None = None) -> DataFrame:
+    """(key, line_no, forms of the line, and of its article: poetry, sport, birthplace, birth_year)."""
+    text = F.col("text")
+    name = F.lit("") if title is None else F.col(title)
+    years = F.regexp_extract_all(_birth(text, "birth_date"), F.lit("([12][0-9]{3})"), 1)
+    d = docs.select(
+        key, text.rlike(POETRY).alias("poetry"), (name.rlike(_BALL) | cleaned(text).rlike(_SPORT)).alias("sport"), _birth(text, "birth_?place").alias("birthplace"), F.when(F.size(years) == 1, F.get(years, F.lit(0))).alias("birth_year"),
+        F.posexplode(F.split(cleaned(text), "\n")).alias("line_no", "line"),
+    )
+    d = d.withColumn("line", F.regexp_replace("line", _NOT_A_TYPO, "✂"))
+    for form, (of, patterns) in FORMS.items():
+        c = F.col(of)
+        for p in patterns:
+            c = F.regexp_replace(c, p, "✂" if form != "unconverted" else "")
+        d = d.withColumn(form, c)
+    return d.withColumn("exponent", F.regexp_extract("bare", _EXPONENT, 1))
+
+
+def check_lines(docs: DataFrame, key: str = "doc_id", rules: Sequence[Rule] = RULES, title: str | None = None) -> DataFrame:
+    """(key, line_no, code, evidence): of each check the first rule that a line breaks, with the form of the line that was tested."""
+
+    def hit(r: Rule) -> Column:
+        tested = F.regexp_replace(r.form, r.strip, "✂") if r.strip else F.col(r.form)
+        ok = F.lit(True)
+        for p in r.must:
+            ok &= tested.rlike(p) if isinstance(p, str) else F.col(p[0]).rlike(p[1])
+        for p in r.never:
+            ok &= ~(tested.rlike(p) if isinstance(p, str) else F.col(p[0]).rlike(p[1]))
+        if r.check == "rhyme":
+            ok &= F.col("poetry")
+        return ok & ~F.col("sport") if r.check == "spoons" else ok
+
+    cases = []
+    for name in dict.fromkeys(r.check for r in rules):
+        case = F.when(F.lit(False), F.lit(None).cast("struct<code:string,evidence:string>"))
+        for r in (r for r in rules if r.check == name):
+            case = case.when(hit(r), F.struct(F.lit(r.code).alias("code"), F.col("bare" if r.form in ("home", "exponent", "unconverted") else "line" if r.form == "poem" else r.form).alias("evidence")))
+        cases.append(case)
+    found = F.filter(F.array(*cases), lambda c: c.isNotNull())
+    return lines(docs, key, title).select(key, "line_no", F.explode(found).alias("f")).select(key, "line_no", "f.*")
+
+
+def check_lines_sql(rules: Sequence[Rule] = RULES, source: str = "documents") -> str:
     q = lambda p: p.replace("'", "''")
-    each = [f"SELECT doc_id, line_no, '{c}' AS code FROM l WHERE regexp_matches(line, '{q(p)}')" + (f" AND NOT regexp_matches(line, '{q(no)}')" if no else "") for c, p, no in rules]
-    return f"WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, (generate_subscripts(string_split(text, chr(10)), 1) - 1)::INT AS line_no FROM documents) " + " UNION ALL ".join(each)
+    text = "text"
+    for p in REMOVED:
+        text = f"regexp_replace({text}, '{q(p)}', '✂', 'g')"
+    forms, last = "", "l0"
+    for k, (form, (of, patterns)) in enumerate(FORMS.items()):
+        c = of
+        for p in patterns:
+            c = f"regexp_replace({c}, '{q(p)}', '{'✂' if form != 'unconverted' else ''}', 'g')"
+        forms += f"f{k} AS (SELECT *, {c} AS {form} FROM {last}),\n"
+        last = f"f{k}"
+
+    def test(r: Rule) -> str:
+        tested = f"regexp_replace({r.form}, '{q(r.strip)}', '✂', 'g')" if r.strip else r.form
+        each = lambda p: f"regexp_matches({tested if isinstance(p, str) else p[0]}, '{q(p if isinstance(p, str) else p[1])}')"
+        parts = [each(p) for p in r.must] + [f"NOT {each(p)}" for p in r.never]
+        return " AND ".join([*parts, *(["poetry"] if r.check == "rhyme" else ["NOT sport"] if r.check == "spoons" else [])])
+
+    unions = []
+    for name in dict.fromkeys(r.check for r in rules):
+        case = " ".join(f"WHEN {test(r)} THEN '{r.code}'" for r in rules if r.check == name)
+        unions.append(f"SELECT doc_id, line_no, CASE {case} END AS code FROM e")
+    return f"""WITH a AS (SELECT doc_id, regexp_matches(text, '{POETRY}') AS poetry, {text} AS clean FROM {source}),
+l AS (SELECT doc_id, poetry, regexp_matches(clean, '{_SPORT}') AS sport, unnest(string_split(clean, chr(10))) AS raw, (generate_subscripts(string_split(clean, chr(10)), 1) - 1)::INT AS line_no FROM a),
+l0 AS (SELECT doc_id, poetry, sport, line_no, regexp_replace(raw, '{_NOT_A_TYPO}', '✂', 'g') AS line FROM l),
+{forms}e AS (SELECT *, regexp_extract(bare, '{_EXPONENT}', 1) AS exponent FROM {last})
+SELECT doc_id, line_no, code FROM ({" UNION ALL ".join(unions)}) WHERE code IS NOT NULL"""
+
+
+# -- Nationality and birthplace of infoboxes --
+
+#: Names and demonyms by country code.
+COUNTRIES: dict[str, str] = {
+    "af": "Afghanistan|Afghan", "al": "Albania", "dz": "Algeria", "ad": "Andorra", "ao": "Angola", "ag": "Antigua and Barbuda", "ar": "Argentina|Argentine", "am": "Armenia", "au": "Australia", "at": "Austria|Austrian", "az": "Azerbaijan", "bs": "Bahamas|Bahamian", "bh": "Bahrain", "bd": "Bangladesh", "bb": "Barbados|Barbadian",
+    "by": "Belarus", "be": "Belgium|Belgian", "bz": "Belize", "bj": "Benin", "bt": "Bhutan", "bo": "Bolivia", "ba": "Bosnia", "bw": "Botswana", "br": "Brazil", "bn": "Brunei", "bg": "Bulgaria", "bf": "Burkina Faso", "bi": "Burundi", "kh": "Cambodia", "cm": "Cameroon", "ca": "Canada|Canadian", "cv": "Cape Verde", "td": "Chad", "cl": "Chile",
+    "cn": "China|Chinese", "co": "Colombia", "km": "Comoros", "cr": "Costa Rica", "hr": "Croatia", "cu": "Cuba", "cy": "Cyprus|Cypriot", "cz": "Czech", "dk": "Denmark|Danish", "dj": "Djibouti", "dm": "Dominica", "do": "Dominican Republic", "ec": "Ecuador", "eg": "Egypt", "sv": "El Salvador|Salvadoran", "er": "Eritrea", "ee": "Estonia", "et": "Ethiopia",
+    "fj": "Fiji", "fi": "Finland|Finnish", "fr": "France|French", "ga": "Gabon", "gm": "Gambia", "ge": "Georgia (country)|Georgian", "de": "Germany|German", "gh": "Ghana", "gr": "Greece|Greek", "gd": "Grenada", "gu": "Guam", "gt": "Guatemala", "gn": "Guinea", "gy": "Guyana", "ht": "Haiti", "hn": "Honduras|Honduran", "hk": "Hong Kong", "hu": "Hungary|Hungarian", "is": "Iceland",
+    "in": "India", "id": "Indonesia", "ir": "Iran", "iq": "Iraq", "ie": "Ireland|Irish", "il": "Israel", "it": "Italy|Italian", "jm": "Jamaica", "jp": "Japan", "jo": "Jordan", "kz": "Kazakhstan", "ke": "Kenya", "kw": "Kuwait", "kg": "Kyrgyzstan", "la": "Laos|Laotian", "lv": "Latvia", "lb": "Lebanon|Lebanese", "ls": "Lesotho", "lr": "Liberia", "ly": "Libya", "li": "Liechtenstein",
+    "lt": "Lithuania", "lu": "Luxembourg", "mg": "Madagascar|Malagasy", "mw": "Malawi", "my": "Malaysia", "mv": "Maldives", "ml": "Mali", "mt": "Malta|Maltese", "mr": "Mauritania", "mu": "Mauritius", "mx": "Mexico|Mexican", "md": "Moldova", "mc": "Monaco", "mn": "Mongolia", "me": "Montenegro", "ma": "Morocco|Moroccan", "mz": "Mozambique", "mm": "Myanmar|Burmese", "na": "Namibia", "np": "Nepal",
+    "nl": "Netherlands|Dutch", "nz": "New Zealand", "ni": "Nicaragua", "ng": "Nigeria", "kp": "North Korea", "mk": "North Macedonia", "no": "Norway|Norwegian", "om": "Oman", "pk": "Pakistan", "pa": "Panama", "pg": "Papua New Guinea", "py": "Paraguay", "pe": "Peru", "ph": "Philippines|Filipino", "pl": "Poland|Polish", "pt": "Portugal|Portuguese", "qa": "Qatar", "ro": "Romania", "ru": "Russia",
+    "rw": "Rwanda", "kn": "Saint Kitts", "lc": "Saint Lucia", "vc": "Saint Vincent", "ws": "Samoa", "sa": "Saudi", "sn": "Senegal", "rs": "Serbia", "sc": "Seychelles", "sl": "Sierra Leone", "sg": "Singapore", "sk": "Slovakia|Slovak", "si": "Slovenia", "so": "Somalia", "za": "South Africa", "kr": "South Korea", "ss": "South Sudan", "es": "Spain|Spanish", "lk": "Sri Lanka", "sd": "Sudan", "sr": "Suriname",
+    "se": "Sweden|Swedish", "ch": "Switzerland|Swiss", "sy": "Syria", "tw": "Taiwan", "tj": "Tajikistan", "tz": "Tanzania", "th": "Thailand|Thai", "tg": "Togo", "to": "Tonga", "tt": "Trinidad", "tn": "Tunisia", "tr": "Turkey|Turkish", "tm": "Turkmenistan", "tv": "Tuvalu", "ug": "Uganda", "ua": "Ukraine|Ukrainian", "ae": "United Arab Emirates|UAE", "gb": "United Kingdom|England|Scotland|Wales|British|English|Scottish|Welsh",
+    "us": "United States|American|U.S.|USA|{{US}}", "uy": "Uruguay", "uz": "Uzbekistan", "ve": "Venezuela", "vn": "Vietnam", "ye": "Yemen", "zm": "Zambia", "zw": "Zimbabwe",
+}
+STATES = (
+    "Alabama Alaska Arizona Arkansas California Colorado Connecticut Delaware Florida Georgia Hawaii Idaho Illinois Indiana Iowa Kansas Kentucky Louisiana Maine Maryland Massachusetts Michigan Minnesota Mississippi Missouri Montana Nebraska Nevada Ohio Oklahoma Oregon Pennsylvania Tennessee Texas Utah Vermont Virginia Washington Wisconsin Wyoming"
+).split() + ["New Hampshire", "New Jersey", "New Mexico", "New York", "North Carolina", "North Dakota", "Rhode Island", "South Carolina", "South Dakota", "West Virginia", "Chicago", "Boston", "Los Angeles", "San Francisco", "Philadelphia", "Houston", "Detroit"]
+#: Countries that make everyone born in them a citizen.
+JUS_SOLI = "td ls tz ag bb bz ca cr cu dm sv gd gt hn jm mx ni pa kn lc vc tt us ar bo br cl ec gu py pe uy ve fj tv".split()
+
+
+def countries_of(text: Column) -> Column:
+    """Codes of the countries named in a text, each once; 'us_state' where there is none but a place in the United States."""
+    keys = [(name, code) for code, names in COUNTRIES.items() for name in names.split("|")]
+    # a longer name hides those inside it (Guinea in Papua New Guinea)
+    inside = {n: [m for m, _ in keys if n in m and n != m] for n, _ in keys}
+    flags = []
+    for name, code in keys:
+        rest = text
+        for longer in inside[name]:
+            rest = F.replace(rest, F.lit(longer), F.lit(""))
+        flags.append(F.when(rest.contains(name), code))
+    found = F.array_distinct(F.filter(F.array(*flags), lambda c: c.isNotNull()))
+    return F.when(F.size(found) > 0, found).when(text.rlike("|".join(STATES)), F.array(F.lit("us_state"))).otherwise(F.array().cast("array<string>"))
+
+
+def century(year: Column) -> Column:
+    y = year.cast("int")
+    return F.when(y.isNull(), "UNK").when(y > 1999, "2000s").when(y > 1899, "1900s").when(y > 1799, "1800s").when(y > 1699, "1700s").otherwise("MISC")
+
+
+def nationality(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, line_no, code): what infobox lines say of nationality or citizenship beside the place of birth (codes INFONAT_*)."""
+    value = F.trim(F.regexp_extract(F.regexp_replace("line", r"\[\[([^\]]+)\|([^\]]+)\]\]", "[[$1 PIPE $2]]"), r"(?:nationality|citizenship)[0-9]? *= *(.*?)(?:\||$)", 1))
+    d = lines(docs, key).where("line rlike '(nationality|citizenship)[0-9]? *=' and (birthplace is not null or line like '%nationality2%')").withColumn("value", value)
+    d = d.withColumn("born", countries_of(F.coalesce("birthplace", F.lit("")))).withColumn("holds", countries_of(F.col("value")))
+    b, c, v = F.get("born", F.lit(0)), F.get("holds", F.lit(0)), F.col("value")
+    nothing = F.lit(None).cast("string")
+    code = (
+        F.when(F.col("line").contains("nationality2"), "INFONAT_REDUNDANT").when(v.contains("=="), nothing).when(F.col("line").contains("Infobox") | v.contains("infobox"), "INFONAT_ERR")
+        .when((v == "") | v.rlike("be inferred from|same as citizens?z?hip|implied by birthplace|different from birthplace|^<!-- (?:use only when necessary|will not display)"), "INFONAT_BIRTHPLACE_ONLY")
+        .when(v.rlike(r"<br|,|[(]|\{\{(?:[Hh]list|[Pp]lainlist|[Uu]bl|flatlist|cslist|[Uu]nbull)"), nothing).when(v.rlike(r"File:|[Ff]lag|\{\{"), "INFONAT_FLAG")
+        .when(F.size("born") > 1, "INFONAT_BIRTHPLACE_MULTI_COUNTRY").when(F.size("holds") > 1, nothing).when(F.size("holds") == 0, "INFONAT_CITNAT_NO_COUNTRY").when(F.size("born") == 0, F.concat(F.lit("INFONAT_BIRTHPLACE_NO_COUNTRY_"), c))
+        .when(b == c, F.concat(F.lit("INFONAT_REDUNDANT_"), b, F.when(b.isin(*JUS_SOLI), "_JUS_SOLI_").otherwise("_"), century(F.col("birth_year"))))
+        .when(v.rlike("[Nn]ot needed"), "INFONAT_REDUNDANT").when(F.col("birthplace").rlike("[Ff]lag") | (F.col("birthplace").contains("{{") & ~F.col("birthplace").contains("<ref")), "INFONAT_FLAG_BIRTHPLACE")
+        .when(~F.col("line").rlike(r"\{\{[Ee]xplain citnat"), F.concat(F.lit("INFONAT_EXPLAIN_"), b))
+    )
+    return d.select(key, "line_no", code.alias("code")).where("code is not null")
+
+
+def nationality_bucket(code: Column) -> Column:
+    """Report of an INFONAT code: by country where it has one, by century otherwise."""
+    return F.when(code.rlike("_JUS_SOLI_"), F.concat(F.lit("JUS_SOLI_"), F.regexp_extract(code, "_([^_]+)$", 1))).when(code.rlike("^INFONAT_REDUNDANT_(us|gb|in|ca|au)_"), F.regexp_extract(code, "^INFONAT_REDUNDANT_([a-z]+)_", 1)).when(code.rlike("^INFONAT_REDUNDANT_[a-z]+_"), "OTHER_COUNTRIES").otherwise(code)
 
 
 def scientific_class(exponent: int) -> str | None:
     """Code of a number written with a power of ten: words exist for millions up to trillions, far exponents are right."""
-    return "XILLION" if exponent in (6, 9, 12) else None if exponent >= 15 or exponent <= -5 else "SMALL"
+    return "XILLION" if exponent in (6, 9, 12) else None if exponent >= 15 or exponent <= -5 else "CATCHALL"
+
 
+# -- Titles --
 
-def failures(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, code, around): texts that can't be parsed: unequal brackets, or the first leftover of markup or quotes with its surroundings."""
-    n = lambda p: F.regexp_count("text", F.lit(p))
-    code = F.when(n("\\{\\{") != n("\\}\\}"), "BRACES").when(F.col("text").contains("<ref"), "REF").when(F.col("text").contains("colspan"), "TABLE").when(n('"') % 2 == 1, "QUOTES")
-    found = docs.select(key, "text", code.alias("code")).where("code is not null")
-    return found.select(key, "code", F.when(F.col("code") == "QUOTES", F.regexp_extract("text", '[^"]{0,20}"[^"]{0,20}', 0)).otherwise("").alias("around"))
+_PLAIN_TITLE = r"[a-zA-Z0-9/!_().–,\":='?&%*+;@~$^\\ -]"
+#: Disambiguation pages that have to name what their plain title stands for.
+DISAMBIGUATED = {"YS": "¥$", "Yes": "¥€$", "UF": "μF", "Theta (disambiguation)": "Θ (set theory)", "ST": "ΣΤ", "AA": "A∴A∴"}
 
 
-def typo_scan(docs: DataFrame, rules: Sequence[tuple[str, str, str]], key: str = "doc_id") -> DataFrame:
-    """(key, rule, before, after): the first match of each rule in each text, with what the rule makes of it.
+def title_codes(articles: DataFrame, redirects: DataFrame, candidates) -> DataFrame:
+    """(title, code, detail): MD, a disambiguation page that doesn't name its target; MR, a plain spelling that no redirect leads from; TC, characters that no title should have.
 
-    ``rules``: name, pattern, replacement in Java's syntax. They are columns of one projection over the texts; a rule of
-    which the first match stays as it is gives no row.
+    ``candidates``: column function that gives the plain spellings of a title.
     """
-    one = lambda name, p, to: F.when(F.col("text").rlike(p), F.struct(F.lit(name).alias("rule"), F.regexp_extract("text", p, 0).alias("before"), F.regexp_replace(F.regexp_extract("text", p, 0), p, to).alias("after")))
-    found = F.filter(F.array(*[one(*r) for r in rules]), lambda x: x.isNotNull())
-    return docs.select(key, F.explode(found).alias("f")).select(key, "f.*").where("before != after")
+    t, text, low = F.col("title"), F.coalesce("text", F.lit("")), F.lower(F.coalesce("text", F.lit("")))
+    target = F.coalesce(*[F.when(t == k, F.lit(v)) for k, v in DISAMBIGUATED.items()])
+    a = articles.where(~text.rlike("^#(?:REDIRECT|redirect)")).withColumn("target", target)
+    named = F.position(F.concat(F.lit("[["), F.col("target"), F.lit("]]")), text) + F.position(F.concat(F.lit("[["), F.col("target"), F.lit(" (disambiguation)]]")), text) > 0
+    md = a.where(F.col("target").isNotNull() & ~named).select("title", F.lit("MD").alias("code"), F.col("target").alias("detail"))
+    odd = F.trim(F.regexp_replace("title", _PLAIN_TITLE, ""))
+    rest = a.where("target is null").withColumn("odd", odd).where("odd != ''").where(~t.startswith(".")).where(~low.rlike(r"\{\{disamb|\{\{mathdab\}\}|\{\{dab|\{\{chinese title disambiguation\}\}|\{\{wiktionary redirect\}\}|\{\{wtsr\}\}|\{\{wikt red|\{\{wi\|"))
+    degree = F.col("odd").contains("°")
+    spelled = F.transform(F.array(*[F.lit(x) for x in (" degrees ", " degree ", " Degrees ", " Degree ")]), lambda x: F.trim(F.regexp_replace(F.replace(t, F.lit("°"), x), "  +", " ")))
+    ordinal = F.when(F.col("odd").contains("ª") & ~t.rlike("[0-9]ª"), F.lit("ª")).when(F.col("odd").contains("º") & ~t.rlike("[0-9]º"), F.lit("º"))
+    rest = rest.withColumn("ordinal", F.when(~degree, ordinal))
+    tc = rest.where("ordinal is not null").select("title", F.lit("TC").alias("code"), F.concat(F.lit("Incorrect use of ordinal indicator "), F.col("ordinal")).alias("detail"))
+    rest = rest.where("ordinal is null").where(~t.contains("(−)")).where(~(degree & t.rlike("[(][0-9][0-9]°[0-9][0-9]′")))
+    plain = rest.withColumn("degree", degree).withColumn("spelled", F.when(F.col("degree"), spelled).otherwise(candidates(F.col("title"))))
+    # a spelling that isn't plain either holds characters that can't be respelled
+    left = F.trim(F.regexp_replace(F.get("spelled", F.lit(0)), _PLAIN_TITLE, ""))
+    plain = plain.withColumn("left", F.when(F.col("degree"), "").otherwise(left))
+    odd_ones = plain.where("left != ''").select("title", F.lit("TC").alias("code"), F.concat(F.lit('"'), F.col("left"), F.lit('" in article title')).alias("detail"))
+    each = plain.where("left = ''").select("title", "degree", F.posexplode("spelled").alias("k", "from_title"))
+    r = redirects.select("from_title", F.col("to_title").alias("title"), F.lit(True).alias("there"))
+    checked = each.join(r, ["from_title", "title"], "left").withColumn("there", F.coalesce("there", F.lit(False)))
+    missing = checked.where("not degree and not there").select("title", F.lit("MR").alias("code"), F.col("from_title").alias("detail"))
+    degrees = checked.where("degree").groupBy("title").agg(F.max("there").alias("there"), F.min_by("from_title", "k").alias("detail")).where("not there").select("title", F.lit("MR").alias("code"), "detail")
+    return md.unionByName(tc).unionByName(odd_ones).unionByName(missing).unionByName(degrees)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions import classify, wikitext
-from lexmill.operators import graph, prose, reports, spelling, style
+from lexmill.operators import graph, prose, reports, spelling
+from lexmill.plans import wiki_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,62 +90,11 @@ def near_words(spark: SparkSession, d: str) -> DataFrame:
     return spelling.near_words(unknown, known)
 
 
-@_query(rf"""WITH {_TALLY}, raw AS (SELECT trim(unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}’''$€£&;<>./-]+')), '.,;') AS token FROM documents),
-tok AS (SELECT token, count(*) AS freq FROM raw WHERE token <> '' GROUP BY token), p AS (SELECT token, freq, unnest(regexp_split_to_array(token, '[-–—/]')) AS part FROM tok),
-k AS (SELECT DISTINCT word FROM known)
-SELECT token, max(CASE WHEN part = '' THEN 0 WHEN lower(part) IN ('alot', 'teh', 'recieve') THEN 2 WHEN k.word IS NOT NULL THEN 0 WHEN regexp_matches(part, '^(?:[$€£¥±+~−#-])?[0-9]') THEN 0 WHEN regexp_matches(part, '^</?[a-z]+>?$') THEN 2
- WHEN regexp_matches(part, '^&[A-Za-z]+;') THEN 0 WHEN upper(part[1]) = part[1] THEN 1 WHEN NOT regexp_matches(part, '^\p{{L}}+$') THEN 1 ELSE 2 END) AS verdict, any_value(freq) AS freq
-FROM p LEFT JOIN k ON k.word = lower(part) GROUP BY token""")
-def spelling_verdicts(spark: SparkSession, d: str) -> DataFrame:
-    return spelling.judge(_docs(spark, d), spelling.dictionary(_counts(spark, d)))
-
-
-@_query(f"WITH t AS (SELECT unnest(regexp_extract_all(text, '[^ \\t\\n\\r]+')) AS token FROM documents), n AS (SELECT token, count(*) AS n FROM t GROUP BY token) SELECT {classify.shape_sql('token')} AS category, sum(n) AS tokens, count(*) AS kinds FROM n GROUP BY 1")
-def word_categories(spark: SparkSession, d: str) -> DataFrame:
-    return spelling.categories(_docs(spark, d))
-
-
 @_query(f"WITH {_TALLY}, w AS (SELECT DISTINCT word FROM c) SELECT word, array_to_string(list_sort(list_distinct(string_split(word, ''))), '') AS key FROM w")
 def lowfi_keys(spark: SparkSession, d: str) -> DataFrame:
     return _counts(spark, d).select("word").distinct().select("word", classify.lowfi_key(F.col("word")).alias("key"))
 
 
-@_query(style.check_lines_sql())
-def style_findings(spark: SparkSession, d: str) -> DataFrame:
-    return style.check_lines(_docs(spark, d))
-
-
-@_query(f"WITH f AS ({style.check_lines_sql()}), s AS (SELECT code, doc_id, count(*) AS n FROM f GROUP BY ALL) SELECT coalesce(code, 'TOTAL') AS code, count(*) AS uniques, coalesce(sum(n), 0) AS instances FROM s GROUP BY ROLLUP (code)")
-def style_by_rating(spark: SparkSession, d: str) -> DataFrame:
-    return reports.by_rating(style.check_lines(_docs(spark, d)).select("code", F.col("doc_id").alias("word")))
-
-
-_ORDER = ("QUOTE", "COMMA_SPACE", "DECIMAL_COMMA", "TIMES")
-
-
-@_query(f"WITH f AS ({style.check_lines_sql()}) SELECT doc_id, arg_min(code, lpad(coalesce(nullif(list_position({list(_ORDER)}, code), 0), 5)::VARCHAR, 2, '0') || code) AS best FROM f GROUP BY doc_id")
-def best_finding(spark: SparkSession, d: str) -> DataFrame:
-    return reports.best_type(style.check_lines(_docs(spark, d)), _ORDER)
-
-
-_BRACES = "len(regexp_extract_all(text, '\\{\\{')) <> len(regexp_extract_all(text, '\\}\\}'))"
-
-
-@_query(f"WITH c AS (SELECT doc_id, text, CASE WHEN {_BRACES} THEN 'BRACES' WHEN contains(text, '<ref') THEN 'REF' WHEN contains(text, 'colspan') THEN 'TABLE' WHEN len(regexp_extract_all(text, '\"')) % 2 = 1 THEN 'QUOTES' END AS code FROM documents) SELECT doc_id, code, CASE code WHEN 'QUOTES' THEN regexp_extract(text, '[^\"]{{0,20}}\"[^\"]{{0,20}}') ELSE '' END AS around FROM c WHERE code IS NOT NULL")
-def parse_failures(spark: SparkSession, d: str) -> DataFrame:
-    return style.failures(_docs(spark, d))
-
-
-#: name, pattern, replacement
-_B, _Z = "(^|[^\\p{L}])", "($|[^\\p{L}])"
-TYPOS = [("Doubled the", f"{_B}the the{_Z}", "$1the$2"), ("An before consonant", f"{_B}an ([bcdfgjklmnpqrstvwxyz])", "$1a $2"), ("Doubled is", f"{_B}is is{_Z}", "$1is$2"), ("Doubled la", f"{_B}la la{_Z}", "$1la$2"), ("Comma gap", " ,", ","), ("Version", f"{_B}version ([0-9])", "$1v$2")]
-
-
-@_query("WITH r AS (SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{p}', '{t.replace('$', chr(92))}')" for n, p, t in TYPOS) + ") x(rule, p, t)), m AS (SELECT doc_id, rule, regexp_extract(text, p) AS before, p, t FROM documents, r WHERE regexp_matches(text, p)) SELECT doc_id, rule, before, regexp_replace(before, p, t) AS after FROM m WHERE before <> regexp_replace(before, p, t)")
-def typo_rules(spark: SparkSession, d: str) -> DataFrame:
-    return style.typo_scan(_docs(spark, d), TYPOS)
-
-
 _VOWELS = "[aeiouyáéíóúàèìòùâêîôûäëïöüAEIOUYÁÉÍÓÚÀÈÌÒÙÂÊÎÔÛÄËÏÖÜ]+"
 
 
@@ -181,16 +131,6 @@ def decoded_entities(spark: SparkSession, d: str) -> DataFrame:
     return _read(spark, d, "pages", "page_id", "html").select("page_id", wikitext.decoded_column(F.col("html")).alias("text"))
 
 
-@_query()
-def plain_text(spark: SparkSession, d: str) -> DataFrame:
-    return _docs(spark, d).select("doc_id", wikitext.body_column(F.col("text")).alias("text"))
-
-
-@_query(f"WITH t AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[A-Za-z0-9()]+')) AS formula FROM documents) SELECT formula, list_sort(list(doc_id)) AS articles FROM t WHERE regexp_matches(formula, '{classify.FORMULA}') AND regexp_matches(formula, '[0-9(]') GROUP BY formula")
-def chemical_formulas(spark: SparkSession, d: str) -> DataFrame:
-    return prose.formulas(_docs(spark, d))
-
-
 @_query("SELECT doc_id FROM documents WHERE contains(text, 'License')")
 def grep_literal(spark: SparkSession, d: str) -> DataFrame:
     return prose.grep(_docs(spark, d), "License", literal=True)
@@ -201,11 +141,6 @@ def grep_regex(spark: SparkSession, d: str) -> DataFrame:
     return prose.grep(_docs(spark, d), "[0-9]{3}-[0-9]{4}")
 
 
-@_query(f"WITH {_LINES} SELECT doc_id, line_no, line FROM l WHERE regexp_matches(line, '@[a-z]+\\.')")
-def grep_lines(spark: SparkSession, d: str) -> DataFrame:
-    return prose.grep_lines(_docs(spark, d), "@[a-z]+\\.")
-
-
 _MAGNITUDE = "CASE WHEN freq < 10 THEN freq::VARCHAR ELSE freq::VARCHAR[1] || repeat('0', length(freq::VARCHAR) - 1) || '-' || freq::VARCHAR[1] || repeat('9', length(freq::VARCHAR) - 1) END".replace("freq::VARCHAR[1]", "left(freq::VARCHAR, 1)")
 
 
@@ -233,11 +168,6 @@ def word_sections(spark: SparkSession, d: str) -> DataFrame:
     return reports.sections(_known_unknown(spark, d)[1])
 
 
-@_query()
-def merged_sections(spark: SparkSession, d: str) -> DataFrame:
-    return reports.merge_sections(reports.sections(_known_unknown(spark, d)[1]).groupBy("section").agg(F.count("*").alias("n")))
-
-
 @_query(r"""WITH e AS (SELECT regexp_extract(url, '^(?:[a-z]+://[^/]+)?/([^?#]*)', 1) AS src, unnest(regexp_extract_all(html, '<a href="([^"]+)"', 1)) AS t FROM pages)
 SELECT DISTINCT src, regexp_extract(t, '^(?:[a-z]+://[^/]+)?/([^?#]*)', 1) AS dst FROM e WHERE src <> regexp_extract(t, '^(?:[a-z]+://[^/]+)?/([^?#]*)', 1)""")
 def page_links(spark: SparkSession, d: str) -> DataFrame:
@@ -273,3 +203,7 @@ def main_loop(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"WITH {_EDGES} SELECT DISTINCT dst AS node FROM e WHERE dst NOT IN (SELECT src FROM e)")
 def dead_ends(spark: SparkSession, d: str) -> DataFrame:
     return graph.dead_ends(_edges(spark, d))
+
+
+QUERIES |= wiki_queries.QUERIES
+ORACLE_SQL |= wiki_queries.ORACLE_SQL
