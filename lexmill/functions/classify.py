@@ -28,6 +28,40 @@ def lowfi_key(w: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.filter(F.split(F.lower(w), ""), lambda c: c != ""))), "")
 
 
+def _one_off(w: Column) -> Column:
+    """A word with one letter gone, one wildcard more, or a wildcard for a letter."""
+    n = F.length(w)
+    each = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    head = lambda i: F.substring(w, F.lit(1), i - 1)
+    return F.concat(
+        F.transform(each, lambda i: F.concat(head(i), F.substring(w, i + 1, n))), F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.concat(head(i), F.lit("*"), F.substring(w, i, n + 1))),
+        F.transform(each, lambda i: F.concat(head(i), F.lit("*"), F.substring(w, i + 1, n))),
+    )
+
+
+def lowfi_edits(w: Column, distance: int = 1) -> Column:
+    """Distinct keys of all forms that lie ``distance`` deletions, insertions or replacements (by *) from a word; keys of nearer forms are left out beyond one."""
+    forms, nearer = F.array(F.lower(w)), F.array().cast("array<string>")
+    keys = nearer
+    for k in range(distance):
+        forms = F.array_distinct(F.flatten(F.transform(forms, _one_off)))
+        keys = F.array_except(F.array_distinct(F.transform(forms, lowfi_key)), nearer)
+        nearer = F.array_union(nearer, keys)
+    return F.filter(F.array_except(keys, F.array(lowfi_key(w))), lambda x: x != "")
+
+
+def edits(w: Column, letters: str = "abcdefghijklmnopqrstuvwxyz") -> Column:
+    """Distinct words one deletion, swap of neighbours, replacement or insertion from a word."""
+    n = F.length(w)
+    each = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    alphabet = F.array(*[F.lit(c) for c in letters])
+    head = lambda i: F.substring(w, F.lit(1), i - 1)
+    swaps = F.transform(F.filter(each, lambda i: i < n), lambda i: F.concat(head(i), F.substring(w, i + 1, F.lit(1)), F.substring(w, i, F.lit(1)), F.substring(w, i + 2, n)))
+    replaced = F.flatten(F.transform(each, lambda i: F.transform(alphabet, lambda c: F.concat(head(i), c, F.substring(w, i + 1, n)))))
+    inserted = F.flatten(F.transform(F.sequence(F.lit(1), n + 1), lambda i: F.transform(alphabet, lambda c: F.concat(head(i), c, F.substring(w, i, n + 1)))))
+    return F.array_distinct(F.concat(F.transform(each, lambda i: F.concat(head(i), F.substring(w, i + 1, n))), swaps, replaced, inserted))
+
+
 def introduced_in_order(w: Column) -> Column:
     """Whether new letters come in alphabetical order from 'a' on (aabb, abca)."""
     letters = F.filter(F.split(F.lower(w), ""), lambda c: c != "")

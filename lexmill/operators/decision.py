@@ -11,7 +11,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions import classify
+from lexmill.functions import classify, wikitext
 from lexmill.functions.wikitext import CONTRACTIONS
 
 OK, UNCERTAIN, WRONG = 0, 1, 2
@@ -225,3 +225,23 @@ def tally(findings: DataFrame) -> DataFrame:
     word = F.when(classify.is_chemical_formula(F.col("token")), F.col("token")).otherwise(F.lower("token"))
     each = findings.where("code = '@'").groupBy(word.alias("word"), "title").agg(F.sum("n").alias("n"))
     return each.groupBy("word").agg(F.sum("n").alias("freq"), F.count("*").alias("articles"))
+
+
+def dictionary_entries(articles: DataFrame, quotations: bool = False) -> DataFrame:
+    """(title, text, plain, more) of dictionary pages (title, text): each language section as an article of its own, title#language, its prose, and linked words to check."""
+    s = articles.select("title", F.explode(wikitext.sections_column(F.col("text"))).alias("language", "text"))
+    s = s.select(F.concat_ws("#", "title", "language").alias("title"), "text")
+    return s.select("title", "text", wikitext.body_column(F.col("text"), quotations).alias("plain"), wikitext.linked_words_column(F.col("text")).alias("more"))
+
+
+def spell_report(articles: DataFrame, plain: DataFrame, known: DataFrame, skips: DataFrame) -> DataFrame:
+    """(title, code, detail, n): all that the spell check says of articles: S skipped (why), ! and !Q not to be parsed (where), D spaced dashes (where), @ misspelled, G uncertain."""
+    read = articles.join(skips.where("reason != 'data page'").select("title"), "title", "left_anti")
+    body_ = plain.join(read.select("title"), "title", "left_semi")
+    one = F.lit(1).cast("bigint").alias("n")
+    return (
+        skips.select("title", F.lit("S").alias("code"), F.col("reason").alias("detail"), one)
+        .unionByName(parse_failures(body_).select("title", "code", F.concat_ws(" ", "item", "around").alias("detail"), one))
+        .unionByName(spaced_dashes(body_).select("title", F.lit("D").alias("code"), F.col("around").alias("detail"), F.col("n").cast("bigint").alias("n")))
+        .unionByName(article_findings(read, body_, known).select("title", "code", F.col("token").alias("detail"), "n"))
+    )

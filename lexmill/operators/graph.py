@@ -29,11 +29,12 @@ def page_links(pages: DataFrame) -> DataFrame:
     return e.select("src", path(F.col("to")).alias("dst")).where("src != dst").distinct()
 
 
-def host_words(pages: DataFrame) -> DataFrame:
-    """(src, dst): successive links of each page's list, as a graph among link targets."""
-    links = F.regexp_extract_all("html", F.lit('<a href="([^"]+)"'), 1)
-    e = pages.select(links.alias("l")).select(F.explode(F.arrays_zip(F.expr("slice(l, 1, greatest(size(l) - 1, 0))").alias("a"), F.expr("slice(l, 2, greatest(size(l) - 1, 0))").alias("b"))).alias("e"))
-    return e.select(F.col("e.a").alias("src"), F.col("e.b").alias("dst")).where("src != dst").distinct()
+def line_links(docs: DataFrame) -> DataFrame:
+    """(src, dst): the first and the last word of each line, in lower case, as a link between words; for texts whose pages don't link to each other."""
+    line = docs.select(F.explode(F.split("text", "\n")).alias("line"))
+    word = lambda p: F.lower(F.regexp_extract("line", p, 1))
+    e = line.select(word("^[^\\p{L}]*(\\p{L}+)").alias("src"), word("(\\p{L}+)[^\\p{L}]*$").alias("dst"))
+    return e.where("src != dst and src != '' and dst != ''").distinct()
 
 
 def degrees(edges: DataFrame, least: int = 1) -> DataFrame:

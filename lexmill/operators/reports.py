@@ -11,7 +11,8 @@ from pyspark.sql.window import Window
 
 
 def by_rating(findings: DataFrame, codes: Sequence[str] = ()) -> DataFrame:
-    """(code, uniques, instances) of (code, word), with a TOTAL; it and the codes asked for are there with 0 if there is none of them."""
+    """(code, uniques, instances) of (code, word), with a TOTAL; it and the codes asked for are there with 0 if there is none of them. Languages (TF+..) count together."""
+    findings = findings.withColumn("code", F.when(F.col("code").startswith("TF"), "TF").otherwise(F.col("code")))
     c = findings.groupBy("code", "word").agg(F.count("*").alias("n")).rollup("code").agg(F.count("*").alias("uniques"), F.sum("n").alias("instances"))
     c = c.withColumn("code", F.coalesce("code", F.lit("TOTAL")))
     dim = findings.sparkSession.createDataFrame([(x,) for x in {"TOTAL", *codes}], "code string")
@@ -34,8 +35,9 @@ def line_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(F.split("text", "\n")).alias("line")).groupBy("line").agg(F.count("*").alias("n"))
 
 
-def uncertain_rollup(words: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(word, class, total, articles): S ends in an apostrophe and s, P begins with a capital, * is the rest."""
+def uncertain_rollup(words: DataFrame, key: str = "doc_id", without: Sequence[str] = ()) -> DataFrame:
+    """(word, class, total, articles): S ends in an apostrophe and s, P begins with a capital, * is the rest. Articles of ``without`` (lists of names) aren't counted."""
+    words = words.where(~F.col(key).isin(*without)) if without else words
     each = words.groupBy("word", key).agg(F.count("*").alias("n")).groupBy("word").agg(F.sum("n").alias("total"), F.count("*").alias("articles"))
     return each.withColumn("class", F.when(F.col("word").rlike("['’]s$"), "S").when(F.col("word").rlike("^\\p{Lu}"), "P").otherwise("*"))
 

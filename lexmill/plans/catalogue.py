@@ -31,7 +31,7 @@ def _read(spark: SparkSession, d: str, table: str, *columns: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return _read(spark, d, "documents", "doc_id", "text", "lang")
+    return wiki_queries.spread(_read(spark, d, "documents", "doc_id", "text", "lang"))
 
 
 def _counts(spark: SparkSession, d: str) -> DataFrame:
@@ -41,7 +41,8 @@ def _counts(spark: SparkSession, d: str) -> DataFrame:
 def _known_unknown(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     counts = _counts(spark, d)
     known = spelling.dictionary(counts)
-    return known, spelling.unknown_words(counts, known)
+    # what the dictionary doesn't have is the rest of the same counts; an anti join would count the words again
+    return known, counts.where("docs < 3 and lang is not null")
 
 
 _TALLY = r"""
@@ -49,8 +50,8 @@ t AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS
 c AS (SELECT lang, word, count(*) AS freq, count(DISTINCT doc_id) AS docs FROM t GROUP BY lang, word),
 known AS (SELECT lang, word FROM c WHERE docs >= 3), unk AS (SELECT * FROM c WHERE docs < 3 AND lang IS NOT NULL)"""
 _LINES = r"l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, (generate_subscripts(string_split(text, chr(10)), 1) - 1)::INT AS line_no FROM documents)"
-_EDGES = r"""e AS (SELECT DISTINCT src, dst FROM (SELECT l[i] AS src, l[i + 1] AS dst FROM (SELECT l, unnest(range(1, len(l))) AS i FROM (SELECT regexp_extract_all(html, '<a href="([^"]+)"', 1) AS l FROM pages))) WHERE src <> dst)"""
-_SEED = "/the"
+_EDGES = r"""e AS (SELECT DISTINCT src, dst FROM (SELECT lower(regexp_extract(line, '^[^\p{L}]*(\p{L}+)', 1)) AS src, lower(regexp_extract(line, '(\p{L}+)[^\p{L}]*$', 1)) AS dst FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE src <> dst AND src <> '' AND dst <> '')"""
+_SEED = "the"
 
 
 @_query(f"WITH {_TALLY} SELECT word, lang, freq, docs FROM unk ORDER BY freq DESC, word, lang LIMIT 50")
@@ -175,16 +176,16 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
-    return graph.host_words(_read(spark, d, "pages", "html"))
+    return graph.line_links(_docs(spark, d))
 
 
 def _seed(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(_SEED,)], "node string")
 
 
-@_query(f"WITH {_EDGES} SELECT src, count(*) AS out FROM e GROUP BY src HAVING count(*) >= 5")
+@_query(f"WITH {_EDGES} SELECT src, count(*) AS out FROM e GROUP BY src HAVING count(*) >= 2")
 def out_degrees(spark: SparkSession, d: str) -> DataFrame:
-    return graph.degrees(_edges(spark, d), 5)
+    return graph.degrees(_edges(spark, d), 2)
 
 
 _REACH = "(SELECT '{s}' AS node UNION SELECT e.{b} FROM {r} r JOIN e ON e.{a} = r.node)"

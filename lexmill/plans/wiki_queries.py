@@ -47,7 +47,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def _known(spark: SparkSession, d: str) -> DataFrame:
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang")
+    docs = spread(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang"))
     return spelling.dictionary(spelling.tally(spelling.tokens(docs))).select("word").distinct()
 
 
@@ -148,10 +148,9 @@ def misspelling_tally(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _unknown(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang")
+    docs = spread(spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "lang"))
     counts = spelling.tally(spelling.tokens(docs))
-    known = spelling.dictionary(counts)
-    return counts, known, spelling.unknown_words(counts, known)
+    return counts, spelling.dictionary(counts), counts.where("docs < 3 and lang is not null")
 
 
 @_query()

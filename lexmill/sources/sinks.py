@@ -36,3 +36,27 @@ def write_pages_xml(articles: DataFrame, path: str) -> None:
     """Articles as page elements again."""
     page = articles.select("title", F.lit(0).alias("ns"), F.struct("text").alias("revision"))
     page.write.mode("overwrite").format("xml").options(rowTag="page", rootTag="mediawiki").save(path)
+
+
+def heading(title: Column, level: int = 2) -> Column:
+    marks = "=" * level
+    return F.concat(F.lit(f"{marks} "), title.cast("string"), F.lit(f" {marks}"))
+
+
+def table_row(*cells: Column) -> Column:
+    """A row of a wikitext table; a null cell is empty."""
+    return F.concat(F.lit("|-\n| "), F.concat_ws(" || ", *[F.coalesce(c.cast("string"), F.lit("")) for c in cells]))
+
+
+def table_start(*names: str) -> str:
+    return '{| class="wikitable sortable"\n! ' + " !! ".join(names)
+
+
+def page(sections: DataFrame) -> DataFrame:
+    """(title, value) of (title, section, line): a page with a heading for each section, which come in order, and their lines in order.
+
+    Lines are gathered by section, and sections by page; a page is one text, so it should be a report's page and not all of a report.
+    """
+    s = sections.groupBy("title", "section").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("body"))
+    parts = F.array_sort(F.collect_list(F.struct("section", F.concat(heading(F.col("section"), 4), F.lit("\n"), F.col("body")).alias("text"))))
+    return s.groupBy("title").agg(F.array_join(F.transform(parts, lambda x: x["text"]), "\n").alias("value"))

@@ -54,6 +54,7 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
     line = F.col("value")
     for entity, c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         line = F.replace(line, F.lit(entity), F.lit(c))
+    line = F.regexp_replace(line, "</?span[^>]*>", "")
     part = lambda key: F.regexp_extract(line, f'\\b{key}="(.*?)"', 1)
     return spark.read.text(path).where("value like '%Typo%' and value like '%find=%' and value not like '%disabled%'").select(part("word").alias("name"), part("find").alias("pattern"), part("replace").alias("replacement"))
 

@@ -57,8 +57,26 @@ def test_sinks(spark, tmp_path):
 
 def test_stream(spark, tmp_path):
     t = datetime(2024, 1, 1, 10)
-    spark.createDataFrame([(1, "5 x 3\nman-made", t), (2, "man-made", t)], "doc_id bigint, text string, ts timestamp").write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame([(1, "5 x 3\na man-made", t), (2, "so man-made", t)], "doc_id bigint, text string, ts timestamp").write.parquet(str(tmp_path / "in"))
     q = findings.change_findings(findings.read_changes(spark, str(tmp_path / "in"))).writeStream.outputMode("complete").format("memory").queryName("found").option("checkpointLocation", str(tmp_path / "c")).start()
     q.processAllAvailable()
     q.stop()
-    assert {(r.code, r.n) for r in spark.table("found").collect()} == {("TIMES", 1), ("MAN_MADE", 2)}
+    assert {(r.code, r.n) for r in spark.table("found").collect()} == {("XS", 1), ("MAN_MADE", 2)}
+
+
+def test_compressed_dump(spark, tmp_path):
+    import bz2
+
+    page = "<page><title>{}</title><ns>0</ns><revision><text>{}</text></revision></page>"
+    (tmp_path / "d.xml.bz2").write_bytes(bz2.compress(("<mediawiki>" + page.format("A", "one") + page.format("B", "two") + "</mediawiki>").encode()))
+    got, _ = wiki.read_dump(spark, str(tmp_path / "d.xml.bz2"))
+    assert {tuple(r) for r in got.collect()} == {("A", "one"), ("B", "two")}
+    sinks.write_letters(got, str(tmp_path / "letters"))
+    assert {r.letter for r in spark.read.parquet(str(tmp_path / "letters")).collect()} == {"A", "B"}
+
+
+def test_report_page(spark):
+    d = spark.createDataFrame([("P", "b", "* 2"), ("P", "a", "* 3"), ("P", "a", "* 1")], "title string, section string, line string")
+    assert sinks.page(d).first().value == "==== a ====\n* 1\n* 3\n==== b ====\n* 2"
+    row = spark.createDataFrame([(1, None)], "a int, b string").select(sinks.table_row(F.col("a"), F.col("b"))).first()[0]
+    assert row == "|-\n| 1 || " and sinks.table_start("x", "y").endswith("! x !! y")

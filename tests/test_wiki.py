@@ -186,3 +186,22 @@ def test_reports(spark):
     assert {r.word for r in reports.frequent(reports.active_half(words, dots=False)).collect()} == {"apple"} and [r.word for r in reports.by_length(words).collect()][0] == "éa"
     s = reports.chain_stats(spark.createDataFrame([(["a", "b"],), (["a", "b"],), (["c", "d", "e"],)], "chain array<string>")).first()
     assert (s.chains, s.heads, s.longest) == (2, 2, 3) and re.match("2.5", str(s.mean_length))
+
+
+def test_edit_keys(spark):
+    w = spark.createDataFrame([("xyz",)], "w string")
+    one, two = w.select(classify.lowfi_edits(F.col("w")), classify.lowfi_edits(F.col("w"), 2)).first()
+    assert set(one) == {"*xyz", "*xy", "*yz", "*xz", "xy", "yz", "xz"} and {"x", "y", "z", "*x", "*y", "*z"} <= set(two) and not set(one) & set(two)
+    got = set(w.select(classify.edits(F.col("w"))).first()[0])
+    assert {"yz", "yxz", "xzy", "ayz", "xyza", "axyz"} <= got and len(got) == 3 + 2 + 3 * 25 + 1 + 4 * 26 - 3
+
+
+def test_dictionary_pages(spark):
+    known = spark.createDataFrame([(x,) for x in "a the word of".split()], "word string")
+    a = spark.createDataFrame([("p", "==English==\na zork of the word {{trans-see|blip}}\n==French==\nthe word"), ("q", "{{cleanup}} zork"), ("r", "a — word {{ of")], "title string, text string")
+    e = decision.dictionary_entries(a)
+    assert {r.title for r in e.collect()} == {"p#English", "p#French", "q#", "r#"}
+    tokens = {(r.title, r.token) for r in decision.occurrences(e, text="plain", more=F.col("more")).collect()}
+    assert ("p#English", "blip") in tokens and ("p#English", "zork") in tokens and not any("French" in t and x == "zork" for t, x in tokens)
+    report = decision.spell_report(a, a, known, articles.skipped(a, a.where("title = 'none'").select("title")))
+    assert {(r.title, r.code) for r in report.collect()} >= {("q", "S"), ("r", "!"), ("r", "D"), ("p", "!")} - {("p", "!")}
