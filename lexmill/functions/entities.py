@@ -39,32 +39,37 @@ GREEK = {e: c for e, c in GREEK.items() if e not in CONTROVERSIAL}
 TRANSFORM = {
     e: c for e, c in _NAMED.items()
     if len(c) == 1 and e not in KEEP and e not in CONTROVERSIAL and e not in GREEK and e not in ALERT and c not in "<>&\"'[]{}|*#=" and not c.isspace() and unicodedata.category(c)[0] not in "CMZ" and unicodedata.normalize("NFC", c) == c
-} | {"&quot;": '"', "&apos;": "'", "&ensp;": " ", "&emsp;": " ", "&hellip;": "...", "&lsquo;": "'", "&rsquo;": "'", "&ldquo;": '"', "&rdquo;": '"'}
+} | {"&quot;": '"', "&apos;": "'", "&ensp;": " ", "&emsp;": " ", "&hellip;": "..."} | {f"&{side}{n};": c for side in "lr" for n, c in (("dquo", '"'), ("squo", "'"))}
 #: Characters and sequences to be replaced in prose: compatibility forms by their decomposition, typographic marks by plain ones.
 LITERALS: dict[str, str] = {
     **{c: unicodedata.normalize("NFKC", c) for c in _chars((0xFB00, 0xFB06), (0x2150, 0x215E), (0x2460, 0x249B), (0x2100, 0x214F), (0x2070, 0x2079), (0x2080, 0x2089), (0xFF01, 0xFF5E), (0x2160, 0x217F)) if unicodedata.normalize("NFKC", c) != c},
     **{c: unicodedata.normalize("NFKC", c) for c in "¼½¾¹²³ǄǅǆǇǈǉǊǋǌ㎀㎁㎂㎃㎄㎅㎆㎇㎍㎎㎏㎐㎑㎒㎓㎝㎞㎠㎡㎢"},
-    "‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"', "´": "'", "`": "'", "…": "...", "‐": "-", "‑": "-", "―": "—", "₤": "£", "ϑ": "θ", "ϕ": "φ", "° C": "°C", "° F": "°F", "°K": "K", "C°": "°C", "∑": "Σ", "∏": "Π", "�": "",
+    "‘": "'", "’": "'", "‚": "'", "“": '"', "”": '"', "„": '"', "´": "'", "`": "'", "…": "...", "‐": "-", "‑": "-", "―": "—", "₤": "£", "ϑ": "θ", "ϕ": "φ", "°K": "K", "C°": "°C", **{f"° {x}": f"°{x}" for x in "CF"}, "∑": "Σ", "∏": "Π", "�": "",
 }
 #: Of these the ones whose replacement waits for others.
 LOW_PRIORITY = set("‘’‚“”„´`…½¼¾")
 BLOCKED_TITLES = {
-    *(f"{x} in Unicode" for x in ("Duplicate characters", "Latin script", "Arabic script", "List of precomposed Latin characters")), *(f"Unicode {x}" for x in ("compatibility characters", "equivalence")), *(f"List of {x}" for x in ("Latin letters by shape", "Latin-script letters", "mathematical symbols by subject", "typographical symbols and punctuation marks", "Unicode characters", "Japanese typographic symbols", "XML and HTML character entity references", "jōyō kanji")),
-    "Extensions to the International Phonetic Alphabet", "Romanization of Arabic", "Arabic diacritics", "Perso-Arabic Script Code for Information Interchange", "Eastern Arabic numerals", "Bengali–Assamese script", "Modern Arabic mathematical notation", "Seong", "Sung-mi", "Yasukuni Shrine", "Main Page",
+    "Romanization of Arabic", "Unicode equivalence", "Duplicate characters in Unicode", "List of precomposed Latin characters in Unicode", "Arabic script in Unicode",
+    "Latin script in Unicode", "Main Page", "Perso-Arabic Script Code for Information Interchange", "Yasukuni Shrine", "List of Latin letters by shape",
+    "Seong", "List of jōyō kanji", "Sung-mi", "Modern Arabic mathematical notation", "Arabic diacritics",
+    "List of XML and HTML character entity references", "List of typographical symbols and punctuation marks", "Eastern Arabic numerals", "List of Japanese typographic symbols", "List of Unicode characters",
+    "Unicode compatibility characters", "List of Latin-script letters", "List of mathematical symbols by subject", "Extensions to the International Phonetic Alphabet", "Bengali–Assamese script",
 }
-SKIP_STRINGS = [f"{{{{{c}{x}" for x in ("leanup lang", "leanup-lang") for c in "cC"] + ["{{which lang", "{{move to Wiki", "{{Move to Wiki", "{{copy to wiki", "{{Copy to wiki", "{{MOS"]
+SKIP_STRINGS = [f"{{{{{c}{x}" for x in ("leanup lang", "leanup-lang") for c in "cC"] + ["{{MOS", "{{which lang"] + [f"{{{{{x}" for w, c in (("opy to wiki", "cC"), ("ove to Wiki", "mM")) for x in (k + w for k in c)]
 
-_TEMPLATE_NAMES = (
-    r"[Nn]ot a typo|[Ss]hort description|proper name|DISPLAYTITLE|7seg|IPA|UPA|PIE|[Aa]ngle|[Aa]ngbr(?: IPA)?|[Aa]udio-IPA|[Ll]ang(?:-\w\w+)?\||[Tt]ransl(?:iteration)?\||[Zz]h\||[Ss]cript/|[Nn]astaliq|[Ii]nterlinear ?\| ?lang=|(?:[Ii]nfobox )?[Cc]hinese|[Cc]har|[Ii]ll|[Cc]ode\s*\||[Rr]ust\|"
-)
+_TEMPLATE_NAMES = "|".join([
+    r"[Aa]ngle", r"[Aa]ngbr(?: IPA)?", r"[Aa]udio-IPA", r"[Cc]har", r"(?:[Ii]nfobox )?[Cc]hinese", r"[Cc]ode\s*\|", r"DISPLAYTITLE", r"[Ii]ll", r"[Ii]nterlinear ?\| ?lang=", r"IPA", r"[Ll]ang(?:-\w\w+)?\|",
+    r"[Nn]astaliq", r"[Nn]ot a typo", r"PIE", r"proper name", r"[Rr]ust\|", r"[Ss]cript/", r"[Ss]hort description", r"[Tt]ransl(?:iteration)?\|", r"UPA", r"[Zz]h\|", r"7seg",
+])
+_PICTURE = "(?:Image|File)"
 #: Where odd characters are no fault: tables of sounds, code, file names, addresses, marked and foreign text.
 REDACTED = [
-    re.compile(r'\{\|\s*class="(?:wikitable IPA|IPA wikitable|wikitable notatypo|notatypo).*?\|\}', re.S),
+    re.compile(r'\{\|\s*class="(?:notatypo|wikitable (?:IPA|notatypo)|IPA wikitable).*?\|\}', re.S),
     re.compile(r"\{\|\s*\{\{chset-table-header1", re.S),
     re.compile(r"<(?:(syntaxhighlight|source|code|timeline).*?</\1|blockquote lang=.*?</blockquote)>", re.I | re.S),
-    re.compile(r"\[\[(?:File|Image):.*?(?:\||\])"),
-    re.compile(r"(?:File:|Image:|link=):[^ ]\.(?:jpg|JPG|gif|png)|[^ ]+\.(?:jpg|JPG|gif|png)\|"),
-    re.compile(r"(?:^|\n)\|? *(?:File|Image):.*?(?=\||\n)"),
+    re.compile(r"\[\[" + _PICTURE + r":.*?[|\]]"),
+    re.compile(r"(?:link=|" + _PICTURE + r":):[^ ]\.(?:gif|png|jpg|JPG)|[^ ]+\.(?:gif|png|jpg|JPG)\|"),
+    re.compile(r"(?:^|\n)\|? *" + _PICTURE + r":.*?(?=[|\n])"),
     re.compile(r"\| *(?:image[0-9]?|img_?[0-9]?|ImageFile|image_skyline) *=.*|\| *cover *=.*jpg"),
     re.compile(r"https?://[^ \n|&]+"),
     re.compile(r"\{\{[Nn]ot a typo start\}\}.*?\{\{[Nn]ot a typo end\}\}", re.S),

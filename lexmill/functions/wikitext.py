@@ -59,25 +59,31 @@ CHARACTERS = {
 }
 _CASED = {"SH": "ś", "DELTA": "Δ"}
 _NAMESPACE = r"[a-zA-Z\s]+:"
+
+
+def _rule(to: str | Callable, pattern: str, flags: int = 0) -> tuple[re.Pattern, str | Callable]:
+    return re.compile(pattern, flags), to
+
+
 _EARLY: list[Rule | tuple[re.Pattern, Callable]] = [
-    (re.compile("  +"), " "),
-    (re.compile(r"\n{3,}"), "\n\n"),
+    _rule(" ", "  +"),
+    _rule("\n\n", r"\n{3,}"),
     (_template("·  bold middot  dot  middot", 0), " · "),
     (_template("•  bull", 0), " • "),
     (_element("syntaxhighlight", True), "\n\n"),
     (_element("math", True), ""),
-    (re.compile(r"\{\{ISBN\|(.*?)\}\}"), r"\1"),
+    _rule(r"\1", r"\{\{ISBN\|(.*?)\}\}"),
     (_template("spaced en dash  spaced en dash space  dash  nbspndash  snd  sndash  spacedendash  spacedndash  spnd  spndash"), " - "),
     (_template("mdash  —  em dash  emdash  em-dash  --  endash  en dash  –  ndash  nsndns  subdash"), "-"),
     (_template("\\"), " / "),
     (_template("  ".join(_CASED), 0), lambda m: _CASED[m[0][2:-2]]),
     (_template("  ".join(CHARACTERS)), lambda m: CHARACTERS[m[0][2:-2].lower()]),
     # emphasis keeps its text; a quotation template survives the removal of templates, for later checks
-    (re.compile(r"\{\{(?:em|strong)\|(.*?)\}\}", re.I), r"\1"),
-    (re.compile(r"\{\{(cquote\|.*?)\}\}", re.I), r"⁅⁅\1⁆⁆"),
-    (re.compile(rf"\[\[(?!{_NAMESPACE})([^|]+?)\]\]"), r"\1"),
-    (re.compile(rf"\[\[(?!{_NAMESPACE})(.*?)\|\s*(.*?)\s*\]\]", re.S), r"\2"),
-    (re.compile(rf"\[\[{_NAMESPACE}.*?\]\]", re.S), ""),
+    _rule(r"\1", r"\{\{(?:em|strong)\|(.*?)\}\}", re.I),
+    _rule(r"⁅⁅\1⁆⁆", r"\{\{(cquote\|.*?)\}\}", re.I),
+    _rule(r"\1", rf"\[\[(?!{_NAMESPACE})([^|]+?)\]\]"),
+    _rule(r"\2", rf"\[\[(?!{_NAMESPACE})(.*?)\|\s*(.*?)\s*\]\]", re.S),
+    _rule("", rf"\[\[{_NAMESPACE}.*?\]\]", re.S),
     (_element("gallery", True), "\n\n"),
     (_element("score", True), ""),
 ]
@@ -90,36 +96,36 @@ _ALLOWED = (
 _PLAIN = {n: html.entities.html5[f"{n};"] for n in _ALLOWED} | {"lang": "〈", "rang": "〉", "ndash": "-", "#96": "`"} | dict.fromkeys(_SPACES, " ") | dict.fromkeys(_NOTHING, "")
 _UNWRAPPED = "span div small big center s u del time onlyinclude includeonly noinclude nowiki".split()
 _LATE: list[Rule | tuple[re.Pattern, Callable]] = [
-    (re.compile("&(?:nbsp|thinsp|hairsp);"), " "),
-    (re.compile("<br.*?>", re.I), " "),
-    (re.compile("&(" + "|".join(sorted(_PLAIN, key=len, reverse=True)) + ");"), lambda m: _PLAIN[m[1]]),
-    (re.compile("<!--.*?-->", re.S), ""),
+    _rule(" ", "&(?:nbsp|thinsp|hairsp);"),
+    _rule(" ", "<br.*?>", re.I),
+    _rule(lambda m: _PLAIN[m[1]], "&(" + "|".join(sorted(_PLAIN, key=len, reverse=True)) + ");"),
+    _rule("", "<!--.*?-->", re.S),
     # tags lose their attributes
-    (re.compile(r"<(\??[a-zA-Z]+)[^>]{0,1000}?(/?)\s*>"), r"<\1\2>"),
-    (re.compile("<ref/>", re.I), ""),
+    _rule(r"<\1\2>", r"<(\??[a-zA-Z]+)[^>]{0,1000}?(/?)\s*>"),
+    _rule("", "<ref/>", re.I),
     (_element("ref"), ""),
-    (re.compile("<references/>", re.I), "\n\n"),
-    (re.compile(r"<references>.*?</\s*references>", re.I | re.S), "\n\n"),
+    _rule("\n\n", "<references/>", re.I),
+    _rule("\n\n", r"<references>.*?</\s*references>", re.I | re.S),
     *[(_element(n), "\n\n") for n in ("source", "timeline", "code")],
     *[(_element(n), "") for n in ("chem", "graph")],
     (_element("pre"), "\n\n"),
     *[(_element(n), "") for n in ("var", "hiero", "imagemap", "mapframe", "kbd")],
-    (re.compile("</?(?:" + "|".join(_UNWRAPPED) + ")>|<section[^>]*/>|<nowiki/>|__notoc__", re.I), ""),
-    (re.compile(r"\[\s*(?:https?|ftp):.*?\]", re.I), ""),
-    (re.compile(r"(?:https?|ftp):.*?[ $]", re.I), ""),
-    (re.compile(r"\{.{1,200}?\{.{1,200}?\}\}"), ""),
-    (re.compile("&#91;"), "["),
-    (re.compile("&#93;"), "]"),
-    (re.compile(r"[!|] colspan=.*?\n"), ""),
-    (re.compile(r"\|\|? rowspan=.*?\n"), ""),
+    _rule("", "</?(?:" + "|".join(_UNWRAPPED) + ")>|<section[^>]*/>|<nowiki/>|__notoc__", re.I),
+    _rule("", r"\[\s*(?:https?|ftp):.*?\]", re.I),
+    _rule("", r"(?:https?|ftp):.*?[ $]", re.I),
+    _rule("", r"\{.{1,200}?\{.{1,200}?\}\}"),
+    _rule("[", "&#91;"),
+    _rule("]", "&#93;"),
+    _rule("", r"[!|] colspan=.*?\n"),
+    _rule("", r"\|\|? rowspan=.*?\n"),
     # one line for each paragraph; headings, lists and tables keep their own
-    (re.compile(r"\n\s*\n+"), "\n\n"),
-    (re.compile(r"^\s*\n+"), "\n"),
-    (re.compile(r"(?<!^)(?<![=\n✂}\]|])\n(?![\n=*#:;✂ |])"), " "),
-    (re.compile(r"\n{2,}"), "\n"),
-    (re.compile("  +"), " "),
-    (re.compile("⁅⁅"), "{{"),
-    (re.compile("⁆⁆"), "}}"),
+    _rule("\n\n", r"\n\s*\n+"),
+    _rule("\n", r"^\s*\n+"),
+    _rule(" ", r"(?<!^)(?<![=\n✂}\]|])\n(?![\n=*#:;✂ |])"),
+    _rule("\n", r"\n{2,}"),
+    _rule(" ", "  +"),
+    _rule("{{", "⁅⁅"),
+    _rule("}}", "⁆⁆"),
 ]
 _SUBSUP = re.compile("</?su[bp]>", re.I)
 
@@ -135,12 +141,12 @@ CONTRACTIONS = sorted(
     | set("I'm you're we're they're who're what're let's y'all ma'am o'clock 'tis 'twas could've should've would've might've must've shan't've gonna gotta wanna".split())
 )
 _BALANCED = [
-    (re.compile(r'"\S[^"]{0,1000}?\S"|"\S"|""'), MARK),
-    (re.compile(r"“\S[^”]{0,1000}?\S”|“\S”|“”"), MARK),
-    (re.compile(r"([^']|^)('''''[A-Za-z][^']{0,500}(?:" + "|".join(re.escape(c) for c in CONTRACTIONS) + r")?[^']{0,500}''''')([^']|$)"), rf"\1{MARK}\3"),
-    (re.compile(r"([^']|^)(''[A-Za-z].{0,500}?'')([^']|$)"), rf"\1{MARK}\3"),
-    (re.compile(r"(\s|^)('[A-Za-z][^']{0,1000}?')(\s|$)"), rf"\1{MARK}\3"),
-    (re.compile(r"<(blockquote|poem).*?</\1>|\{\{quote box.*?\}\}", re.I | re.S), MARK),
+    _rule(MARK, r'"\S[^"]{0,1000}?\S"|"\S"|""'),
+    _rule(MARK, r"“\S[^”]{0,1000}?\S”|“\S”|“”"),
+    _rule(rf"\1{MARK}\3", r"([^']|^)('''''[A-Za-z][^']{0,500}(?:" + "|".join(re.escape(c) for c in CONTRACTIONS) + r")?[^']{0,500}''''')([^']|$)"),
+    _rule(rf"\1{MARK}\3", r"([^']|^)(''[A-Za-z].{0,500}?'')([^']|$)"),
+    _rule(rf"\1{MARK}\3", r"(\s|^)('[A-Za-z][^']{0,1000}?')(\s|$)"),
+    _rule(MARK, r"<(blockquote|poem).*?</\1>|\{\{quote box.*?\}\}", re.I | re.S),
 ]
 _HEADING, _INDENTED = re.compile(r"=[^\n]+=\n"), re.compile(r"\n[ :†][^\n]*")
 _PARENTHESES = re.compile(r"\(\S[^)]{0,1000}?\S\)|\(\S\)|\[\S[^\]]{0,1000}?\S\]|\[\S\]")

@@ -13,30 +13,34 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LANG = r"\{\{(?:[Vv]erse translation|[Ll]ang|[Tt]ransliteration|IPA).*?\}\}"
+LANG = r"\{\{(?:IPA|[Ll]ang|[Tt]ransliteration|[Vv]erse translation).*?\}\}"
 #: Forms of a line: what is taken out (for ✂) of another form, in order.
 FORMS: dict[str, tuple[str, list[str]]] = {
-    "plain": ("line", [r"<ref.*?(?:/ ?>|</ref>)", r"\{\{(?:[Cc]ite|[Ss]fn).*?\}\}"]),
-    "bare": ("plain", [r"(?:\[\[)?(?:File|Image):.*?[|\]]", r"\| *(?:image[0-9]?|logo|screenshot|sound) *=.*$", r"(?:File|Image):.*?[.](?:JPG|jpg|SVG|svg|PNG|png|OGG|ogg|JPEG|jpeg|WEBM|webm|GIF|gif|TIF|tif|TIFF|tiff|WEBP|webp|PDF|pdf)", r"https?:[^ \]|]+"]),
+    "plain": ("line", [r"<ref.*?(?:/ ?>|</ref>)", r"\{\{(?:[Ss]fn|[Cc]ite).*?\}\}"]),
+    "bare": ("plain", [r"(?:\[\[)?(?:File|Image):.*?[|\]]", r"\| *(?:sound|screenshot|logo|image[0-9]?) *=.*$", "(?:Image|File):.*?[.](?:" + "|".join(x for e in "gif jpeg jpg ogg pdf png svg tif tiff webm webp".split() for x in (e, e.upper())) + ")", r"https?:[^ \]|]+"]),
     "poem": ("plain", [LANG]),
     "home": ("bare", [LANG]),
-    "unconverted": ("bare", [r"\{\{(?:[Cc]onvert|[Cc]vt).*?\}\}"]),
+    "unconverted": ("bare", [r"\{\{(?:[Cc]vt|[Cc]onvert).*?\}\}"]),
 }
 POETRY = "[Rr]hym|[Pp]oem|[Ss]tanza|[Vv]erse|[Ll]yric"
 _A = "[€$£¥₹₽₩₺]"
 _GAP = "(?: |&nbsp;)"
-_LITRES = "ql|rl|yl|zl|al|fl|pl|µL|μl|ml|cl|dl|dal|hl|kl|Ml|Gl|Tl|Pl|El|Zl|Yl|Rl|Ql"
+_LITRES = "|".join(["µL", "dal", *(f"{x}l" for x in "μcdmhkafpqryzEGMPQRTYZ")])  # by prefixes of the unit
 _SPOON = "(?:cup|tablespoon|teaspoon|[Tt]bsp|tsp)"
-_SPACE = r"(?: |&nbsp;|&thinsp;|\{\{thinsp\}\}|&hairsp;|\{\{hairsp\}\}|\{\{nbsp\}\})"
+_SPACE = "(?: |" + "|".join(f"&{x};|\\{{\\{{{x}\\}}\\}}" for x in ("hairsp", "nbsp", "thinsp")) + ")"
 _MONTHS = "January|February|March|April|May[ ,]|June[ ,]|July|August|September|October|November|December"
 _L = r"\p{L}"
 _RHYME = (
-    rf"[^a-z0-9A-Z{_L}-][Aa]-[Bb][^{_L}]|AA,A?B|AB,[ABC]|[^a-z+/]a[.]b[.][^d-z]|[^a-z+/]a[.] b[.] [^d-z]|[^A-Za-z0-9./%#=_-]a(?:a|b|aa|ab|ba|bb|bc|aaa|aba|abb|abc|baa|bab|bba|bca|bcb|bcc|bcd)[^0-9{_L}/]"
-)
-_GAMES = (
-    r"cup[0-9] result|defeat| goals?[^A-Za-z]| games|competition| won[,; ]|[Ss]occer|football|[Ww]inner|cup matches|play-?off| league |[Mm]otorsports|tournament|[Cc]hampionship|[Cc]ricket| win(?:ning)? |cup final|cup ties| competed | Cup[^A-Za-z]|semi-?final|player"
-    r"|[Ss]upercup|greyhound|[Rr]ugby| [Ww]ins |scorer|cups of (?:coffee|(?:green |black )?tea)|cups/day|cups (?:per|a) (?:day|shift)|cups playing card|,000 cups|cup[- ](?:mark|like|shaped|final)|cups sold| finals | prize |basketball| victory| game | played | loss |free kick|Division [0-9] [Cc]up"
+    rf"[^a-z0-9A-Z{_L}-][Aa]-[Bb][^{_L}]|AA,A?B|AB,[ABC]|[^a-z+/]a[.]b[.][^d-z]|[^a-z+/]a[.] b[.] [^d-z]|[^A-Za-z0-9./%#=_-]a(?:a{{1,3}}|b(?:[abc]|aa|ab|ba|c[abcd])?|a?b[abc]?|ab|aba)[^0-9{_L}/]"
 )
+#: Cups that are won or counted, not measured.
+_GAMES = "|".join([
+    ",000 cups", "basketball", "[Cc]hampionship", "[Cc]ricket", " competed ", "competition", "cup final", "cup matches", "cup ties",
+    "cup[- ](?:mark|like|shaped|final)", "cup[0-9] result", " Cup[^A-Za-z]", "cups (?:per|a) (?:day|shift)", "cups of (?:coffee|(?:green |black )?tea)", "cups playing card", "cups sold", "cups/day", "defeat",
+    "Division [0-9] [Cc]up", " finals ", "football", "free kick", " game ", " games", " goals?[^A-Za-z]", "greyhound", " league ",
+    " loss ", "[Mm]otorsports", "play-?off", " played ", "player", " prize ", "[Rr]ugby", "scorer", "semi-?final",
+    "[Ss]occer", "[Ss]upercup", "tournament", " victory", " win(?:ning)? ", " won[,; ]", "[Ww]inner", " [Ww]ins ",
+])
 
 
 class Rule(NamedTuple):

@@ -147,8 +147,8 @@ def rule_frequencies(found: DataFrame) -> DataFrame:
 
 #: pattern, replacement, text of articles to leave alone.
 COMPLIANCE = [
-    (r'title="([^"]+)\s*"\s*\|', r"title=\1 |", ""), (r"title='([^']+)\s*'\s*\|", r"title=\1 |", ""), (r"N°\s+(\d)", r"Number \1", "Image:Cal12 N°8.jpg"), (r"n°\s+(\d)", r"number \1", ""), (r"№\s+(\d)", r"Number \1", "Numero sign"), ("№", "Number", "Numero sign"),
-    (r"<([a-zA-Z]+)>", r"{{angbr|\1}}", ""), (r"&lt;([a-zA-Z]+)&gt;", r"{{angbr|\1}}", ""), ("cosθ", "cos θ", ""), ("sinθ", "sin θ", ""), ("tanθ", "tan θ", ""),
+    *((rf"title={q}([^{q}]+)\s*{q}\s*\|", "title=\\1 |", "") for q in "\"'"), (r"N°\s+(\d)", r"Number \1", "Image:Cal12 N°8.jpg"), (r"n°\s+(\d)", r"number \1", ""), (r"№\s+(\d)", r"Number \1", "Numero sign"), ("№", "Number", "Numero sign"),
+    *((f"{a}([a-zA-Z]+){z}", "{{angbr|\\1}}", "") for a, z in ("<>", ("&lt;", "&gt;"))), *((f"{f}θ", f"{f} θ", "") for f in ("cos", "sin", "tan")),
 ]
 
 
