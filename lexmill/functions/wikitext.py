@@ -105,7 +105,7 @@ _LATE: list[Rule | tuple[re.Pattern, Callable]] = [
     _rule("", "<ref/>", re.I),
     (_element("ref"), ""),
     _rule("\n\n", "<references/>", re.I),
-    _rule("\n\n", r"<references>.*?</\s*references>", re.I | re.S),
+    _rule("\n\n", r"<(references)>.*?</\s*\1>", re.I | re.S),
     *[(_element(n), "\n\n") for n in ("source", "timeline", "code")],
     *[(_element(n), "") for n in ("chem", "graph")],
     (_element("pre"), "\n\n"),
@@ -113,7 +113,7 @@ _LATE: list[Rule | tuple[re.Pattern, Callable]] = [
     _rule("", "</?(?:" + "|".join(_UNWRAPPED) + ")>|<section[^>]*/>|<nowiki/>|__notoc__", re.I),
     _rule("", r"\[\s*(?:https?|ftp):.*?\]", re.I),
     _rule("", r"(?:https?|ftp):.*?[ $]", re.I),
-    _rule("", r"\{.{1,200}?\{.{1,200}?\}\}"),
+    _rule("", (r"\{" + ".{1,200}?") * 2 + r"\}\}"),
     _rule("[", "&#91;"),
     _rule("]", "&#93;"),
     _rule("", r"[!|] colspan=.*?\n"),
@@ -140,17 +140,26 @@ CONTRACTIONS = sorted(
     | {f"{w}'{e}" for w in "I you we they these those".split() for e in ("d", "ll", "ve")}
     | set("I'm you're we're they're who're what're let's y'all ma'am o'clock 'tis 'twas could've should've would've might've must've shan't've gonna gotta wanna".split())
 )
+
+
+def _enclosed(left: str, right: str) -> str:
+    """What stands between two marks without space inside them, up to a thousand characters."""
+    inner = rf"\S[^{right}]{{0,1000}}?\S"
+    return "|".join(f"{left}{x}{right}" for x in (inner, r"\S"))
+
+
+_CAPITAL, _BEFORE, _BEHIND, _KEPT = "[A-Za-z]", "([^']|^)", "([^']|$)", rf"\1{MARK}\3"
 _BALANCED = [
-    _rule(MARK, r'"\S[^"]{0,1000}?\S"|"\S"|""'),
-    _rule(MARK, r"“\S[^”]{0,1000}?\S”|“\S”|“”"),
-    _rule(rf"\1{MARK}\3", r"([^']|^)('''''[A-Za-z][^']{0,500}(?:" + "|".join(re.escape(c) for c in CONTRACTIONS) + r")?[^']{0,500}''''')([^']|$)"),
-    _rule(rf"\1{MARK}\3", r"([^']|^)(''[A-Za-z].{0,500}?'')([^']|$)"),
-    _rule(rf"\1{MARK}\3", r"(\s|^)('[A-Za-z][^']{0,1000}?')(\s|$)"),
+    *(_rule(MARK, _enclosed(x, y) + f"|{x}{y}") for x, y in ('""', "“”")),
+    _rule(_KEPT, _BEFORE + "(" + "'" * 5 + _CAPITAL + "[^']{0,500}(?:" + "|".join(re.escape(c) for c in CONTRACTIONS) + ")?[^']{0,500}" + "'" * 5 + ")" + _BEHIND),
+    _rule(_KEPT, _BEFORE + "(''" + _CAPITAL + ".{0,500}?'')" + _BEHIND),
+    _rule(_KEPT, r"(\s|^)" + f"('{_CAPITAL}" + "[^']{0,1000}?')" + r"(\s|$)"),
     _rule(MARK, r"<(blockquote|poem).*?</\1>|\{\{quote box.*?\}\}", re.I | re.S),
 ]
-_HEADING, _INDENTED = re.compile(r"=[^\n]+=\n"), re.compile(r"\n[ :†][^\n]*")
-_PARENTHESES = re.compile(r"\(\S[^)]{0,1000}?\S\)|\(\S\)|\[\S[^\]]{0,1000}?\S\]|\[\S\]")
-_LISTS, _CITED = re.compile(r"\n[*#;][^\n]*"), re.compile(r"\n#\*[^\n]*")
+_REST = r"[^\n]*"
+_HEADING, _INDENTED = re.compile(r"=[^\n]+=\n"), re.compile(r"\n[ :†]" + _REST)
+_PARENTHESES = re.compile("|".join(_enclosed(rf"\{x}", rf"\{y}") for x, y in ("()", "[]")))
+_LISTS, _CITED = re.compile(r"\n[*#;]" + _REST), re.compile(r"\n#\*" + _REST)
 _EMPHASIS = re.compile("'{2,5}")
 
 
@@ -201,7 +210,7 @@ def language_sections(s: str | None) -> dict[str, str]:
 
 def linked_words(s: str | None) -> list[str]:
     """Parameters of templates that point to translations elsewhere, which are words to be checked as well."""
-    return [p.strip() for m in re.findall(r"\{\{trans-see *\|(.*?)\}\}", s or "") for p in m.split("|")]
+    return [p.strip() for m in re.findall("{{trans-see *[|](.*?)}}", s or "") for p in m.split("|")]
 
 
 def _number(entity: str) -> int | None:
