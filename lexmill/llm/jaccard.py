@@ -39,7 +39,7 @@ _A = np.uint64(0x9E3779B97F4A7C15)
 _DOCS = 1 << 15  # of one blob, so that two bytes number them
 _GRAMS = 1 << 18  # of one slice of points
 COVER = 0.4  # where that and r are under 1 together: a pivot covers all its neighbours if s is at least 0.6
-_SHARED = 0.05  # of a point's n-grams, that it has to share in the prefix
+_SHARED = 0.15  # of a point's n-grams, that it has to share in the prefix, where the window's share isn't less
 _CELLS = 1 << 16
 _BLOCK, _BLOCK_GRAMS = 2048, 1 << 20
 
@@ -201,15 +201,21 @@ def sketch(points: DataFrame) -> np.ndarray:
     return out
 
 
-def _required(size: np.ndarray) -> np.ndarray:
+def _required(size: np.ndarray, least: float) -> np.ndarray:
     """How many of its prefix a set has to share with a larger or equal one."""
-    return 1 + np.floor(_SHARED * size).astype(np.int64)
+    return 1 + np.floor(min(_SHARED, least) * size).astype(np.int64)
+
+
+def _behind(size: np.ndarray, least: float) -> np.ndarray:
+    """How many n-grams of a set lie behind its prefix."""
+    return np.maximum(np.ceil(least * size - 1e-9).astype(np.int64) - _required(size, least), 0)
 
 
 def _prefixes(buckets: int, least: float, cells):
     """The rarest n-grams of each point by bucket: (tokens, numbers of their points among those of the row), points, sizes, pivots.
 
-    Two sets of which a share ``least`` of each is common have at least the lesser of what they require in common in their prefixes.
+    Two sets of which a share ``least`` of each is common have at least the lesser of what they require in common in their prefixes, and of all that is
+    common no more lies outside than the larger of them has behind its prefix. Of a token 32 bits and the bucket are kept; a collision only adds to a count.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,11 +223,11 @@ def _prefixes(buckets: int, least: float, cells):
             row = np.repeat(np.arange(len(size)), size)
             order = np.lexsort((g, cells.value[(g & np.uint64(_CELLS - 1)).astype(np.int64)], row))
             at = np.concatenate([[0], np.cumsum(size)])
-            keep = np.arange(len(g)) - at[row] < (size - np.ceil(least * size - 1e-9).astype(np.int64) + _required(size))[row]
+            keep = np.arange(len(g)) - at[row] < (size - _behind(size, least))[row]
             g, row = g[order][keep], row[keep]
             bucket = (g % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
-            g, row = g[order], row[order]
+            g, row = (g[order] // np.uint64(buckets)).astype(np.uint32), row[order]
             cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
             point, pivot = np.asarray(batch.column(0)), batch.column(2).to_numpy(zero_copy_only=False).astype(np.uint8)
             out = []
@@ -244,7 +250,7 @@ def _blocks(pdf: pd.DataFrame):
     lists = [np.frombuffer(x, np.int64) for x in pdf["points"]]
     at = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
     every, first, number = np.unique(np.concatenate(lists), return_index=True, return_inverse=True)
-    g = np.concatenate([np.frombuffer(t, np.uint64) for t in pdf["tokens"]])
+    g = np.concatenate([np.frombuffer(t, np.uint32) for t in pdf["tokens"]])
     p = np.concatenate([number[a + np.frombuffer(r, np.uint16).astype(np.int64)] for a, r in zip(at, pdf["rows"])])
     order = np.lexsort((p, g))
     column = lambda name, kind: np.concatenate([np.frombuffer(x, kind) for x in pdf[name]])[first]
@@ -292,9 +298,10 @@ def _pairs(least: float):
         else:
             code, n = (codes[0], counts[0]) if codes else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         a, b = code // max(len(every), 1), code % max(len(every), 1)
-        sizes = np.minimum(size[a], size[b])
+        common = np.ceil(least / (1 + least) * (size[a] + size[b]) - 1e-9).astype(np.int64) - np.maximum(_behind(size[a], least), _behind(size[b], least))
+        required = np.maximum(_required(np.minimum(size[a], size[b]), least), common)
         tidy()
-        return pd.DataFrame({"pivot": every[a], "point": every[b], "n": n.astype(np.int32), "required": _required(sizes).astype(np.int32), "sizes": (size[a] + size[b]).astype(np.int32)})
+        return pd.DataFrame({"pivot": every[a], "point": every[b], "n": n.astype(np.int32), "required": required.astype(np.int32), "sizes": (size[a] + size[b]).astype(np.int32)})
 
     return run
 
@@ -462,7 +469,7 @@ def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_0
             if led.where("pivot").isEmpty():
                 break
             # who shares too few with all others together has no neighbour among them
-            alive = rest.join(small(led), "point").where(F.col("shared") >= F.floor(F.lit(_SHARED * similarity) * F.col("size")))
+            alive = rest.join(small(led), "point").where(F.col("shared") >= F.floor(F.lit(min(_SHARED, least) * similarity) * F.col("size")))
             alive = checkpoint(alive.select("point", "size", "grams", "pivot"))
             near = index(alive.select("point", "grams", "pivot")).groupBy("bucket").applyInPandas(_pairs(least), "pivot bigint, point bigint, n int, required int, sizes int")
             near = near.groupBy("pivot", "point").agg(F.sum("n").alias("n"), F.first("required").alias("required"), F.first("sizes").alias("sizes")).where("n >= required")
