@@ -88,16 +88,17 @@ def to_python(replacement: str) -> str:
     return re.sub(r"\$(\d)", r"\\\1", replacement.replace("\\", "\\\\"))
 
 
-def scan(articles: DataFrame, rules: Sequence[Rule], key: str = "title", aggressive: bool = True, around: int = 10, frequency: dict[str, int] | None = None, skip: Sequence[str] = ()) -> DataFrame:
+def scan(articles: DataFrame, rules: Sequence[Rule], key: str = "title", aggressive: bool = True, around: int = 10, frequency: dict[str, int] | None = None, skip: Sequence[str] = (), ascii_words: bool = False) -> DataFrame:
     """(key, rule, before, after, frequency): of each rule its first match in an article, with ``around`` characters on both sides and what the rule makes
-    of them; matches that it leaves as they are give no row. Articles with one of the strings ``skip`` are passed over. A null text gives no row."""
+    of them; matches that it leaves as they are give no row. Articles with one of the strings ``skip`` are passed over. A null text gives no row. With
+    ``ascii_words``, letters beyond ASCII aren't parts of words for \\b and \\w, as in other engines."""
     given, past = [(n, p, to_python(t)) for n, p, t in rules], dict(frequency or {})
 
     @F.pandas_udf("array<struct<rule:string,before:string,after:string>>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
 
-        tried = [(n, re.compile(p), t, anchor(p)) for n, p, t in given]
+        tried = [(n, re.compile(p, re.ASCII if ascii_words else 0), t, anchor(p)) for n, p, t in given]
         always = [i for i, r in enumerate(tried) if not r[3]]
         by: dict[str, list[int]] = {}
         for i, r in enumerate(tried):
@@ -138,6 +139,21 @@ def scan(articles: DataFrame, rules: Sequence[Rule], key: str = "title", aggress
     return found.withColumn("frequency", seen)
 
 
+def scan_sql(rules: Sequence[Rule], source: str, around: int = 10) -> str:
+    """Rows of ``scan`` for DuckDB, of articles (doc_id, text) without aggressive cleaning and with ascii_words."""
+    q = lambda x: x.replace("'", "''")
+    text = f"regexp_replace(text, '{_ATTRIBUTES.pattern}', '<\\1>', 'g')"
+    for p in _ALWAYS:
+        text = f"regexp_replace({text}, '(?s){q(p.pattern)}', '{MARK}', 'g')"
+    values = ", ".join(f"('{q(n)}', '{q(p)}', '(?s)^(.*?)(?:{q(p)})', '{q(to_python(t))}')" for n, p, t in rules)
+    line = lambda c: f"replace(replace({c}, chr(10), '\\n'), chr(9), '\\t')"
+    return f"""WITH a AS ({source}), c AS (SELECT doc_id, {text} AS text FROM a), r(rule, p, ahead, t) AS (VALUES {values}),
+m AS (SELECT doc_id, rule, p, t, text, regexp_extract(text, p) AS hit, length(regexp_extract(text, ahead, 1)) AS ahead_n FROM c, r WHERE regexp_matches(text, p)),
+s AS (SELECT doc_id, rule, p, t, substr(text, greatest(ahead_n - {around}, 0) + 1, least(ahead_n, {around}) + length(hit) + {around}) AS before FROM m),
+f AS (SELECT doc_id, rule, before, regexp_replace(before, p, t, 'g') AS after FROM s)
+SELECT doc_id, rule, {line("before")} AS before, {line("after")} AS after, 0 AS frequency FROM f WHERE before <> after"""
+
+
 def rule_frequencies(found: DataFrame) -> DataFrame:
     """(rule, n): in how many articles each rule hit; the frequencies of the next scan."""
     return found.groupBy("rule").agg(F.count("*").alias("n"))
@@ -166,6 +182,16 @@ def compliance_changes(articles: DataFrame, key: str = "title", text: str = "tex
     return f.groupBy(key, F.col("f.before").alias("before")).agg(F.min_by("f.after", "f.k").alias("after"))
 
 
+def compliance_sql(source: str) -> str:
+    """Rows of ``compliance_changes`` for DuckDB, of articles (title, text)."""
+    q = lambda x: x.replace("'", "''")
+    each = [
+        f"SELECT title, x AS before, {k} AS k, regexp_replace(x, '{q(p)}', '{q(to)}', 'g') AS after FROM (SELECT title, unnest(list_distinct(regexp_extract_all(text, '{q(p)}'))) AS x FROM a" + (f" WHERE NOT contains(text, '{unless}')" if unless else "") + ")"
+        for k, (p, to, unless) in enumerate(COMPLIANCE)
+    ]
+    return f"WITH a AS ({source}), f AS ({' UNION ALL '.join(each)}) SELECT title, before, arg_min(after, k) AS after FROM f WHERE before <> after GROUP BY title, before"
+
+
 def escaped(text: Column) -> Column:
     """Text for HTML."""
     return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))

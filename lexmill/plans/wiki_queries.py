@@ -234,17 +234,25 @@ TYPOS = [("Doubled the", r"\b[Tt]he the\b", "the"), ("An before consonant", r"\b
 TYPOS += [(f"Doubled {w}", rf"\b{w} {w}\b", w) for w in "of and in to that was with for on as at by from or it be are this which have had but not his her they we an one all".split()]
 
 
-@_query()
+_TYPOS_SQL = typos.scan_sql(TYPOS, f"WITH {_ARTICLES} SELECT doc_id, text FROM articles")
+
+
+@_query(_TYPOS_SQL)
 def typo_rules(spark: SparkSession, d: str) -> DataFrame:
-    return typos.scan(articles(spark, d), TYPOS, "doc_id")
+    return typos.scan(articles(spark, d), TYPOS, "doc_id", aggressive=False, ascii_words=True)
 
 
-@_query()
+@_query(f"WITH f AS ({_TYPOS_SQL}) SELECT rule, count(*) AS n FROM f GROUP BY rule")
 def rule_frequencies(spark: SparkSession, d: str) -> DataFrame:
     return typos.rule_frequencies(typo_rules(spark, d))
 
 
 @_query()
+def typos_in_prose(spark: SparkSession, d: str) -> DataFrame:
+    return typos.scan(articles(spark, d), TYPOS, "doc_id")
+
+
+@_query(typos.compliance_sql(f"WITH {_ARTICLES} SELECT title, text FROM articles"))
 def compliance_changes(spark: SparkSession, d: str) -> DataFrame:
     return typos.compliance_changes(articles(spark, d))
 
