@@ -281,7 +281,26 @@ def language_table(spark: SparkSession, d: str) -> DataFrame:
     return language.language_table(known, language.word_languages(known, language.pair_costs(known)))
 
 
-@_query()
+_FOREIGN_SQL = rf"""{_LANG_SQL.split("wp AS")[0]}
+vw AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word FROM documents),
+wp AS (SELECT word, unnest(list_transform(range(1, length(word) + 2), lambda i: ('^' || word || '$')[i:i + 1])) AS pair FROM vw), {_LANG_SQL.split("FROM (SELECT DISTINCT word FROM v)), ")[1].split("SELECT word, lang, trunc")[0].rstrip()},
+lg AS (SELECT word, lang FROM rk WHERE k = 1), en AS (SELECT word FROM v WHERE lang = 'en'), kn AS (SELECT DISTINCT word FROM v),
+dl AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS p, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line FROM documents WHERE doc_id IS NOT NULL),
+dr AS (SELECT doc_id, line, unnest(x) AS raw0, generate_subscripts(x, 1) - 1 AS pos FROM (SELECT doc_id, line, regexp_extract_all(p, '[\p{{L}}\p{{N}}_'']+') AS x FROM dl)),
+dw AS (SELECT doc_id, line, pos, regexp_replace(raw0, '^[''0-9]+|[''0-9]+$', '', 'g') AS raw FROM dr),
+dx AS (SELECT *, lower(raw) AS word, regexp_replace(lower(raw), '['']s$', '') AS bare FROM dw WHERE raw <> '' AND NOT regexp_matches(raw, '{language.ROMAN}')),
+dy AS (SELECT dx.*, length(raw) > 3 AND (a.word IS NOT NULL OR b.word IS NOT NULL) AS home FROM dx LEFT JOIN en a ON a.word = dx.word LEFT JOIN en b ON b.word = dx.bare),
+dz AS (SELECT *, length(raw) > 3 AND NOT home AND upper(left(raw, 1)) <> left(raw, 1) AND NOT regexp_matches(raw, '[0-9]') AS other FROM dy),
+ok AS (SELECT doc_id, line FROM dz GROUP BY ALL HAVING count(*) >= 20 AND count(*) FILTER (WHERE other) > 0 AND count(*) FILTER (WHERE home) * 3 <= count(*) AND count(*) FILTER (WHERE other) * 2 >= count(*) FILTER (WHERE home)),
+fo AS (SELECT dz.*, coalesce(lg.lang, 'und') || CASE WHEN kn.word IS NULL THEN '?' ELSE '' END AS lang FROM dz JOIN ok USING (doc_id, line) LEFT JOIN lg ON lg.word = dz.word LEFT JOIN kn ON kn.word = dz.word WHERE other),
+fc AS (SELECT doc_id, lang, count(*) AS n, list(raw ORDER BY line, pos)[:10] AS samples, min(line * 1000000 + pos) AS first_at FROM fo GROUP BY ALL),
+ft AS (SELECT *, sum(n) OVER (PARTITION BY doc_id) AS "foreign", row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first_at) AS r FROM fc),
+fr AS (SELECT ft.doc_id, "foreign", "foreign" * 1000 // len(string_split(text, ' ')) AS permille, ft.lang, samples FROM ft JOIN documents USING (doc_id) WHERE r = 1),
+top AS (SELECT *, row_number() OVER (ORDER BY "foreign" DESC, doc_id) AS a, row_number() OVER (ORDER BY permille DESC, doc_id) AS b FROM fr)
+SELECT doc_id, "foreign", permille, lang, samples FROM top WHERE a <= 250 OR b <= 250"""
+
+
+@_query(f"WITH {_FOREIGN_SQL}")
 def foreign_report(spark: SparkSession, d: str) -> DataFrame:
     """The 250 articles with the most words of other languages than English and those with the greatest share (a top-k report)."""
     counts, known, _ = _unknown(spark, d)
