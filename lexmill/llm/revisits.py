@@ -54,7 +54,7 @@ def merged_headers(stored: Column, fresh: Column) -> Column:
 STEP = 3600
 
 
-def resolve_revisits(records: DataFrame, broadcast_limit: int = 2_000_000) -> DataFrame:
+def resolve_revisits(records: DataFrame, broadcast_limit: int = 500_000) -> DataFrame:
     """(record_id, url, state, refers_to, headers, body) of every revisit.
 
     A full response has status 200 and a body. state: 'resolved'; 'mismatch' if the latest earlier full
