@@ -38,8 +38,8 @@ from lexmill.llm._common import buffers, checkpoint, free_names, mix, partitions
 _A = np.uint64(0x9E3779B97F4A7C15)
 _DOCS = 1 << 15  # of one blob, so that two bytes number them
 _GRAMS = 1 << 18  # of one slice of points
-COVER = 0.4  # where that and r are under 1 together: a pivot covers all its neighbours if s is at least 0.6
-_SHARED = 0.15  # of a point's n-grams, that it has to share in the prefix, where the window's share isn't less
+COVER = 0.3  # the less, the more n-grams windows share, and the fewer points a pivot covers
+_SHARED = 0.05  # of a point's n-grams, that it has to share in the prefix, where the window's share isn't less
 _CELLS = 1 << 16
 _BLOCK, _BLOCK_GRAMS = 2048, 1 << 20
 
@@ -473,6 +473,8 @@ def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_0
             alive = checkpoint(alive.select("point", "size", "grams", "pivot"))
             near = index(alive.select("point", "grams", "pivot")).groupBy("bucket").applyInPandas(_pairs(least), "pivot bigint, point bigint, n int, required int, sizes int")
             near = near.groupBy("pivot", "point").agg(F.sum("n").alias("n"), F.first("required").alias("required"), F.first("sizes").alias("sizes")).where("n >= required")
+            if apart:  # each pair once: the region of the lesser one counts it for both
+                near = near.where("pivot < point")
             near = checkpoint(near)
             pivots = alive.where("pivot").select("point")
             best = near.groupBy("point").agg(F.min_by("pivot", F.struct(F.expr("-n / (sizes - n)"), "pivot")).alias("nearest")).join(pivots, "point", "left_anti")
@@ -485,7 +487,7 @@ def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_0
         edges.append(found.where("b is not null").select("a", "b"))
         each = found.where("b is null").groupBy("a").agg(F.max("covered").alias("covered"), F.sum("own").alias("own"), F.sum("other").alias("other"))
         each = checkpoint(each)
-        links.append(each.select(F.col("a").alias("point"), F.when(F.col("covered"), F.col("own")).otherwise(F.col("other")).alias("links")))
+        links.append(each.select(F.col("a").alias("point"), (F.col("own") + F.col("other") if apart else F.when(F.col("covered"), F.col("own")).otherwise(F.col("other"))).alias("links")))
         if whole:
             break
         # a pivot to which nothing came has no neighbour
