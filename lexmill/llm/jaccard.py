@@ -42,6 +42,7 @@ COVER = 0.3  # the less, the more n-grams windows share, and the fewer points a
 _SHARED = 0.05  # of a point's n-grams, that it has to share in the prefix, where the window's share isn't less
 _CELLS = 1 << 16
 _BLOCK, _BLOCK_GRAMS = 2048, 1 << 20
+_PAIRS = 1 << 18  # of pivots and points, counted and handed on at once
 
 
 def ngram_hashes(b: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -269,39 +270,33 @@ def _leads(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"point": every[some], "led": led[some], "shared": shared[some]})
 
 
-def _pairs(least: float):
-    """(pivot, point, n, required, prefixes): how many tokens of the bucket a pivot and a point share, for sizes that allow a share ``least``."""
+def _pairs(least: float, most: int = _PAIRS):
+    """(pivot, point, n, required, sizes): how many tokens of the bucket a pivot and a point share, for sizes that allow a share ``least``.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        g, p, every, size, pivot = _blocks(pdf)
+    A token that m pivots and k points hold makes m * k pairs, so they are counted and handed on in pieces of ``most``, by pivot; a pair that two pieces meet has a row in each.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        g, p, every, size, pivot = _blocks(pd.concat(list(batches)))
         start = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
         count = np.diff(np.r_[start, len(g)])
         block = np.repeat(np.arange(len(start)), count)
         lead = np.flatnonzero(pivot[p].astype(bool) & (count[block] > 1))
-        codes, counts = [], []
-        times = count[block[lead]]
-        done = 0
-        total = np.concatenate([[0], np.cumsum(times)])
-        while done < len(lead):
-            end = max(done + 1, int(np.searchsorted(total, total[done] + (1 << 20), "right")) - 1)
-            t = times[done:end]
-            a = np.repeat(p[lead[done:end]], t)
-            b = p[np.repeat(start[block[lead[done:end]]] - np.concatenate([[0], np.cumsum(t)[:-1]]), t) + np.arange(t.sum())]
-            ok = (a != b) & (np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b]) - 1e-9)
-            code, n = np.unique(a[ok] * len(every) + b[ok], return_counts=True)
-            codes.append(code)
-            counts.append(n)
-            done = end
-        if len(codes) > 1:
-            code, back = np.unique(np.concatenate(codes), return_inverse=True)
-            n = np.bincount(back, weights=np.concatenate(counts), minlength=len(code)).astype(np.int64)
-        else:
-            code, n = (codes[0], counts[0]) if codes else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        a, b = code // max(len(every), 1), code % max(len(every), 1)
-        common = np.ceil(least / (1 + least) * (size[a] + size[b]) - 1e-9).astype(np.int64) - np.maximum(_behind(size[a], least), _behind(size[b], least))
-        required = np.maximum(_required(np.minimum(size[a], size[b]), least), common)
+        lead = lead[np.argsort(p[lead], kind="stable")]
+        a, first, total = p[lead], start[block[lead]], np.concatenate([[0], np.cumsum(count[block[lead]])])
+        del g, block, lead
+        for done in range(0, int(total[-1]), most):
+            k = np.arange(done, min(done + most, int(total[-1])))
+            which = np.searchsorted(total, k, "right") - 1
+            x, y = a[which], p[first[which] + k - total[which]]
+            ok = (x != y) & (np.minimum(size[x], size[y]) >= least * np.maximum(size[x], size[y]) - 1e-9)
+            code, n = np.unique(x[ok] * len(every) + y[ok], return_counts=True)
+            x, y = code // len(every), code % len(every)
+            common = np.ceil(least / (1 + least) * (size[x] + size[y]) - 1e-9).astype(np.int64) - np.maximum(_behind(size[x], least), _behind(size[y], least))
+            required = np.maximum(_required(np.minimum(size[x], size[y]), least), common)
+            if len(code):
+                yield pd.DataFrame({"pivot": every[x], "point": every[y], "n": n.astype(np.int32), "required": required.astype(np.int32), "sizes": (size[x] + size[y]).astype(np.int32)})
         tidy()
-        return pd.DataFrame({"pivot": every[a], "point": every[b], "n": n.astype(np.int32), "required": required.astype(np.int32), "sizes": (size[a] + size[b]).astype(np.int32)})
 
     return run
 

@@ -2,9 +2,11 @@
 
 import random
 import time
+import tracemalloc
 import unicodedata
 
 import numpy as np
+import pandas as pd
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +67,32 @@ def words(t):
     return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) >= 3 else {tuple(w)} if w else set()
 
 
+def test_jaccard_hot_tokens():
+    """A token that all points hold, all of them pivots: its pairs come in pieces, and a worker needs memory for one of these."""
+    rng, n, most = np.random.default_rng(1), 1500, 1 << 14
+    tokens = [np.unique(np.r_[7, rng.integers(10, 4000, 3)]).astype(np.uint32) for _ in range(n)]
+    points = rng.permutation(n).astype(np.int64) * 3
+    row = lambda i, j: (
+        np.concatenate(tokens[i:j]).tobytes(),
+        np.repeat(np.arange(j - i), [len(t) for t in tokens[i:j]]).astype(np.uint16).tobytes(),
+        points[i:j].tobytes(), np.full(j - i, 9, np.int32).tobytes(), np.ones(j - i, np.uint8).tobytes(),
+    )
+    frames = [pd.DataFrame([row(i, i + 500)], columns=["tokens", "rows", "points", "sizes", "pivots"]) for i in range(0, n, 500)]
+    has = np.zeros((n, 4000), np.float32)
+    for x, t in zip((points // 3).tolist(), tokens):
+        has[x, t] = 1
+    want, got = has @ has.T, np.zeros((n, n), np.float32)
+    np.fill_diagonal(want, 0)
+    tracemalloc.start()
+    for part in jaccard._pairs(0.3, most)(iter(frames)):
+        assert len(part) <= most
+        np.add.at(got, (part["pivot"].to_numpy() // 3, part["point"].to_numpy() // 3), part["n"].to_numpy())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (got == want).all()
+    assert peak < 8 << 20  # all pairs at once take more than 60 MB
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_jaccard_brute_force(spark, monkeypatch, seed):
     rng = random.Random(seed)
