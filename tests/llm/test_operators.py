@@ -93,6 +93,15 @@ def test_jaccard_hot_tokens():
     assert peak < 8 << 20  # all pairs at once take more than 60 MB
 
 
+def test_near_duplicate_stage_pieces(spark, monkeypatch):
+    """The pipeline's stage, with the pairs of a bucket in pieces of three: pairs that two pieces meet count once."""
+    pairs, base = jaccard._pairs, [f"w{i}" for i in range(30)]
+    texts = [" ".join([*base[:k], f"x{k}", *base[k + 1 :]]) for k in range(12)] + [" ".join(f"y{k}{i}" for i in range(20)) for k in range(3)]
+    docs = spark.createDataFrame([(i, t, "en", "src1", len(t)) for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    monkeypatch.setattr(jaccard, "_pairs", lambda least: pairs(least, 3))
+    assert {r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, "").collect()} == {0, 12, 13, 14}
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_jaccard_brute_force(spark, monkeypatch, seed):
     rng = random.Random(seed)
