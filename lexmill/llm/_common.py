@@ -63,6 +63,7 @@ def small_batches(spark: SparkSession, size: str = "4m") -> None:
 
 def tidy() -> None:
     """Give memory that was freed back to the system, so that idle workers stay small."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError):  # not glibc

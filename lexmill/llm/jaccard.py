@@ -43,6 +43,7 @@ _SHARED = 0.05  # of a point's n-grams, that it has to share in the prefix, wher
 _CELLS = 1 << 16
 _BLOCK, _BLOCK_GRAMS = 2048, 1 << 20
 _PAIRS = 1 << 18  # of pivots and points, counted and handed on at once
+_WIDE = 4  # ids whose broadcast takes what a row of tasks does
 
 
 def ngram_hashes(b: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +71,10 @@ def ngram_hashes(b: np.ndarray, docs: np.ndarray, n: int) -> tuple[np.ndarray, n
 
 
 def _blobs(n: int, buckets: int):
-    """Each batch's distinct n-grams by bucket, four bytes each, with the number of their document in the batch; its ids and sizes once."""
+    """Each batch's distinct n-grams by bucket, four bytes each, with the number of their document in the batch; its ids and sizes once.
+
+    These go along with another bucket from batch to batch: one that all went along with would hold twelve bytes of every document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         serial = TaskContext.get().partitionId() << 32
@@ -96,7 +100,8 @@ def _blobs(n: int, buckets: int):
                 full = full if len(full) else np.array([0])
                 rows = [(int(k), serial, token[cut[k] : cut[k + 1]].tobytes(), doc[cut[k] : cut[k + 1]].tobytes(), None, None) for k in full]
                 ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                rows[0] = (*rows[0][:4], ids.tobytes(), size.astype(np.int32).tobytes())
+                head = int(mix(np.array([serial], np.uint64))[0] % np.uint64(len(rows)))
+                rows[head] = (*rows[head][:4], ids.tobytes(), size.astype(np.int32).tobytes())
                 kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["bucket", "batch", "tokens", "docs", "ids", "sizes"])
                 serial += 1
@@ -105,20 +110,30 @@ def _blobs(n: int, buckets: int):
     return run
 
 
-def _shared(pdf: pd.DataFrame) -> pd.DataFrame:
+def _views(column: pa.Array | pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """The arrays of a binary column without nulls, each as a view of Arrow's memory."""
+    out = []
+    for c in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
+        off, data = (np.frombuffer(b, k) if b is not None else np.zeros(0, k) for b, k in zip(c.buffers()[1:], (np.int32, np.uint8)))
+        off = off[c.offset : c.offset + len(c) + 1].tolist()
+        out += [data[i:j].view(kind) if i % np.dtype(kind).itemsize == 0 else np.frombuffer(data[i:j].tobytes(), kind) for i, j in zip(off, off[1:])]
+    return out
+
+
+def _shared(table: pa.Table) -> pa.Table:
     """Of each blob the documents' numbers, once for each n-gram that another document of the bucket has too."""
-    tokens = [np.frombuffer(t, np.uint32) for t in pdf["tokens"]]
+    tokens = _views(table.column("tokens"), np.uint32)
     every = np.concatenate(tokens)
     every.sort()
     twice = every[1:][every[1:] == every[:-1]]
-    twice = twice[np.r_[True, twice[1:] != twice[:-1]]] if len(twice) else twice
     del every
+    twice = twice[np.r_[True, twice[1:] != twice[:-1]]] if len(twice) else twice
     out = []
-    for t, d in zip(tokens, pdf["docs"]):
+    for t, d in zip(tokens, _views(table.column("docs"), np.uint16)):
         hit = twice[np.minimum(np.searchsorted(twice, t), len(twice) - 1)] == t if len(twice) else np.zeros(len(t), bool)
-        out.append(np.frombuffer(d, np.uint16)[hit].tobytes())
+        out.append(d[hit].tobytes())
     tidy()
-    return pd.DataFrame({"batch": pdf["batch"], "docs": out, "ids": pdf["ids"], "sizes": pdf["sizes"]})
+    return pa.table({"batch": table.column("batch"), "docs": pa.array(out, pa.binary()), "ids": table.column("ids"), "sizes": table.column("sizes")})
 
 
 def _alive(similarity: float):
@@ -138,7 +153,7 @@ def peel(docs: DataFrame, n: int, similarity: float) -> DataFrame:
     """
     buckets = partitions(docs)
     blobs = docs.mapInArrow(_blobs(n, buckets), "bucket int, batch bigint, tokens binary, docs binary, ids binary, sizes binary")
-    shared = blobs.groupBy("bucket").applyInPandas(_shared, "batch bigint, docs binary, ids binary, sizes binary")
+    shared = blobs.groupBy("bucket").applyInArrow(_shared, "batch bigint, docs binary, ids binary, sizes binary")
     return shared.groupBy("batch").applyInPandas(_alive(similarity), "doc_id bigint").distinct()
 
 
@@ -360,11 +375,10 @@ def _region(similarity: float, cover: float):
 
     def run(table: pa.Table) -> pa.Table:
         role, point = table.column("role").to_numpy(), table.column("point").to_numpy()
-        grams = [np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]
+        grams = _views(table.column("grams"), np.uint64)
         size = np.array([len(g) for g in grams])
-        pivot, every = grams[int(np.flatnonzero(role & 4)[0])], np.concatenate(grams)
-        hit = pivot[np.minimum(np.searchsorted(pivot, every), len(pivot) - 1)] == every
-        common = np.bincount(np.repeat(np.arange(len(grams)), size)[hit], minlength=len(grams))
+        pivot = grams[int(np.flatnonzero(role & 4)[0])]
+        common = np.array([np.count_nonzero(pivot[np.minimum(np.searchsorted(pivot, g), len(pivot) - 1)] == g) for g in grams])
         far = 1 - common / (size + len(pivot) - common)
         home, member = np.flatnonzero((role & 1 > 0) & (far <= cover + 1e-9)), np.flatnonzero(role & 2)
         own, other = np.zeros(len(home), np.int64), np.zeros(len(member), np.int64)
@@ -476,8 +490,9 @@ def point_links(points: DataFrame, similarity: float, broadcast_limit: int = 2_0
             place = near.select("pivot", "point").join(best, "point", "left").select("pivot", "point", F.coalesce(F.col("pivot") == F.col("nearest"), F.lit(False)).alias("home"))
             own = near.select("pivot").distinct().select("pivot", F.col("pivot").alias("point"), F.lit(True).alias("home"))
             place = checkpoint(place.unionByName(own))
-            tasks = _tasks(place, alive)
-            sent = alive.select("point", "grams").join(F.broadcast(tasks) if place.count() <= broadcast_limit else tasks, "point")
+            # in a large region a place has as many rows as blocks
+            tasks = checkpoint(_tasks(place, alive))
+            sent = alive.select("point", "grams").join(F.broadcast(tasks) if _WIDE * tasks.count() <= broadcast_limit else tasks, "point")
         found = checkpoint(sent.groupBy("pivot", "i", "j").applyInArrow(_region(similarity, reach), _FOUND))
         edges.append(found.where("b is not null").select("a", "b"))
         each = found.where("b is null").groupBy("a").agg(F.max("covered").alias("covered"), F.sum("own").alias("own"), F.sum("other").alias("other"))
@@ -527,7 +542,7 @@ def jaccard_groups(docs: DataFrame, n: int = 3, similarity: float = 0.6, broadca
     null ids are left out. Ids are cast to bigint. Repeated rows (ties) are one document; an id with several texts has a row for each of
     its classes, and doesn't tie them together. Texts of any length are worked in whole. Extra columns are ignored, whatever their names. An
     empty table gives an empty result. N-grams are compared by 64 bits of a hash.
-    Ids of the documents left by peeling, and places in regions, go along by broadcast up to ``broadcast_limit`` of them, beyond it by a shuffled join.
+    Ids of the documents left by peeling go along by broadcast up to ``broadcast_limit`` of them, the tasks of regions up to a quarter of it, beyond that by a shuffled join.
     """
     return jaccard_points(docs, n, similarity, broadcast_limit).drop("point").distinct()
 

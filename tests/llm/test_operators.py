@@ -7,6 +7,7 @@ import unicodedata
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -93,6 +94,30 @@ def test_jaccard_hot_tokens():
     assert peak < 8 << 20  # all pairs at once take more than 60 MB
 
 
+def test_jaccard_heads(spark):
+    """Ids and sizes of all batches don't go along with one bucket, which would hold some of every document."""
+    docs = spark.range(200).selectExpr("id", "concat('a b c d e f g h i j k l m n o p ', id) as text").repartition(40)
+    blobs = docs.mapInArrow(jaccard._blobs(3, 8), "bucket int, batch bigint, tokens binary, docs binary, ids binary, sizes binary")
+    heads = [r.bucket for r in blobs.where("ids is not null").collect()]
+    assert len(heads) == len(set(r.batch for r in blobs.collect())) and max(heads.count(k) for k in heads) <= len(heads) / 2
+
+
+def test_jaccard_region_memory():
+    """A region's n-grams are looked up in the pivot's where Arrow has them, without copies of all."""
+    rng, n = np.random.default_rng(1), 1000
+    sets = [np.unique(rng.integers(0, 1 << 62, 2000).astype(np.uint64)) for _ in range(n)]
+    sets[1] = np.unique(np.r_[sets[0][:-20], sets[1][:20]])
+    role = pa.array([7, *[3] * (n - 1)], pa.int32())
+    table = pa.table({"role": role, "point": pa.array(range(n), pa.int64()), "grams": pa.array([g.tobytes() for g in sets], pa.binary())})
+    table = pa.concat_tables([table.slice(0, 300), table.slice(300)])
+    tracemalloc.start()
+    got = jaccard._region(0.6, 0.3)(table).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted((r["a"], r["own"], r["other"]) for r in got if r["covered"]) == [(0, 1, 0), (1, 1, 0)] and [{r["a"], r["b"]} for r in got if r["b"] is not None] == [{0, 1}]
+    assert peak < 48 << 20, peak
+
+
 def test_near_duplicate_stage_pieces(spark, monkeypatch):
     """The pipeline's stage, with the pairs of a bucket in pieces of three: pairs that two pieces meet count once."""
     pairs, base = jaccard._pairs, [f"w{i}" for i in range(30)]
