@@ -30,12 +30,18 @@ def paragraph_stats(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     return p.select(key, "paragraph", _n("p", "[^ ]+").alias("words"), F.size(parts).cast("bigint").alias("sentences"), F.coalesce(F.array_max(sizes), F.lit(0)).cast("bigint").alias("longest"))
 
 
-def foreign_passages(docs: DataFrame, known: DataFrame, key: str = "doc_id", least: int = 20) -> DataFrame:
+def foreign_passages(docs: DataFrame, known: DataFrame, key: str = "doc_id", least: int = 20, hot: DataFrame | None = None) -> DataFrame:
     """(key, paragraph, words, home, foreign): paragraphs of ``least`` words in which most words over three letters are not of the document's language.
 
     A paragraph with over a third known words is passed over, and so is one with fewer unknown than half the known. ``known``: (lang, word).
+    ``hot``: the most frequent of these, to go along by broadcast; paragraphs that they rule out by themselves aren't joined with the others.
     """
     p = docs.select(key, "lang", F.posexplode(F.split("text", "\n")).alias("paragraph", "p"))
+    if hot is not None:
+        each = p.select(key, "lang", "paragraph", F.explode(F.regexp_extract_all(F.lower("p"), F.lit("\\p{L}+"), 0)).alias("word"))
+        bound = each.join(F.broadcast(hot.withColumn("sure", F.lit(1))), ["lang", "word"], "left").groupBy(key, "paragraph").agg(F.count("*").alias("words"), F.count("sure").alias("sure"))
+        maybe = bound.where((F.col("words") >= least) & (F.col("sure") * 3 <= F.col("words"))).select(key, "paragraph")
+        p = p.join(maybe, [key, "paragraph"], "left_semi")
     w = p.select(key, "lang", "paragraph", F.explode(F.regexp_extract_all("p", F.lit("\\p{L}+"), 0)).alias("raw"))
     w = w.select(key, "lang", "paragraph", F.lower("raw").alias("word"), (F.length("raw") > 3).alias("long"), F.col("raw").rlike("^\\p{Lu}").alias("name"))
     flagged = w.join(known.withColumn("home", F.lit(1)), ["lang", "word"], "left")

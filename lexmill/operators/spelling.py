@@ -25,6 +25,27 @@ def tally(words: DataFrame, key: str = "doc_id", by: tuple[str, ...] = ("lang",)
     return each.groupBy(*by, "word").agg(F.sum("n").alias("freq"), F.count("*").alias("docs"))
 
 
+def word_counts(docs: DataFrame, key: str = "doc_id", by: tuple[str, ...] = ("lang",)) -> DataFrame:
+    """(*by, word, freq, docs): ``tally`` of ``tokens``, without a row per word and document on the way.
+
+    Rows are told apart by their key, so of a text its distinct words count once more, as its document; partial counts then are as large as
+    the vocabulary of a task. Texts whose key occurs again are counted by key, since they are one document.
+    """
+    again = docs.groupBy(key).agg(F.count("*").alias("rows")).where("rows > 1").select(F.col(key).alias("__again"))
+    if again.isEmpty():
+        return _row_counts(docs, by)
+    same = F.col(key).eqNullSafe(F.col("__again"))
+    parts = _row_counts(docs.join(again, same, "left_anti"), by).unionByName(tally(tokens(docs.join(again, same, "left_semi"), key, by), key, by))
+    return parts.groupBy(*by, "word").agg(F.sum("freq").alias("freq"), F.sum("docs").alias("docs"))
+
+
+def _row_counts(docs: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    w = docs.select(*by, F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0).alias("words")).withColumn("kinds", F.array_distinct("words"))
+    each = w.select(*by, F.size("kinds").alias("size"), F.posexplode(F.concat("kinds", "words")).alias("at", "word"))
+    docs_ = F.sum((F.col("at") < F.col("size")).cast("bigint"))
+    return each.groupBy(*by, "word").agg((F.count("*") - docs_).alias("freq"), docs_.alias("docs"))
+
+
 def dictionary(counts: DataFrame, min_docs: int = 3) -> DataFrame:
     """(lang, word): words that occur in ``min_docs`` documents of a language."""
     return counts.where(F.col("docs") >= min_docs).select("lang", "word")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import classify, wikitext
 from lexmill.operators import graph, prose, reports, spelling
+from lexmill.operators.steps import kept
 from lexmill.plans import wiki_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,11 +36,11 @@ def _docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _counts(spark: SparkSession, d: str) -> DataFrame:
-    return spelling.tally(spelling.tokens(_docs(spark, d)))
+    return spelling.word_counts(_docs(spark, d))
 
 
 def _known_unknown(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    counts = _counts(spark, d)
+    counts = kept(_counts(spark, d))
     known = spelling.dictionary(counts)
     # what the dictionary doesn't have is the rest of the same counts; an anti join would count the words again
     return known, counts.where("docs < 3 and lang is not null")
@@ -118,7 +119,9 @@ f AS (SELECT w.doc_id, paragraph, raw, known.word AS home FROM w LEFT JOIN known
 s AS (SELECT doc_id, paragraph, count(*) AS words, count(home) AS home, count(*) FILTER (WHERE home IS NULL AND length(raw) > 3 AND NOT regexp_matches(raw, '^\p{{Lu}}')) AS foreign_ FROM f GROUP BY ALL)
 SELECT doc_id, paragraph, words, home, foreign_ AS "foreign" FROM s WHERE words >= 20 AND home * 3 <= words AND foreign_ * 2 >= home""")
 def foreign_passages(spark: SparkSession, d: str) -> DataFrame:
-    return prose.foreign_passages(_docs(spark, d), spelling.dictionary(_counts(spark, d)))
+    known = kept(_counts(spark, d).where("docs >= 3"))
+    hot = known.where("lang is not null").orderBy(F.desc("freq"), "word", "lang").limit(100_000)
+    return prose.foreign_passages(_docs(spark, d), known.select("lang", "word"), hot=hot.select("lang", "word"))
 
 
 @_query("""WITH x AS (SELECT page_id, unnest(regexp_extract_all(html, '&#?[a-zA-Z0-9]+;')) AS entity FROM pages)
