@@ -5,21 +5,10 @@ Every round is a join of the frontier with the edges, written to the checkpoint
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _kept(df: DataFrame) -> DataFrame:
-    """``df`` in the folder of spark.checkpoint.dir; only a local session without one gets a folder of its own."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        path = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not path and not (sc.master or "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="lexmill-"))
-    return df.checkpoint(eager=True)
+from lexmill.operators.steps import kept
 
 
 def page_links(pages: DataFrame) -> DataFrame:
@@ -33,7 +22,8 @@ def line_links(docs: DataFrame) -> DataFrame:
     """(src, dst): the first and the last word of each line, in lower case, as a link between words; for texts whose pages don't link to each other."""
     line = docs.select(F.explode(F.split("text", "\n")).alias("line"))
     word = lambda p: F.lower(F.regexp_extract("line", p, 1))
-    e = line.select(word("^[^\\p{L}]*(\\p{L}+)").alias("src"), word("(\\p{L}+)[^\\p{L}]*$").alias("dst"))
+    # the last word is sought from the end; a generator, so that the filter reads what was extracted
+    e = line.select(F.inline(F.array(F.struct(word("^[^\\p{L}]*(\\p{L}+)").alias("src"), word("(?s)^(?:.*\\P{L})?(\\p{L}+)\\P{L}*$").alias("dst")))))
     return e.where("src != dst and src != '' and dst != ''").distinct()
 
 
@@ -46,27 +36,40 @@ def reachable(edges: DataFrame, seeds: DataFrame, backward: bool = False, every:
 
     Each round writes its frontier alone; what was seen is the union of the frontiers, which are merged into one table after ``every`` rounds.
     """
-    e = _kept(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")) if backward else edges.select("src", "dst"))
-    seen = front = _kept(seeds.select("node").distinct().withColumn("distance", F.lit(0)))
+    return _reachable(_by_source(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")) if backward else edges), seeds, every)
+
+
+def _by_source(edges: DataFrame) -> DataFrame:
+    """Edges that are kept by their source, so that no round shuffles them."""
+    return kept(edges.select("src", "dst").repartition(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), "src"))
+
+
+def _reachable(e: DataFrame, seeds: DataFrame, every: int = 8, broadcast_limit: int = 200_000) -> DataFrame:
+    seen = front = kept(seeds.select("node").distinct().withColumn("distance", F.lit(0)))
     rounds = 0
-    while not front.isEmpty():
-        ahead = front.join(e, front["node"] == e["src"]).select(F.col("dst").alias("node"), (F.col("distance") + 1).alias("distance")).distinct()
-        front = _kept(ahead.join(seen.select("node"), "node", "left_anti"))
+    while n := front.count():
+        near = F.broadcast(front) if n <= broadcast_limit else front
+        ahead = e.join(near, near["node"] == e["src"]).select(F.col("dst").alias("node"), (F.col("distance") + 1).alias("distance")).distinct()
+        front = kept(ahead.join(seen.select("node"), "node", "left_anti"))
         seen = seen.unionByName(front)
         rounds += 1
         if rounds % every == 0:
-            seen = _kept(seen)
+            seen = kept(seen)
     return seen
 
 
 def loop_of(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """(node): nodes that the seeds reach and that reach them."""
-    return reachable(edges, seeds).select("node").intersect(reachable(edges, seeds, backward=True).select("node"))
+    e = _by_source(edges)
+    back = _by_source(e.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    return _reachable(e, seeds).select("node").intersect(_reachable(back, seeds).select("node"))
 
 
 def dead_ends(edges: DataFrame) -> DataFrame:
     """(node): targets without links of their own."""
-    return edges.select(F.col("dst").alias("node")).distinct().join(edges.select(F.col("src").alias("node")), "node", "left_anti")
+    ends = F.array(F.struct(F.col("dst").alias("node"), F.lit(False).alias("source")), F.struct(F.col("src").alias("node"), F.lit(True).alias("source")))
+    each = edges.select(F.inline(ends))
+    return each.groupBy("node").agg(F.max(F.col("source") & F.col("node").isNotNull()).alias("source")).where("not source").select("node")
 
 
 def redirects_into(links: DataFrame, loop: DataFrame) -> DataFrame:
@@ -80,16 +83,16 @@ def chains(edges: DataFrame, loop: DataFrame, rounds: int = 100) -> DataFrame:
     ``loop``: (node, label). Nodes of a loop are one node, by label; no chain passes a node twice.
     """
     label = lambda e, c: e.join(loop.select(F.col("node").alias(c), F.col("label").alias("__l")), c, "left").withColumn(c, F.coalesce("__l", c)).drop("__l")
-    e = _kept(label(label(edges, "src"), "dst").where("src != dst").distinct())
-    grow = _kept(e.join(loop.select(F.col("label").alias("dst")).distinct(), "dst", "left_semi").select(F.array("src", "dst").alias("chain")))
+    e = kept(label(label(edges, "src"), "dst").where("src != dst").distinct())
+    grow = kept(e.join(loop.select(F.col("label").alias("dst")).distinct(), "dst", "left_semi").select(F.array("src", "dst").alias("chain")))
     done = grow.limit(0)
     for _ in range(rounds):
         if grow.isEmpty():
             break
         longer = grow.join(e, F.get("chain", F.lit(0)) == e["dst"], "left")
         ahead = F.col("src").isNotNull() & ~F.array_contains("chain", F.col("src"))
-        longer = _kept(longer.withColumn("ahead", F.coalesce(ahead, F.lit(False))))
+        longer = kept(longer.withColumn("ahead", F.coalesce(ahead, F.lit(False))))
         ends = longer.groupBy("chain").agg(F.max("ahead").alias("any")).where("not any").select("chain")
-        done = _kept(done.unionByName(ends))
-        grow = _kept(longer.where("ahead").select(F.concat(F.array("src"), "chain").alias("chain")))
+        done = kept(done.unionByName(ends))
+        grow = kept(longer.where("ahead").select(F.concat(F.array("src"), "chain").alias("chain")))
     return done.unionByName(grow).distinct()
