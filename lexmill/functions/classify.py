@@ -117,12 +117,12 @@ def is_chemical_formula(w: Column) -> Column:
     return w.rlike(CHEMICAL_FORMULA) & ~w.rlike(NO_FORMULA)
 
 
-def is_chemical_name(w: Column, passes: int = 6) -> Column:
-    """Whether morphemes of chemical names make up most of a word. They are taken out again and again, since what is left may form new ones; a pass that
-    finds none changes nothing, and six are more than any name of the length of a word needs."""
-    rest = w
-    for _ in range(passes):
-        rest = F.regexp_replace(rest, _STEP, "")
+def is_chemical_name(w: Column) -> Column:
+    """Whether morphemes of chemical names make up most of a word. They are taken out again and again, since what is left may form new ones, until there is none;
+    each pass that finds one shortens the word, so its length bounds the passes."""
+    once = F.regexp_replace(w, _STEP, "")
+    passes = F.sequence(F.lit(1), F.greatest(F.length(once), F.lit(1)))
+    rest = F.when(once == w, once).otherwise(F.aggregate(passes, once, lambda r, _: F.when(r.rlike(_STEP), F.regexp_replace(r, _STEP, "")).otherwise(r)))
     n, left = F.length(w), F.length(rest)
     site = w.rlike("|".join(s.replace("(", "[(]").replace(")", "[)]") for s in _SITES))
     return ((n > 14) & (left * 2 < n)) | (left * 4 < n) | F.lower(w).isin("cis,cis", "trans,cis", "alpha,beta", "trans,trans", "alpha,alpha", "gamma,delta") | w.rlike("^[0-9](?:alpha|beta)") | site
@@ -149,7 +149,9 @@ def is_rhyme_scheme(w: Column) -> Column:
     repeated = F.size(F.filter(kinds, lambda x: F.size(F.filter(every, lambda y: y == x)) > 1))
     doubled = F.size(F.filter(kinds, lambda x: F.substring(x, 1, 1) == F.substring(x, 2, 1)))
     score = F.when(s.rlike("^[a-g]+$"), 50).otherwise(0) - F.when(s.rlike("[m-z]"), 30).otherwise(0) + doubled * 10 + repeated * 10 + F.when(repeated * 2 > F.size(kinds), 50).otherwise(0)
-    return s.isin("cdcd", "efef") | introduced_in_order(w) | (score > 100)
+    # without a pair that repeats or three doubled letters the score stays under 100, so it isn't counted
+    likely = s.rlike(r"(.)(?=(.)).*?\1\2|(.)\3.*?(.)\4.*?(.)\5")
+    return s.isin("cdcd", "efef") | introduced_in_order(w) | F.when(likely, score > 100).otherwise(False)
 
 
 def category(w: Column, bad_word: Column, bad_character: Column, compound: Column, foreign: Column, romanised: Column, near: Column, language: Column) -> Column:

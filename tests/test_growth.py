@@ -4,7 +4,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from lexmill.operators import graph, language, prose, spelling
+from lexmill.functions import classify
+from lexmill.operators import decision, graph, language, prose, spelling
 from tests.compare import rows
 
 
@@ -64,3 +65,59 @@ def test_line_links_of_odd_lines(spark):
     # the filter reads words that were extracted once, in a generator
     plan = graph.line_links(spark.createDataFrame([(t,) for t in texts], "text string"))._jdf.queryExecution().optimizedPlan().toString()
     assert not [x for x in plan.splitlines() if "Filter" in x and "regexp_extract" in x]
+
+
+def test_tokens_are_trimmed_once(spark):
+    a = spark.createDataFrame([("1", "a; 'b' (c == ,"), ("2", "a (c) &amp; '' — b")], "title string, text string")
+    plan = decision.token_counts(a)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan  # one with all steps would be below the count of raw tokens
+    assert {r.token: r.freq for r in decision.token_counts(a).collect()}["b"] == 2
+
+
+def test_spacing_looks_around(spark):
+    r = random.Random(5)
+    texts = [("".join(r.choice("aB1é_ ,.()[]  x,(") for _ in range(200)),) for _ in range(150)] + [("Don't say 'tis, y'all's o'clock'd I'm'",)]
+    d = spark.createDataFrame(texts, "text string")
+    for k, p in decision.SPACING.items():
+        both = d.select(F.regexp_extract_all("text", F.lit(p), 0).alias("a"), F.regexp_extract_all("text", F.lit(decision._AHEAD[k]), 0).alias("b")).collect()
+        assert any(x.a for x in both) and all(x.a == x.b for x in both)
+
+
+def test_chemical_names_to_the_end(spark):
+    words = ["h" * 40 + "ex" * 40, "hexane", "table", "h" * 3 + "ex" * 3]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select(classify.is_chemical_name(F.col("w")).alias("c")).collect()
+    assert [x.c for x in got] == [True, True, False, True]
+
+
+def test_rhyme_scores(spark):
+    r = random.Random(2)
+    words = ["".join(r.choice("aabbcm") for _ in range(r.randint(1, 12))) for _ in range(300)]
+
+    def scheme(w):
+        every = [w[i : i + k] for k in (2, 3) for i in range(len(w) - k + 1)]
+        kinds = set(every)
+        repeated, doubled, seen = sum(every.count(x) > 1 for x in kinds), sum(x[0] == x[1] for x in kinds), 0
+        for c in w:
+            seen = seen if seen < 0 or ord(c) - 96 <= seen else seen + 1 if ord(c) - 97 == seen else -1
+        score = 50 * all(c in "abcdefg" for c in w) - 30 * any(c >= "m" for c in w) + 10 * (doubled + repeated) + 50 * (repeated * 2 > len(kinds))
+        return w in ("cdcd", "efef") or seen > 0 or score > 100
+
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", classify.is_rhyme_scheme(F.col("w")).alias("r")).collect()
+    assert {x.r for x in got} == {True, False} and all(x.r == scheme(x.w) for x in got)
+
+
+def test_findings_by_hot_and_other_tokens(spark):
+    texts = [("1", "teh cat saw .350 and teh H2O Xq. zzz,yyy"), ("2", "A batting average of .350 or .38 caliber teh zzz"), ("3", "broken {{ teh"), ("4", "qwrt Nf3 H<sub>2</sub>O")]
+    a = spark.createDataFrame(texts, "title string, text string")
+    plain = a.withColumn("text", F.regexp_replace("text", "</?sub>", ""))
+    known = spark.createDataFrame([(w,) for w in "cat saw and or of a batting average caliber".split()], "word string")
+    got = [rows(decision.article_findings(a, plain, known, hottest=n)) for n in (1, 5, 1000)]
+    assert got[0] == got[1] == got[2]
+    f = {(r.title, r.token): r.code for r in decision.article_findings(a, plain, known).collect()}
+    assert f["1", "teh"] == "@" and ("3", "teh") not in f and ("4", "Nf3") not in f and not any(t == ".350" and i == "2" for i, t in f)
+    # the whole tally: with each word the sorted articles that have it
+    t = {r.word: (r.freq, r.articles, r.titles) for r in decision.tally(decision.article_findings(a, plain, known)).collect()}
+    assert t["teh"] == (3, 2, ["1", "2"]) and t["qwrt"][2] == ["4"]
+    # no row per token and whole article: texts are joined for the tokens that an article can excuse alone
+    plan = decision.article_findings(a, plain, known)._jdf.queryExecution().optimizedPlan().toString()
+    assert [x for x in plan.splitlines() if "Filter" in x and "[.][0-9]{2}s?$" in x]
