@@ -13,11 +13,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.wikitext import MARK, body
+from lexmill.functions.wikitext import GUARDS, MARK, body, substituted
+from lexmill.operators.steps import small_batches
 
 Rule = tuple[str, str, str]
 _ATTRIBUTES = re.compile("<(ref|span) .*?>")
 _ALWAYS = [re.compile(p, re.S) for p in (r"https?://[^ \n|&]+", r"[0-9a-zA-Z.-]+\.(?:com|edu|org|gov)", "<!--.*?-->", r"\{\{(?:not a typo|char|proper name).*?\}\}", r"\| *image[0-9]* *=.*?\n")]
+GUARDS[_ALWAYS[1]] = (".com", ".edu", ".org", ".gov")
 _AGGRESSIVE = [
     re.compile(p, re.S)
     for p in (
@@ -33,7 +35,7 @@ def clean(text: str | None, aggressive: bool = False) -> str | None:
         return None
     text = _ATTRIBUTES.sub(r"<\1>", text)
     for p in _ALWAYS:
-        text = p.sub(MARK, text)
+        text = substituted(p, MARK, text)
     if aggressive:
         text = body(text) or ""
         for p in _AGGRESSIVE:
@@ -42,7 +44,7 @@ def clean(text: str | None, aggressive: bool = False) -> str | None:
 
 
 def anchor(pattern: str) -> str:
-    """The longest run of plain letters, of at least three, that every match of the pattern contains; empty if none is sure."""
+    """The longest run of plain characters, of at least three, that every match of the pattern contains; empty if none is sure."""
     if "|" in pattern or re.search(r"\(\?[^:=!<P]", pattern):
         # alternatives outside groups, or flags: nothing is sure
         if re.search(r"\(\?[^:=!<P]", pattern):
@@ -63,7 +65,7 @@ def anchor(pattern: str) -> str:
         if c in "()":
             depth += 1 if c == "(" else -1
             run = ""
-        elif depth == 0 and c.isalpha() and not quantified:
+        elif depth == 0 and (c.isalpha() or c in " ,;:'-") and not quantified:
             run += c
             best = max(best, run, key=len)
         else:
@@ -92,6 +94,7 @@ def scan(articles: DataFrame, rules: Sequence[Rule], key: str = "title", aggress
     """(key, rule, before, after, frequency): of each rule its first match in an article, with ``around`` characters on both sides and what the rule makes
     of them; matches that it leaves as they are give no row. Articles with one of the strings ``skip`` are passed over. A null text gives no row. With
     ``ascii_words``, letters beyond ASCII aren't parts of words for \\b and \\w, as in other engines."""
+    small_batches(articles.sparkSession)
     given, past = [(n, p, to_python(t)) for n, p, t in rules], dict(frequency or {})
 
     @F.pandas_udf("array<struct<rule:string,before:string,after:string>>")

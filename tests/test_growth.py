@@ -5,8 +5,8 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
-from lexmill.functions import classify
-from lexmill.operators import decision, graph, language, prose, spelling, style
+from lexmill.functions import classify, entities, wikitext
+from lexmill.operators import decision, entity_check, grammar, graph, language, prose, spelling, style, typos
 from lexmill.plans.wiki_queries import SNIPPETS
 from tests.compare import oracle, rows
 
@@ -146,3 +146,37 @@ def test_nationality_passes_over_other_articles(spark):
     assert {(r.doc_id, r.code) for r in found.collect()} == {(1, "INFONAT_REDUNDANT_pe_JUS_SOLI_1800s"), (3, "INFONAT_EXPLAIN_us_state")}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Contains(text" in plan and not [x for x in plan.splitlines() if "Filter" in x and "Afghan" in x]
+
+
+def test_guarded_patterns_change_nothing(spark):
+    r = random.Random(4)
+    bits = [*SNIPPETS, "HTTP://x.y/z a", "ftp:q $ b", "''''' don't Aa'''''", "''Italic x''", " 'Quoted' ", "it's", "a.com b.edu/c x.org", "| image = a.gif|", "\nImage:x.jpg\n", "ipa symbol2 = a\n", "poj = b\n", "| colspan=2 x\n", "C° °K ` ﬁ ㎞", "&frasl;", "the the and and of of"]
+    texts = ["".join(r.choice(bits)[r.randint(0, 6) * (i % 2) :] for _ in range(4)) for i in range(400)] + ["", "plain"]
+
+    def every():
+        return [(wikitext.to_prose(t), wikitext.body(t), typos.clean(t, True), entities.redact(t), entities.findings("x", t)) for t in texts]
+
+    got, held, none = every(), dict(wikitext.GUARDS), entities._no_literal
+    assert held and any(entities._no_literal(t) for t in texts) and not all(entities._no_literal(t) for t in texts)
+    assert all((next(entities._automaton().iter(t), None) is None) == entities._no_literal(t) for t in texts)
+    try:
+        wikitext.GUARDS.clear()
+        entities._no_literal = lambda _: False
+        assert every() == got
+    finally:
+        wikitext.GUARDS.update(held)
+        entities._no_literal = none
+
+
+def test_anchors_hold_spaces(spark):
+    assert [typos.anchor(p) for p in (r"\b[Tt]he the\b", r"\bis is\b", r"\bto to?\b", " ,")] == ["he the", "is is", "to t", ""]
+
+
+def test_python_is_run_once(spark):
+    a = spark.createDataFrame([("1", "&alpha; ½ cup … x"), ("2", "The dog saw a cat. &hellip;")], "title string, text string")
+    f = entity_check.entity_findings(a)
+    lexicon = spark.createDataFrame([("dog", "N"), ("cat", "N"), ("saw", "V")], "word string, pos string")
+    for df in (entity_check.entity_report(f), entity_check.fix_list(f), grammar.grammar_findings(a, lexicon)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "run(" not in plan and "cut(" not in plan  # kept, not made again for each use
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("mb")) <= 4 << 20  # a worker's batches don't grow with the input
